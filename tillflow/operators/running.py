@@ -37,6 +37,7 @@ def running_stats(
 ) -> DataFrame:
     """``df`` plus ``n``, ``total`` and ``mean`` so far, in ``order`` within each key.
 
+    Columns of ``df`` with these names, in any case, give way to the new ones.
     ``order`` is an integer such as a topic offset; ``ties`` (the topic partition)
     settle equal values. ``carry`` has ``key, total, n`` to start from. Select the
     columns you need first: all of ``df`` is shuffled once by key and block.
@@ -46,9 +47,10 @@ def running_stats(
     rows = df.withColumns({_SUM: F.col(measure).cast(sum_type), _N: F.lit(1).cast("bigint")})
     if carry is not None:
         carry = carry.select(key, F.col("total").alias(_SUM), F.col("n").alias(_N))
+    kept = [c for c in df.columns if c.lower() not in ("n", "total", "mean")]
     added = _add_up(rows, [key], [order, *ties], 0, carry, block, levels)
     return added.select(
-        *df.columns,
+        *kept,
         F.col(_N).alias("n"),
         F.col(_SUM).alias("total"),
         (F.col(_SUM).cast("double") / F.col(_N)).alias("mean"),
