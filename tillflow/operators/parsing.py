@@ -14,6 +14,7 @@ from tillflow.schemas import SALE_EVENT, SALE_RAW
 
 _BROKEN = "_corrupt_record"
 _WHOLE_NUMBER = r"^[+-]?\d+$"
+_OBJECT_START = r"^\s*\{"
 
 
 def parse_json(df: DataFrame, schema: T.StructType = SALE_RAW, col: str = "value") -> DataFrame:
@@ -26,8 +27,12 @@ def _parsed_once(text: Column, schema: T.StructType, options: dict | None = None
 
     Catalyst moves a later filter below a plain projection and copies the parse into
     it for every field the filter reads. It does not move one below a generator.
+    Text that is no object would parse to NULL by way of a costly exception; the
+    pattern gives the same NULL.
     """
-    return F.explode(F.array(F.from_json(text.cast("string"), schema, options))).alias("data")
+    text = text.cast("string")
+    record = F.from_json(F.when(text.rlike(_OBJECT_START), text), schema, options)
+    return F.explode(F.array(record)).alias("data")
 
 
 def parse_sale_strict(
@@ -44,21 +49,21 @@ def parse_sale_strict(
     parsed = df.select(*keep, raw, _parsed_once(F.col(col), schema, options))
 
     fields, faults = [], [
-        F.when(F.col("raw").isNull(), F.lit("no message")),
-        F.when(F.col(f"data.{_BROKEN}").isNotNull(), F.lit("malformed JSON")),
+        F.when(F.col("raw").isNull(), "no message"),
+        F.when(F.col("data").isNull() | F.col(f"data.{_BROKEN}").isNotNull(), "malformed JSON"),
     ]
     for source, target in zip(SALE_RAW, SALE_EVENT, strict=True):
         text = F.col(f"data.{source.name}")
-        faults.append(F.when(text.isNull(), F.lit(f"missing field {source.name}")))
+        faults.append(F.when(text.isNull(), f"missing field {source.name}"))
         if isinstance(target.dataType, T.StringType):
             fields.append(text.alias(target.name))
-            faults.append(F.when(_is_nested(text, source.name), F.lit(f"not text: {source.name}")))
+            faults.append(F.when(_is_nested(text, source.name), f"not text: {source.name}"))
             continue
         value = text.try_cast(target.dataType)
         if isinstance(target.dataType, T.IntegerType):
             value = F.when(text.rlike(_WHOLE_NUMBER), value)
         fields.append(value.alias(target.name))
-        faults.append(F.when(value.isNull(), F.lit(f"not a number: {source.name}")))
+        faults.append(F.when(value.isNull(), f"not a number: {source.name}"))
 
     typed = parsed.select(*keep, *fields, "raw", F.coalesce(*faults).alias("reason"))
     return typed.withColumn("ok", F.col("reason").isNull())

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.casts import SALE_CLEANING, guarded_cast
+from tillflow.functions.casts import SALE_CLEANING, guarded_cast, lenient_cast
 from tillflow.schemas import SALE_FIELDS, SALE_RENAMES, SALE_TABLE
 
 # Projection of a parsed sale onto the catalog table: output -> (input, type or None).
@@ -59,7 +59,7 @@ def project_cast(
 ) -> DataFrame:
     """Columns ``out`` = ``in`` cast to a type (None keeps it); bad values become NULL."""
     return df.select(
-        *[(F.col(i) if t is None else F.col(i).try_cast(t)).alias(o) for o, (i, t) in spec.items()]
+        *[(F.col(i) if t is None else _cast(df, i, t)).alias(o) for o, (i, t) in spec.items()]
     )
 
 
@@ -69,13 +69,17 @@ def cast_rejects(
     """One row: how many present values of each cast column `project_cast` would lose."""
     return df.agg(
         *[
-            F.count_if(F.col(i).isNotNull() & F.col(i).try_cast(t).isNull()).alias(o)
+            F.count_if(F.col(i).isNotNull() & _cast(df, i, t).isNull()).alias(o)
             for o, (i, t) in spec.items()
             if t is not None
         ]
     )
 
 
+def _cast(df: DataFrame, name: str, to: str) -> Column:
+    return lenient_cast(F.col(name), df.schema[name].dataType, to)
+
+
 def clean_cast(
     df: DataFrame, rules: Mapping[str, tuple[str, str]] = SALE_CLEANING
 ) -> DataFrame:
