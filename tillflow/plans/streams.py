@@ -72,6 +72,7 @@ def stream_topic_to_table(
     *,
     trigger: dict | None = None,
     max_per_trigger: int | None = None,
+    dedupe_key: str | None = None,
 ) -> StreamingQuery:
     """Insert a topic's sales into the catalog table.
 
@@ -88,7 +89,8 @@ def stream_topic_to_table(
         "total": ("Total", "double"),
         "remise": ("Remise", "double"),
     }
-    return stream_to_table(project_cast(filter_key_present(sales), spec), table, checkpoint, trigger)
+    rows = project_cast(filter_key_present(sales), spec)
+    return stream_to_table(rows, table, checkpoint, trigger, dedupe_key=dedupe_key)
 
 
 def live_sales_metrics(

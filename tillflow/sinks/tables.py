@@ -9,15 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.sources.tables import inline_values
-from tillflow.streaming.batches import start
+from tillflow.streaming.batches import start, write_each_batch
 
 
-def append_table(df: DataFrame, table: str, dedupe_key: str | None = None) -> None:
+# Formats whose tables are plain folders of files.
+_FILE_TABLES = {"parquet", "orc", "csv", "json", "avro", "text"}
+
+
+def append_table(
+    df: DataFrame, table: str, dedupe_key: str | None = None, *, by_name: bool = False
+) -> None:
     """Append by position: names are ignored, and running it twice doubles the rows.
 
     With ``dedupe_key`` a row is left out if its key is in the table already, and
-    equal keys in ``df`` give one row. Rows without a key are always kept.
+    equal keys in ``df`` give one row. Rows without a key are always kept. ``by_name``
+    matches columns by name instead.
     """
+    if by_name:
+        df = df.select(*df.sparkSession.table(table).columns)
     if dedupe_key is not None:
         df = _new_keys(df, df.sparkSession.table(table), dedupe_key)
     df.write.insertInto(table)
@@ -39,7 +48,32 @@ def insert_values(spark: SparkSession, table: str, rows: Iterable[tuple]) -> Non
 
 
 def stream_to_table(
-    df: DataFrame, table: str, checkpoint: str, trigger: dict | None = None
+    df: DataFrame,
+    table: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    *,
+    dedupe_key: str | None = None,
+    sole_writer: bool = False,
 ) -> StreamingQuery:
-    """Insert a stream into a table by column name, exactly once."""
-    return start(df.writeStream, checkpoint, trigger, table=table)
+    """Insert a stream into a table by column name.
+
+    Iceberg and other transactional tables get each row exactly once. In a table of
+    plain files Spark's own stream sink would hide the rows that others append, so
+    there each micro-batch is appended like a batch: at least once, since a retry
+    appends again unless ``dedupe_key`` names a unique column. ``sole_writer`` takes
+    Spark's sink, exactly once, for a file table that nothing else ever writes.
+    """
+    if sole_writer or _provider(df.sparkSession, table) not in _FILE_TABLES:
+        return start(df.writeStream, checkpoint, trigger, table=table)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        append_table(batch, table, dedupe_key, by_name=True)
+
+    return write_each_batch(df, append, checkpoint, trigger)
+
+
+def _provider(spark: SparkSession, table: str) -> str:
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'")
+    row = facts.first()
+    return row.data_type.lower() if row else ""
