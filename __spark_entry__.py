@@ -665,9 +665,9 @@ def _inbox(spark: SparkSession, sf: str) -> str:
     digest = events.groupBy("event_type").agg(
         *[f.alias(n) for f, n in zip(fields, SALE_FIELDS, strict=True) if n != "Categorie"]
     )
-    # One row per category, so one task writes the file that must be one file.
+    # One row per category: they fit in the one file that this drop must be.
     digest = digest.withColumnRenamed("event_type", "Categorie").select(*SALE_FIELDS)
-    file_sinks.write_csv(digest.coalesce(1), f"{inbox}/digest")
+    file_sinks.write_csv(digest.repartition(1), f"{inbox}/digest")
     return inbox
 
 

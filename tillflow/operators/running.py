@@ -1,26 +1,32 @@
 """Running totals per key: the n-th row of a key shows its first n rows added up.
 
-A window over a whole key would put that key into one task. Instead the order
-column is cut into blocks and three things happen, none of which gathers a key:
+A window over a whole key puts that key into one task, which fails once a key holds
+a good part of the rows. So keys with more than ``block`` rows are split:
 
-1. total per (key, block), added up on the map side;
-2. total of all earlier blocks per (key, block), from those few rows;
-3. a window per (key, block) that starts from the total of step 2.
+1. count the rows per key, on the map side first; the split keys are fewer than
+   rows / ``block``, which bounds the set that is broadcast;
+2. cut the order column of split keys into blocks and total each (key, block);
+3. add up the totals of all earlier blocks, over those few rows;
+4. window each (key, block), starting from the sum of step 3.
 
-Step 2 is the same problem on far fewer rows, so it is solved the same way once
-more. With unique 64-bit orders and blocks of 2**20 no window then holds more than
-2**20 rows (2**23 at the top), however the keys are spread.
+Every other key is one block. Step 3 cuts its own order, the block numbers, once
+more in the same way. With unique 64-bit orders no window of rows holds more than
+``block`` rows then, nor one of totals more than 2**22, however keys are spread.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SUM, _N, _SEEDED = "__sum", "__n", "__seeded"
+# Helper columns.
+_SUM, _N, _ROW, _BLOCK, _SPLIT, _KEY, _ABOVE = (
+    f"__running_{c}" for c in ("sum", "n", "row", "block", "split", "key", "above")
+)
+BLOCK = 1 << 22
 
 
 def running_stats(
@@ -32,23 +38,42 @@ def running_stats(
     ties: Sequence[str] = (),
     sum_type: str = "double",
     carry: DataFrame | None = None,
-    block: int = 1 << 20,
-    levels: int = 2,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``df`` plus ``n``, ``total`` and ``mean`` so far, in ``order`` within each key.
 
     Columns of ``df`` with these names, in any case, give way to the new ones.
     ``order`` is an integer such as a topic offset; ``ties`` (the topic partition)
     settle equal values. ``carry`` has ``key, total, n`` to start from. Select the
-    columns you need first: all of ``df`` is shuffled once by key and block.
+    columns you need first: all of ``df`` is shuffled once by key and block. ``df`` is
+    read two or three times, so write it out before if it is costly to compute.
     """
     if not isinstance(df.schema[order].dataType, T.IntegralType):
         raise TypeError(f"order column {order} must be an integer")
+    kept = [c for c in df.columns if c.lower() not in ("n", "total", "mean")]
     rows = df.withColumns({_SUM: F.col(measure).cast(sum_type), _N: F.lit(1).cast("bigint")})
-    if carry is not None:
+    split = (
+        rows.groupBy(F.col(key).alias(_KEY))
+        .agg(F.count(F.lit(1)).alias(_N))
+        .filter(F.col(_N) > block)
+        .select(_KEY, F.lit(True).alias(_SPLIT))
+    )
+
+    def numbered(part: DataFrame, number: Column) -> DataFrame:
+        marked = part.join(F.broadcast(split), F.col(key).eqNullSafe(F.col(_KEY)), "left")
+        return marked.withColumn(_BLOCK, F.when(F.col(_SPLIT), number).otherwise(0)).drop(_KEY)
+
+    rows = numbered(rows, _cut(order, block))
+    totals = rows.filter(_SPLIT).groupBy(key, _BLOCK).agg(_total(_SUM), _total(_N))
+    if carry is None:
+        starts = _before(totals, key, None)
+    else:
         carry = carry.select(key, F.col("total").alias(_SUM), F.col("n").alias(_N))
-    kept = [c for c in df.columns if c.lower() not in ("n", "total", "mean")]
-    added = _add_up(rows, [key], [order, *ties], 0, carry, block, levels)
+        carry = numbered(carry, F.lit(0))
+        starts = _before(totals, key, carry.filter(_SPLIT).drop(_BLOCK, _SPLIT)).unionByName(
+            carry.filter(F.col(_SPLIT).isNull()).drop(_SPLIT)
+        )
+    added = _add_up(rows.drop(_SPLIT), [key, _BLOCK], [order, *ties], starts, 0)
     return added.select(
         *kept,
         F.col(_N).alias("n"),
@@ -57,34 +82,39 @@ def running_stats(
     )
 
 
+def _before(totals: DataFrame, key: str, carry: DataFrame | None) -> DataFrame:
+    """Per (key, block): sum and count of the carry and of all earlier blocks."""
+    totals = totals.withColumn(_ABOVE, _cut(_BLOCK, BLOCK))
+    above = totals.groupBy(key, _ABOVE).agg(_total(_SUM), _total(_N))
+    starts = _add_up(above, [key], [_ABOVE], carry, -1)
+    return _add_up(totals, [key, _ABOVE], [_BLOCK], starts, -1).drop(_ABOVE)
+
+
 def _add_up(
-    rows: DataFrame,
-    keys: list[str],
-    order: list[str],
-    last: int,
-    start: DataFrame | None,
-    block: int,
-    levels: int,
+    rows: DataFrame, group: list[str], order: list[str], starts: DataFrame | None, last: int
 ) -> DataFrame:
-    """Replace sum and count by those of the rows up to ``last`` (0 this row, -1 the one before)."""
-    group = keys
-    if levels:
-        number = f"__block{levels}"
-        rows = rows.withColumn(number, F.expr(f"`{order[0]}` div {block}L"))
-        group = [*keys, number]
-        totals = rows.groupBy(*group).agg(F.sum(_SUM).alias(_SUM), F.sum(_N).alias(_N))
-        start = _add_up(totals, keys, [number], -1, start, block, levels - 1)
-    # The start value joins its group as the row that sorts first: no join, one shuffle.
-    if start is not None:
-        seeds = start.select(*group, _SUM, _N, F.lit(False).alias(_SEEDED))
-        rows = rows.withColumn(_SEEDED, F.lit(True)).unionByName(seeds, allowMissingColumns=True)
-        order = [_SEEDED, *order]
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
-    zero = F.lit(0)
-    rows = rows.withColumns(
-        {
-            _SUM: F.sum(_SUM).over(w) if last == 0 else F.coalesce(F.sum(_SUM).over(w), zero),
-            _N: F.coalesce(F.sum(_N).over(w), zero),
-        }
+    """Replace sum and count by those up to ``last``: 0 is this row, -1 the one before.
+
+    A start value joins its group as the row that sorts first: no join, one shuffle.
+    """
+    rows = rows.withColumn(_ROW, F.lit(True))
+    if starts is not None:
+        starts = starts.select(*group, _SUM, _N, F.lit(False).alias(_ROW))
+        rows = rows.unionByName(starts, allowMissingColumns=True)
+    w = (
+        Window.partitionBy(*group)
+        .orderBy(_ROW, *order)
+        .rowsBetween(Window.unboundedPreceding, last)
     )
-    return rows if start is None else rows.filter(_SEEDED)
+    total, n = F.sum(_SUM).over(w), F.sum(_N).over(w)
+    if last < 0:
+        total, n = F.coalesce(total, F.lit(0)), F.coalesce(n, F.lit(0))
+    return rows.withColumns({_SUM: total, _N: n}).filter(_ROW).drop(_ROW)
+
+
+def _cut(order: str, width: int) -> Column:
+    return F.expr(f"`{order}` div {width}L")
+
+
+def _total(col: str) -> Column:
+    return F.sum(col).alias(col)

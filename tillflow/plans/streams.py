@@ -47,12 +47,10 @@ def relay_topic(
     *,
     fail_on_data_loss: bool = False,
     trigger: dict | None = None,
-    max_per_trigger: int | None = None,
+    **reading,
 ) -> StreamingQuery:
-    """Pass the valid sales of one topic on to another."""
-    messages = stream_topic(
-        spark, source, fail_on_data_loss=fail_on_data_loss, max_per_trigger=max_per_trigger
-    )
+    """Pass the valid sales of one topic on to another; ``reading`` goes to `stream_topic`."""
+    messages = stream_topic(spark, source, fail_on_data_loss=fail_on_data_loss, **reading)
     return stream_to_topic(relay(messages, schema), sink, checkpoint, trigger)
 
 
@@ -71,14 +69,14 @@ def stream_topic_to_table(
     checkpoint: str,
     *,
     trigger: dict | None = None,
-    max_per_trigger: int | None = None,
     dedupe_key: str | None = None,
+    **reading,
 ) -> StreamingQuery:
-    """Insert a topic's sales into the catalog table.
+    """Insert a topic's sales into the catalog table; ``reading`` goes to `stream_topic`.
 
     The numbers of the feed may be quoted or not, so they are parsed as text and cast.
     """
-    sales = parse_json(stream_topic(spark, source, max_per_trigger=max_per_trigger))
+    sales = parse_json(stream_topic(spark, source, **reading))
     spec = {
         out: ("Quantité" if name == "Quantite" else name, to)
         for out, (name, to) in SALE_TABLE_PROJECTION.items()

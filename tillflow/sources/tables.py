@@ -37,7 +37,8 @@ def create_table(
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {namespace}")
+    """Tables of the namespace; Spark would add the session's temporary views."""
+    return spark.sql(f"SHOW TABLES IN {namespace}").filter("NOT isTemporary")
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
