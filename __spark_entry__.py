@@ -7,6 +7,7 @@ Sales are bound to ``events`` where identity, order or a stream matters and to
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Callable
 from functools import reduce
 
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from tillflow.functions.casts import DECIMAL, ISO_DATE, WHOLE
 from tillflow.operators import aggregates, filters, messages, parsing, projections
 from tillflow.operators.running import running_stats

@@ -1,4 +1,11 @@
-from tillflow.operators.aggregates import group_stats, group_totals, limit_rows, row_count, top_k
+from tillflow.operators.aggregates import (
+    group_stats,
+    group_stats_each,
+    group_totals,
+    limit_rows,
+    row_count,
+    top_k,
+)
 from tillflow.operators.filters import filter_header_row, filter_nonempty, filter_threshold
 from tillflow.operators.messages import big_sale_alert, category_message, city_message
 from tillflow.operators.projections import expand_struct, rename_by_name, rename_by_position
@@ -102,3 +109,15 @@ def test_message_texts(spark):
     assert city_message(city).first().message == "🏙️  Lyon: 12345678.50€"
     sale = spark.createDataFrame([("Lit", 1e7, "Ann")], "Produit string, Total double, Client string")
     assert big_sale_alert(sale).first().message == "🚨 GROSSE VENTE! Lit - 1.0E7€ - Ann"
+
+
+def test_each_key_in_one_pass(spark):
+    rows = [("a", 1, 1.0), ("a", None, 2.0), (None, 1, 4.0), (None, None, 8.0), ("b", 2, 16.0)]
+    df = spark.createDataFrame(rows, "x string, y int, Total double")
+    got = group_stats_each(df, ["x", "y"])
+    want = [
+        (by, *row)
+        for by in ("x", "y")
+        for row in group_stats(df, by).withColumn(by, df[by].cast("string")).collect()
+    ]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want)))

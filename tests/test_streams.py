@@ -256,3 +256,24 @@ def test_strict_parse_is_the_same_on_a_stream(spark, tmp_path):
     write_each_batch(parsed, parquet_batches(out), str(tmp_path / "ckpt"), NOW).awaitTermination()
     want = split_parsed(parse_sale_strict(read_topic(spark, src), keep=["offset"]))[0]
     assert rows_of(spark.read.parquet(out).drop("batch_id")) == rows_of(want)
+
+
+def test_live_metrics_per_micro_batch(spark, tmp_path):
+    sales = [[text(Categorie=c, Total="10.5") for c in "AAB"], [text(Categorie="A", Total="1")]]
+    src = messages_topic(spark, tmp_path, sales)
+    sinks = {n: parquet_batches(str(tmp_path / n)) for n in ("category", "city")}
+    (query,) = live_sales_metrics(
+        stream_topic(spark, src, max_per_trigger=1), sinks, str(tmp_path / "ckpt"), trigger=NOW
+    )
+    query.awaitTermination()
+    got = {
+        n: sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / n))
+                  .select("batch_id", "message").collect())
+        for n in sinks
+    }
+    assert got["category"] == [
+        (0, "📊 A: 2 ventes, CA: 21.00€, Moyenne: 10.50€"),
+        (0, "📊 B: 1 ventes, CA: 10.50€, Moyenne: 10.50€"),
+        (1, "📊 A: 3 ventes, CA: 22.00€, Moyenne: 7.33€"),
+    ]
+    assert got["city"] == [(0, "🏙️  Lyon: 31.50€"), (1, "🏙️  Lyon: 32.50€")]

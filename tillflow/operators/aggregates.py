@@ -35,6 +35,37 @@ def group_totals(
     return df.groupBy(key).agg(F.sum(F.col(measure).cast(sum_type)).alias("total"))
 
 
+def group_stats_each(
+    df: DataFrame, keys: Sequence[str], measure: str = "Total", sum_type: str = "double"
+) -> DataFrame:
+    """`group_stats` by each key on its own, in one pass over the rows.
+
+    ``by`` names the key column and ``key`` is its value as text.
+    """
+    total = F.sum(F.col(measure).cast(sum_type))
+    n = F.count(F.lit(1))
+    # grouping_id has a bit per key, the last key lowest, set where the key is left out.
+    ids = {k: (1 << len(keys)) - 1 - (1 << i) for i, k in enumerate(reversed(keys))}
+    level = F.grouping_id()
+    stats = df.groupingSets([[k] for k in keys], *keys).agg(
+        level.alias("level"),
+        n.alias("n"),
+        total.alias("total"),
+        (total.cast("double") / n).alias("mean"),
+    )
+
+    def by_level(values: dict[str, Column]) -> Column:
+        return F.coalesce(*[F.when(F.col("level") == ids[k], v) for k, v in values.items()])
+
+    return stats.select(
+        by_level({k: F.lit(k) for k in keys}).alias("by"),
+        by_level({k: F.col(k).cast("string") for k in keys}).alias("key"),
+        "n",
+        "total",
+        "mean",
+    )
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """One row, one column ``n``."""
     return df.agg(F.count(F.lit(1)).alias("n"))

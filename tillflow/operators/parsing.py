@@ -14,7 +14,7 @@ from tillflow.schemas import SALE_EVENT, SALE_RAW
 
 _BROKEN = "_corrupt_record"
 _WHOLE_NUMBER = r"^[+-]?\d+$"
-_OBJECT_START = r"^\s*\{"
+_JSON_BLANKS = " \t\r\n"
 
 
 def parse_json(df: DataFrame, schema: T.StructType = SALE_RAW, col: str = "value") -> DataFrame:
@@ -27,11 +27,12 @@ def _parsed_once(text: Column, schema: T.StructType, options: dict | None = None
 
     Catalyst moves a later filter below a plain projection and copies the parse into
     it for every field the filter reads. It does not move one below a generator.
-    Text that is no object would parse to NULL by way of a costly exception; the
-    pattern gives the same NULL.
+    Text that does not open an object would parse to NULL by way of a costly
+    exception, so it is NULL from the start.
     """
     text = text.cast("string")
-    record = F.from_json(F.when(text.rlike(_OBJECT_START), text), schema, options)
+    opens = F.ltrim(text, F.lit(_JSON_BLANKS)).startswith("{")
+    record = F.from_json(F.when(opens, text), schema, options)
     return F.explode(F.array(record)).alias("data")
 
 
@@ -77,7 +78,8 @@ def _is_nested(text: Column, field: str) -> Column:
     kind = F.schema_of_variant(
         F.try_variant_get(F.try_parse_json("raw"), f"$['{field}']", "variant")
     )
-    return F.when(text.rlike(r"^[\[{]"), kind.rlike("^(OBJECT|ARRAY)")).otherwise(False)
+    looks_nested = text.startswith("{") | text.startswith("[")
+    return F.when(looks_nested, kind.rlike("^(OBJECT|ARRAY)")).otherwise(False)
 
 
 def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

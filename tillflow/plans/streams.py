@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tillflow.operators.aggregates import group_stats, group_totals
+from tillflow.operators.aggregates import group_stats_each
 from tillflow.operators.filters import filter_key_present, filter_nonempty
 from tillflow.operators.messages import (
     big_sale_alert,
@@ -105,18 +106,21 @@ def live_sales_metrics(
 
     ``sinks`` may name ``category``, ``city``, ``alerts``, ``events``, ``sales`` and
     ``rejects``. Parsing is strict. The plain branches share one query. Turnover
-    reports changed keys once per micro-batch, each from its own query; with
+    reports changed keys once per micro-batch, from one more query for both keys; with
     ``per_record`` it reports after every sale, inside the shared query, so the
     topic is read once (needs ``partition`` and ``offset`` columns).
     """
     place = ("partition", "offset") if per_record else ()
     parsed = parse_sale_strict(filter_nonempty(messages), keep=place)
 
-    def branch(name, make):
+    def sales(batch: DataFrame) -> DataFrame:
+        return split_parsed(batch)[0]
+
+    def branch(name: str, make: Callable[[DataFrame], DataFrame]) -> BatchSink:
         return lambda batch, batch_id: sinks[name](make(batch), batch_id)
 
-    def sales(batch):
-        return split_parsed(batch)[0]
+    def report(key: str, text: Callable[..., DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        return lambda stats: text(stats.filter(F.col("by") == key), "key")
 
     plain = {
         "alerts": lambda batch: big_sale_alert(sales(batch), threshold),
@@ -124,32 +128,20 @@ def live_sales_metrics(
         "sales": lambda batch: sale_message(sales(batch)),
         "rejects": reject_envelope,
     }
-    keyed = {
-        "category": ("Categorie", group_stats, category_message),
-        "city": ("Ville", group_totals, city_message),
-    }
+    keyed = {"category": ("Categorie", category_message), "city": ("Ville", city_message)}
+    keyed = {name: spec for name, spec in keyed.items() if name in sinks}
     shared = {name: branch(name, make) for name, make in plain.items() if name in sinks}
     queries = []
-    for name, (key, group, text) in keyed.items():
-        if name not in sinks:
-            continue
-        if per_record:
-            shared[name] = _per_record(
-                key, text, sinks[name], f"{checkpoint_root}/totals_{name}", sum_type
-            )
-        else:
-            totals = group(sales(parsed), key, sum_type=sum_type)
-            queries.append(
-                write_each_batch(
-                    totals,
-                    branch(name, text),
-                    f"{checkpoint_root}/{name}",
-                    trigger,
-                    output_mode="update",
-                )
-            )
+    if keyed and per_record:
+        for name, (key, text) in keyed.items():
+            totals = f"{checkpoint_root}/totals_{name}"
+            shared[name] = _per_record(key, text, sinks[name], totals, sum_type)
+    elif keyed:
+        stats = group_stats_each(sales(parsed), [k for k, _ in keyed.values()], sum_type=sum_type)
+        reports = {name: branch(name, report(*spec)) for name, spec in keyed.items()}
+        queries += fan_out(stats, reports, f"{checkpoint_root}/turnover", True, trigger, "update")
     if shared:
-        queries += fan_out(parsed, shared, checkpoint_root, shared=True, trigger=trigger)
+        queries += fan_out(parsed, shared, checkpoint_root, True, trigger)
     return queries
 
 

@@ -61,6 +61,7 @@ def fan_out(
     checkpoint_root: str,
     shared: bool = False,
     trigger: dict | None = None,
+    output_mode: str = "append",
 ) -> list[StreamingQuery]:
     """Feed one stream to several sinks.
 
@@ -70,7 +71,7 @@ def fan_out(
     """
     if not shared:
         return [
-            write_each_batch(df, sink, f"{checkpoint_root}/{name}", trigger)
+            write_each_batch(df, sink, f"{checkpoint_root}/{name}", trigger, output_mode)
             for name, sink in sinks.items()
         ]
 
@@ -82,4 +83,4 @@ def fan_out(
         finally:
             batch.unpersist()
 
-    return [write_each_batch(df, write_all, f"{checkpoint_root}/shared", trigger)]
+    return [write_each_batch(df, write_all, f"{checkpoint_root}/shared", trigger, output_mode)]
