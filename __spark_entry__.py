@@ -654,6 +654,17 @@ def sink_csv_if_absent(spark, sf):
     )
 
 
+@query("SELECT FALSE AS before, TRUE AS after, count(*) AS n FROM events")
+def path_has_data(spark, sf):
+    path = scratch_dir(spark, "csv")
+    before = file_sources.path_has_data(spark, path)
+    file_sinks.write_csv(table(spark, sf, "events"), path)
+    after = file_sources.path_has_data(spark, path)
+    return aggregates.row_count(file_sources.read_csv_raw(spark, path)).select(
+        F.lit(before).alias("before"), F.lit(after).alias("after"), "n"
+    )
+
+
 def _inbox(spark: SparkSession, sf: str) -> str:
     """A folder of CSV drops: all sales, then one small file with a sale per category."""
     events = table(spark, sf, "events")
@@ -889,6 +900,20 @@ def stream_category_stats(spark, sf):
     return latest_per_key(spark.read.parquet(out), "event_type")
 
 
+@query("""
+SELECT user_id, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY 1
+""")
+def stream_city_totals(spark, sf):
+    totals = aggregates.group_totals(event_stream(spark, sf), "user_id", "value", MONEY)
+    out = scratch_dir(spark, "totals")
+    finish(
+        write_each_batch(
+            in_money(totals), parquet_batches(out), scratch_dir(spark, "ckpt"), NOW, "update"
+        )
+    )
+    return latest_per_key(spark.read.parquet(out), "user_id")
+
+
 @query("""
 SELECT user_id, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY 1
 ORDER BY 2 DESC, 1 LIMIT 5
@@ -907,14 +932,13 @@ def stream_top_cities(spark, sf):
     ).drop("batch_id")
 
 
-@query(RUNNING.format(key="event_type", value="value::DECIMAL(18,2)"))
-def stream_category_stats_running(spark, sf):
-    rows = event_stream(spark, sf).select("event_id", "event_type", "value")
+def _running_stream(spark, sf, key):
+    rows = event_stream(spark, sf).select("event_id", key, "value")
     out = scratch_dir(spark, "running")
     finish(
         running_stats_stream(
             rows,
-            "event_type",
+            key,
             "value",
             "event_id",
             out,
@@ -926,6 +950,16 @@ def stream_category_stats_running(spark, sf):
     return in_money(spark.read.parquet(out)).drop("value", "batch_id")
 
 
+@query(RUNNING.format(key="event_type", value="value::DECIMAL(18,2)"))
+def stream_category_stats_running(spark, sf):
+    return _running_stream(spark, sf, "event_type")
+
+
+@query(RUNNING.format(key="user_id", value="value::DECIMAL(18,2)"))
+def stream_city_totals_running(spark, sf):
+    return _running_stream(spark, sf, "user_id")
+
+
 @query("SELECT event_id AS id, event_type AS data FROM events")
 def stream_to_table(spark, sf):
     name = new_table(spark, TEST_TABLE)

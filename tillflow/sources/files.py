@@ -34,18 +34,20 @@ def latest_file(
 
     Only the listing is read, never the contents. Raises if nothing matches.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    newest = (
-        reader.load(directory)
+    # Tasks are cut by file size, which says nothing here: pack the files by core instead.
+    listing = spark.newSession()
+    listing.conf.set("spark.sql.files.maxPartitionBytes", "1t")
+    found = (
+        listing.read.format("binaryFile")
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", recursive)
+        .load(directory)
         .select("path", "modificationTime", "length")
-        .orderBy(F.desc("modificationTime"), "path")
-        .limit(1)
     )
-    if newest.isEmpty():
+    newest = found.orderBy(F.desc("modificationTime"), "path").first()
+    if newest is None:
         raise FileNotFoundError(f"no {glob} under {directory}")
-    return newest
+    return spark.createDataFrame([newest], found.schema)
 
 
 def path_has_data(spark: SparkSession, path: str) -> bool:
