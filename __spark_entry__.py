@@ -213,7 +213,7 @@ def new_table(spark: SparkSession, schema) -> str:
     return name
 
 
-def message_topic(spark: SparkSession, sf: str, name: str = "eventsin") -> Topic:
+def message_topic(spark: SparkSession, sf: str, name: str = "sales_in") -> Topic:
     """A folder topic that holds all of ``sale_messages``."""
     topic = Topic.files(name, scratch_dir(spark, name))
     topic_sinks.write_topic(sale_messages(table(spark, sf, "events")).select("value"), topic)
@@ -701,7 +701,7 @@ def latest_file(spark, sf):
 
 @query(DIGEST.format("count(*)::INTEGER", "sum(value::DECIMAL(18,2))::DOUBLE"))
 def ingest_latest_file(spark, sf):
-    topic = Topic.files("eventsin", scratch_dir(spark, "eventsin"))
+    topic = Topic.files("sales_in", scratch_dir(spark, "sales_in"))
     batch.ingest_latest_file(spark, _inbox(spark, sf), topic, SALE_CSV_PRICED)
     parsed = parsing.parse_sale_strict(read_topic(spark, topic))
     return parsing.split_parsed(parsed)[0].select(
@@ -774,10 +774,10 @@ def catalog_smoke(spark, sf):
 
 
 @query("""
-SELECT event_id::VARCHAR AS key, props AS value, 'eventsin' AS topic FROM events
+SELECT event_id::VARCHAR AS key, props AS value, 'sales_in' AS topic FROM events
 """)
 def envelope_view(spark, sf):
-    topic = Topic.files("eventsin", scratch_dir(spark, "eventsin"))
+    topic = Topic.files("sales_in", scratch_dir(spark, "sales_in"))
     rows = table(spark, sf, "events").selectExpr(
         "CAST(event_id AS STRING) AS key", "props AS value"
     )
@@ -804,7 +804,7 @@ def land_topic(spark, sf):
 @query(LENIENT)
 def relay_topic(spark, sf):
     source = message_topic(spark, sf)
-    sink = Topic.files("eventsout", scratch_dir(spark, "eventsout"))
+    sink = Topic.files("sales_out", scratch_dir(spark, "sales_out"))
     finish(streams.relay_topic(spark, source, sink, scratch_dir(spark, "ckpt"), trigger=NOW))
     return parsing.parse_json(read_topic(spark, sink))
 
@@ -812,7 +812,7 @@ def relay_topic(spark, sf):
 @query(LENIENT)
 def resume_from_checkpoint(spark, sf):
     source = message_topic(spark, sf)
-    sink = Topic.files("eventsout", scratch_dir(spark, "eventsout"))
+    sink = Topic.files("sales_out", scratch_dir(spark, "sales_out"))
     checkpoint = scratch_dir(spark, "ckpt")
     finish(streams.relay_topic(spark, source, sink, checkpoint, trigger=NOW))
     finish(streams.relay_topic(spark, source, sink, checkpoint, trigger=NOW))
@@ -830,7 +830,7 @@ def _fan_out(spark, sf, shared):
         parsing.parse_json(stream_topic(spark, message_topic(spark, sf)))
     )
     out = scratch_dir(spark, "sales")
-    topic = Topic.files("eventsout", scratch_dir(spark, "eventsout"))
+    topic = Topic.files("sales_out", scratch_dir(spark, "sales_out"))
     send = topic_sinks.topic_batches(topic)
     sinks = {
         "parquet": parquet_batches(out),

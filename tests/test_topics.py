@@ -8,13 +8,13 @@ from tillflow.schemas import ENVELOPE
 from tillflow.sinks.topics import kafka_write_options, topic_batches, write_topic
 from tillflow.sources.topics import Topic, kafka_read_options, read_topic
 
-KAFKA = Topic.kafka("eventsin", "broker:9092")
+KAFKA = Topic.kafka("sales_in", "broker:9092")
 
 
 def test_kafka_options():
     assert kafka_read_options(KAFKA, streaming=True, fail_on_data_loss=False) == {
         "kafka.bootstrap.servers": "broker:9092",
-        "subscribe": "eventsin",
+        "subscribe": "sales_in",
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
     }
@@ -27,7 +27,7 @@ def test_kafka_options():
     assert stream["kafka.group.id"] == "g"
     assert kafka_write_options(KAFKA) == {
         "kafka.bootstrap.servers": "broker:9092",
-        "topic": "eventsin",
+        "topic": "sales_in",
     }
 
 
