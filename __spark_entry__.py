@@ -770,6 +770,31 @@ def catalog_smoke(spark, sf):
     )
 
 
+@query("""
+SELECT 'namespace' AS kind, 'found' AS name, NULL::BIGINT AS n
+UNION ALL SELECT 'table', 'ventes', NULL
+UNION ALL SELECT 'rows', 'ventes', count(*) FROM events
+""")
+def catalog_listing(spark, sf):
+    folder = scratch_dir(spark, "ns")
+    ns = folder.rpartition("/")[2].replace("-", "_")
+    catalog.create_namespace(spark, ns, folder)
+    catalog.create_table(spark, f"{ns}.ventes", TEST_TABLE)
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    table_sinks.append_table(events, f"{ns}.ventes")
+    none = F.lit(None).cast("bigint").alias("n")
+    found = catalog.list_namespaces(spark).filter(F.col("namespace") == ns)
+    tables = catalog.list_tables(spark, ns)
+    rows = aggregates.row_count(catalog.scan_table(spark, f"{ns}.ventes"))
+    return (
+        found.select(F.lit("namespace").alias("kind"), F.lit("found").alias("name"), none)
+        .unionByName(
+            tables.select(F.lit("table").alias("kind"), F.col("tableName").alias("name"), none)
+        )
+        .unionByName(rows.select(F.lit("rows").alias("kind"), F.lit("ventes").alias("name"), "n"))
+    )
+
+
 # --- topics ------------------------------------------------------------------
 
 
@@ -819,6 +844,19 @@ def resume_from_checkpoint(spark, sf):
     return parsing.parse_json(read_topic(spark, sink))
 
 
+@query(f"{LENIENT} UNION ALL {LENIENT}")
+def tolerate_offset_reset(spark, sf):
+    source = Topic.files("sales_in", scratch_dir(spark, "sales_in"))
+    sink = Topic.files("sales_out", scratch_dir(spark, "sales_out"))
+    checkpoint = scratch_dir(spark, "ckpt")
+    texts = sale_messages(table(spark, sf, "events")).select("value")
+    # The second writing replaces the topic's messages and starts at the old offset.
+    for _ in range(2):
+        topic_sinks.topic_batches(source)(texts, 0)
+        finish(streams.relay_topic(spark, source, sink, checkpoint, trigger=NOW))
+    return parsing.parse_json(read_topic(spark, sink))
+
+
 FANNED = f"""
 SELECT 'parquet' AS sink, "IDVente", "Total" FROM ({LENIENT})
 UNION ALL SELECT 'topic', "IDVente", "Total" FROM ({LENIENT})

@@ -4,7 +4,8 @@ A window over a whole key puts that key into one task, which fails once a key ho
 a good part of the rows. So keys with more than ``block`` rows are split:
 
 1. count the rows per key, on the map side first; the split keys are fewer than
-   rows / ``block``, which bounds the set that is broadcast;
+   rows / ``block``, which bounds the set that is broadcast (250,000 keys of a
+   trillion rows);
 2. cut the order column of split keys into blocks and total each (key, block);
 3. add up the totals of all earlier blocks, over those few rows;
 4. window each (key, block), starting from the sum of step 3.
@@ -27,6 +28,9 @@ _SUM, _N, _ROW, _BLOCK, _SPLIT, _KEY, _ABOVE = (
     f"__running_{c}" for c in ("sum", "n", "row", "block", "split", "key", "above")
 )
 BLOCK = 1 << 22
+# With blocks this large the split keys of a trillion rows are under 16 million; with
+# smaller ones Spark decides by size how to join them.
+_BOUNDED = 1 << 16
 
 
 def running_stats(
@@ -58,9 +62,11 @@ def running_stats(
         .filter(F.col(_N) > block)
         .select(_KEY, F.lit(True).alias(_SPLIT))
     )
+    if block >= _BOUNDED:
+        split = F.broadcast(split)
 
     def numbered(part: DataFrame, number: Column) -> DataFrame:
-        marked = part.join(F.broadcast(split), F.col(key).eqNullSafe(F.col(_KEY)), "left")
+        marked = part.join(split, F.col(key).eqNullSafe(F.col(_KEY)), "left")
         return marked.withColumn(_BLOCK, F.when(F.col(_SPLIT), number).otherwise(0)).drop(_KEY)
 
     rows = numbered(rows, _cut(order, block))

@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 from tillflow.schemas import SALE_TABLE, TEST_TABLE
 
 
-def create_namespace(spark: SparkSession, namespace: str) -> None:
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
+def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{place}")
 
 
 def list_namespaces(spark: SparkSession, catalog: str | None = None) -> DataFrame:
