@@ -28,9 +28,9 @@ _SUM, _N, _ROW, _BLOCK, _SPLIT, _KEY, _ABOVE = (
     f"__running_{c}" for c in ("sum", "n", "row", "block", "split", "key", "above")
 )
 BLOCK = 1 << 22
-# With blocks this large the split keys of a trillion rows are under 16 million; with
+# With blocks this large the split keys of a trillion rows are under a million; with
 # smaller ones Spark decides by size how to join them.
-_BOUNDED = 1 << 16
+_BOUNDED = 1 << 20
 
 
 def running_stats(
