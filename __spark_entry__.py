@@ -64,12 +64,33 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries of the ``llm`` subpackage and of ``corpus_pipeline``, and their SQL, where these exist."""
+    try:
+        from tillflow.llm import queries as operators
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("tillflow.llm", "tillflow.llm.queries"):
+            raise
+        return {}, {}
+    found, sql = dict(operators.QUERIES), dict(operators.ORACLES)
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as missing:
+        if missing.name != "corpus_pipeline":
+            raise
+    else:
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | _training_data()[1]
 
 
 def entry(spark: SparkSession) -> DataFrame:
