@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import substrings
+from tillflow.llm import decontaminate, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,3 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.drop_repeats(table(spark, sf_dir, "documents")))
+
+
+@query(decontaminate.SQL)
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.contained_items(docs, items))
