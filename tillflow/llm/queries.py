@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import decontaminate, simhash, substrings
+from tillflow.llm import decontaminate, hosts, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,3 +42,8 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query()
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
+@query(hosts.sql())
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge_urls(table(spark, sf_dir, "pages"), hosts.RULES)
