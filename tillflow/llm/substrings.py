@@ -2,10 +2,12 @@
 
 Every window of ``span`` bytes is filed under the least hash of its short grams, so equal
 windows meet under one key wherever they stand; neighbouring windows that share that gram
-form a run. Runs whose key is unique are done. Runs of one key with equal bytes keep the
-earliest; the distinct ones are suffix-sorted by two-stage sorting, and adjacent common
-prefixes show the windows they share. Keys with more distinct runs than ``limit`` are cut
-into single windows, which need no sorting and spread over all tasks.
+form a run, and about eight runs form a stretch. Of stretches with equal bytes only the
+earliest goes on: the windows of the others all start earlier there. Of what is left, runs
+whose key is unique are done. Runs of one key with equal bytes keep the earliest; the
+distinct ones are suffix-sorted by two-stage sorting, and adjacent common prefixes show the
+windows they share. Keys with more distinct runs than ``limit`` are cut into single windows,
+which need no sorting and spread over all tasks.
 """
 
 from __future__ import annotations
@@ -39,6 +41,9 @@ _MIX = np.random.default_rng(100).integers(0, 2**63, 256, dtype=np.uint64) * np.
 _PLACE = np.uint64((1 << 24) - 1)
 _SEGMENT = 1 << 23
 
+_STRETCH = pa.schema(
+    [(c, pa.int64()) for c in ("key", "bytes_hash", "at", "ord", "tid", "lo", "hi")]
+)
 _RUN = pa.schema(
     [("key", pa.int64()), ("bytes_hash", pa.int64()), ("ord", pa.int64()), ("tid", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())]
 )
@@ -91,6 +96,32 @@ def window_runs(
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
+def stretches(raw: bytes, runs: tuple, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Heads of the stretches among ``runs`` and a hash of 128 bits of each one's bytes, as two words.
+
+    A stretch ends where the key of the next run says so, or with its row.
+    """
+    key, lo, hi, row = runs
+    if not len(key):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    begins = key & np.uint64(7) == 0
+    begins[0] = True
+    begins[1:] |= row[1:] != row[:-1]
+    head = np.flatnonzero(begins)
+    last = np.append(head[1:], len(key)) - 1
+    h = xxhash.xxh3_128_digest
+    both = b"".join(h(raw[a:b]) for a, b in zip(lo[head].tolist(), (hi[last] + span).tolist(), strict=True))
+    words = np.frombuffer(both, ">u8").astype(np.uint64)
+    return head, words[::2], words[1::2]
+
+
+def _place_hash(key: np.ndarray, ord_: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    x = key + ord_.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + lo.astype(np.uint64) * np.uint64(0x9E3779B185EBCA87)
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    return x ^ (x >> np.uint64(33))
+
+
 def _batches(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
@@ -107,10 +138,45 @@ def _hash_runs(part: np.ndarray, lo: np.ndarray, hi: np.ndarray, span: int) -> n
 def removed_spans(docs: DataFrame, span: int, gram: int, limit: int) -> DataFrame:
     """Rows ``ord, tid, a, b``: bytes ``a`` to ``b`` of the row go; rows may overlap."""
     context = docs.sparkSession.sparkContext
+    rank = F.col("ord").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)") + F.col("lo")
+    rank = rank.cast("decimal(38,0)")
+
+    def firsts(rows: DataFrame, *by: str) -> DataFrame:
+        return rows.groupBy(*by).agg(F.min(rank).alias("first"), F.count("*").alias("n"))
+
+    def cut(batches):
+        for part, offs, ord_, tid in _batches(batches):
+            runs = window_runs(part, offs, span, gram)
+            head, key, more = stretches(part.tobytes(), runs, span)
+            row = runs[3][head]
+            lo, hi = runs[1][head], runs[2][np.append(head[1:], len(runs[0])) - 1] if len(head) else head
+            cols = [key.view(np.int64), more.view(np.int64), _place_hash(key, ord_[row], lo - offs[row]).view(np.int64), ord_[row], tid[row], lo - offs[row], hi - offs[row]]
+            yield pa.record_batch([pa.array(c) for c in cols], schema=_STRETCH)
+
+    long = stored(docs.mapInArrow(cut, "key long, bytes_hash long, at long, ord long, tid long, lo long, hi long"), "stretches")
+    shared = stored(firsts(long, "key", "bytes_hash").filter("n > 1"), "shared_stretches")
+    copied = context.broadcast(bit_filter(shared.select("key").distinct(), FILTER_BITS))
+
+    def suspected(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(passes(copied.value, batch.column("key").to_numpy().view(np.uint64))))
+
+    # a stretch that only the filter takes for a copy has no first one, and leads
+    judged = stored(long.mapInArrow(suspected, long.schema).join(shared, ["key", "bytes_hash"], "left").withColumn("later", F.coalesce(rank > F.col("first"), F.lit(False))), "judged_stretches")
+    leading = context.broadcast(bit_filter(judged.filter("not later").select(F.col("at").alias("key")), FILTER_BITS))
+
+    def live(part, offs, ord_):
+        """The runs of all stretches but later copies."""
+        runs = window_runs(part, offs, span, gram)
+        head, key, _ = stretches(part.tobytes(), runs, span)
+        row = runs[3][head]
+        first = passes(leading.value, _place_hash(key, ord_[row], runs[1][head] - offs[row]))
+        keep = np.repeat(~passes(copied.value, key) | first, np.diff(np.append(head, len(runs[0]))))
+        return tuple(c[keep] for c in runs)
 
     def count_keys(batches):
-        for part, offs, _, _ in _batches(batches):
-            key, n = np.unique(window_runs(part, offs, span, gram)[0], return_counts=True)
+        for part, offs, ord_, _ in _batches(batches):
+            key, n = np.unique(live(part, offs, ord_)[0], return_counts=True)
             yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(np.minimum(n, 2))], names=["key", "n"])
 
     counts = docs.mapInArrow(count_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -120,7 +186,7 @@ def removed_spans(docs: DataFrame, span: int, gram: int, limit: int) -> DataFram
         def emit(batches):
             keep = wanted.value
             for part, offs, ord_, tid in _batches(batches):
-                key, lo, hi, row = window_runs(part, offs, span, gram)
+                key, lo, hi, row = live(part, offs, ord_)
                 ok = passes(keep, key)
                 key, lo, hi, row = key[ok], lo[ok], hi[ok], row[ok]
                 if single:
@@ -132,12 +198,6 @@ def removed_spans(docs: DataFrame, span: int, gram: int, limit: int) -> DataFram
 
         return docs.mapInArrow(emit, _RUN_DDL)
 
-    rank = F.col("ord").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)") + F.col("lo")
-    rank = rank.cast("decimal(38,0)")
-
-    def firsts(rows: DataFrame, *by: str) -> DataFrame:
-        return rows.groupBy(*by).agg(F.min(rank).alias("first"))
-
     many = stored(runs(repeated, False), "runs")
     first = stored(firsts(many, "key", "bytes_hash"), "firsts")
     per_key = first.groupBy("key").agg(F.count("*").alias("n"))
@@ -150,7 +210,7 @@ def removed_spans(docs: DataFrame, span: int, gram: int, limit: int) -> DataFram
     def run_bytes(batches):
         keep, skip = sorting.value, crowded.value
         for part, offs, ord_, _ in _batches(batches):
-            key, lo, hi, row = window_runs(part, offs, span, gram)
+            key, lo, hi, row = live(part, offs, ord_)
             ok = passes(keep, key) & ~passes(skip, key)
             key, lo, hi, row = key[ok], lo[ok], hi[ok], row[ok]
             raw = part.tobytes()
@@ -175,7 +235,8 @@ def removed_spans(docs: DataFrame, span: int, gram: int, limit: int) -> DataFram
         picked = F.when(rank > F.col("first"), whole).otherwise(inner)
         return rows.join(judged, ["key", "bytes_hash"]).select("ord", "tid", F.explode(picked).alias("s")).select("ord", "tid", "s.a", "s.b")
 
-    out = spans(many, first.join(cuts, ["key", "bytes_hash"], "left"))
+    later = judged.filter("later").select("ord", "tid", F.col("lo").alias("a"), (F.col("hi") + span).alias("b"))
+    out = later.unionByName(spans(many, first.join(cuts, ["key", "bytes_hash"], "left")))
     if any_crowded:  # the first of their runs are judged window by window
         windows = stored(runs(crowded, True), "windows")
         alone = firsts(windows, "key", "bytes_hash").withColumn("cuts", none)
