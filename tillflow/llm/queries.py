@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import decontaminate, hosts, simhash, substrings
+from tillflow.llm import decontaminate, hosts, lines, sharding, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,3 +47,16 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(hosts.sql())
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge_urls(table(spark, sf_dir, "pages"), hosts.RULES)
+
+
+_TREE, _GROWN = sharding.plain_tree(40), sharding.plain_tree(41)
+
+
+@query(sharding.sql(_TREE, _GROWN))
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(sharding.assign_shards(table(spark, sf_dir, "documents"), _TREE, _GROWN))
+
+
+@query(lines.SQL)
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.drop_repeated_lines(table(spark, sf_dir, "documents")))
