@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.option("compression", "zstd").parquet(path)
+    # Spark drops the shuffle files of a finished query when its plan is collected as garbage
+    gc.collect()
+    spark._jvm.System.gc()
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import decontaminate, hosts, lines, sharding, simhash, substrings
+from tillflow.llm import decontaminate, hosts, lines, quality, sharding, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.assign_shards(table(spark, sf_dir, "documents"), _TREE, _GROWN))
 
 
+@query()
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.digest(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query(lines.SQL)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.drop_repeated_lines(table(spark, sf_dir, "documents")))
