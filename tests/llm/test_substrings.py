@@ -54,10 +54,11 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize(("span", "gram", "limit"), [(40, 16, 1000), (40, 8, 2), (100, 32, 1000)])
-def test_against_all_windows(spark, span, gram, limit):
-    rows = corpus(span + limit)
-    assert run(spark, rows, span, gram=gram, limit=limit) == brute(rows, span)
+@pytest.mark.parametrize(("span", "gram", "together", "bits"), [(40, 16, 1000, 26), (40, 8, 2, 15), (100, 32, 1000, 26)])
+def test_against_all_windows(spark, monkeypatch, span, gram, together, bits):
+    monkeypatch.setattr(substrings, "FILTER_BITS", bits)  # the smallest filter lets much pass by chance
+    rows = corpus(span + together)
+    assert run(spark, rows, span, gram=gram, together=together) == brute(rows, span)
 
 
 def test_empty_table(spark):

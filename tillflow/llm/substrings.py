@@ -4,19 +4,24 @@ Every window of ``span`` bytes is filed under the least hash of its short grams,
 windows meet under one key wherever they stand; neighbouring windows that share that gram
 form a run, and about eight runs form a stretch. Of stretches with equal bytes only the
 earliest goes on: the windows of the others all start earlier there. Of what is left, runs
-whose key is unique are done. Runs of one key with equal bytes keep the earliest; the
-distinct ones are suffix-sorted by two-stage sorting, and adjacent common prefixes show the
-windows they share. Keys with more distinct runs than ``limit`` are cut into single windows,
-which need no sorting and spread over all tasks.
+whose key is unique are done. Of runs of one key with equal bytes all but the earliest go.
+The earliest ones of a key are suffix-sorted by two-stage sorting, and adjacent common
+prefixes show the windows they share.
+
+Keys of more than ``together`` runs never meet in one task: their earliest runs are found by
+aggregation and a join, and those with more than ``together`` distinct runs are cut into
+single windows, which need no sorting.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,20 +39,16 @@ from tillflow.llm.suffixes import repeated_starts
 
 #: Bits of the filters that are broadcast: 8 MB each, whatever the input.
 FILTER_BITS = 26
-#: Distinct runs of a key that are sorted together.
-SORTED_TOGETHER = 1024
+#: Runs of a key that one task may hold.
+TOGETHER = 2048
 
 _MIX = np.random.default_rng(100).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64((1 << 24) - 1)
 _SEGMENT = 1 << 23
 
-_STRETCH = pa.schema(
-    [(c, pa.int64()) for c in ("key", "bytes_hash", "at", "ord", "tid", "lo", "hi")]
-)
-_RUN = pa.schema(
-    [("key", pa.int64()), ("bytes_hash", pa.int64()), ("ord", pa.int64()), ("tid", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())]
-)
+_RUN = pa.schema([(c, pa.int64()) for c in ("key", "bytes_hash", "ord", "tid", "lo", "hi")])
 _RUN_DDL = "key long, bytes_hash long, ord long, tid long, lo long, hi long"
+_SPAN_DDL = "ord long, tid long, a long, b long"
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -135,35 +136,57 @@ def _hash_runs(part: np.ndarray, lo: np.ndarray, hi: np.ndarray, span: int) -> n
     return np.fromiter((h(raw[a:b]) for a, b in zip(lo.tolist(), (hi + span).tolist(), strict=True)), np.uint64, len(lo))
 
 
-def removed_spans(docs: DataFrame, span: int, gram: int, limit: int) -> DataFrame:
+def _u64(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy().view(np.uint64)
+
+
+def _rows(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c.view(np.int64)) for c in columns], schema=_RUN)
+
+
+def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataFrame:
     """Rows ``ord, tid, a, b``: bytes ``a`` to ``b`` of the row go; rows may overlap."""
-    context = docs.sparkSession.sparkContext
+    send = docs.sparkSession.sparkContext.broadcast
     rank = F.col("ord").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)") + F.col("lo")
     rank = rank.cast("decimal(38,0)")
 
-    def firsts(rows: DataFrame, *by: str) -> DataFrame:
-        return rows.groupBy(*by).agg(F.min(rank).alias("first"), F.count("*").alias("n"))
+    def firsts(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key", "bytes_hash").agg(F.min(rank).alias("first"), F.count("*").alias("n"))
 
+    def filtered(rows: DataFrame, wanted) -> DataFrame:
+        def emit(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(passes(wanted.value, _u64(batch, "key"))))
+
+        return rows.mapInArrow(emit, rows.schema)
+
+    def places(rows: DataFrame) -> DataFrame:
+        def emit(batches):
+            for batch in batches:
+                at = _place_hash(_u64(batch, "key"), batch.column("ord").to_numpy(), batch.column("lo").to_numpy())
+                yield pa.record_batch([pa.array(at.view(np.int64))], names=["key"])
+
+        return rows.select("key", "ord", "lo").mapInArrow(emit, "key long")
+
+    # stretches: all but the first of equal ones go
     def cut(batches):
         for part, offs, ord_, tid in _batches(batches):
             runs = window_runs(part, offs, span, gram)
             head, key, more = stretches(part.tobytes(), runs, span)
             row = runs[3][head]
             lo, hi = runs[1][head], runs[2][np.append(head[1:], len(runs[0])) - 1] if len(head) else head
-            cols = [key.view(np.int64), more.view(np.int64), _place_hash(key, ord_[row], lo - offs[row]).view(np.int64), ord_[row], tid[row], lo - offs[row], hi - offs[row]]
-            yield pa.record_batch([pa.array(c) for c in cols], schema=_STRETCH)
-
-    long = stored(docs.mapInArrow(cut, "key long, bytes_hash long, at long, ord long, tid long, lo long, hi long"), "stretches")
-    shared = stored(firsts(long, "key", "bytes_hash").filter("n > 1"), "shared_stretches")
-    copied = context.broadcast(bit_filter(shared.select("key").distinct(), FILTER_BITS))
-
-    def suspected(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(passes(copied.value, batch.column("key").to_numpy().view(np.uint64))))
+            yield _rows(key, more, ord_[row], tid[row], lo - offs[row], hi - offs[row])
 
+    long = stored(docs.mapInArrow(cut, _RUN_DDL), "stretches")
+    shared = stored(firsts(long).filter("n > 1"), "shared_stretches")
+    copied = send(bit_filter(shared.select("key").distinct(), FILTER_BITS))
     # a stretch that only the filter takes for a copy has no first one, and leads
-    judged = stored(long.mapInArrow(suspected, long.schema).join(shared, ["key", "bytes_hash"], "left").withColumn("later", F.coalesce(rank > F.col("first"), F.lit(False))), "judged_stretches")
-    leading = context.broadcast(bit_filter(judged.filter("not later").select(F.col("at").alias("key")), FILTER_BITS))
+    later = F.coalesce(rank > F.col("first"), F.lit(False)).alias("later")
+    judged = stored(
+        filtered(long, copied).join(shared, ["key", "bytes_hash"], "left").select("key", "ord", "tid", "lo", "hi", later),
+        "judged_stretches",
+    )
+    leading = send(bit_filter(places(judged.filter("not later")), FILTER_BITS))
 
     def live(part, offs, ord_):
         """The runs of all stretches but later copies."""
@@ -174,132 +197,134 @@ def removed_spans(docs: DataFrame, span: int, gram: int, limit: int) -> DataFram
         keep = np.repeat(~passes(copied.value, key) | first, np.diff(np.append(head, len(runs[0]))))
         return tuple(c[keep] for c in runs)
 
+    # runs: those of a unique key go no further
     def count_keys(batches):
         for part, offs, ord_, _ in _batches(batches):
             key, n = np.unique(live(part, offs, ord_)[0], return_counts=True)
-            yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(np.minimum(n, 2))], names=["key", "n"])
+            yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
-    counts = docs.mapInArrow(count_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    repeated = context.broadcast(bit_filter(counts.filter("n > 1"), FILTER_BITS))
+    counts = docs.mapInArrow(count_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    counts = stored(counts, "repeated_keys")
+    repeated = send(bit_filter(counts, FILTER_BITS))
+    busy = bit_filter(counts.filter(F.col("n") > together), FILTER_BITS)
+    any_busy, busy = bool(busy.any()), send(busy)
 
-    def runs(wanted, single: bool):
+    def runs_of(wanted, besides=None, single=False) -> DataFrame:
         def emit(batches):
-            keep = wanted.value
             for part, offs, ord_, tid in _batches(batches):
                 key, lo, hi, row = live(part, offs, ord_)
-                ok = passes(keep, key)
+                ok = passes(wanted.value, key)
+                if besides is not None:
+                    ok &= ~passes(besides.value, key)
                 key, lo, hi, row = key[ok], lo[ok], hi[ok], row[ok]
                 if single:
                     n = hi - lo + 1
                     lo = ragged(lo, n)
                     hi, key, row = lo, np.repeat(key, n), np.repeat(row, n)
-                cols = [key.view(np.int64), _hash_runs(part, lo, hi, span).view(np.int64), ord_[row], tid[row], lo - offs[row], hi - offs[row]]
-                yield pa.record_batch([pa.array(c) for c in cols], schema=_RUN)
+                yield _rows(key, _hash_runs(part, lo, hi, span), ord_[row], tid[row], lo - offs[row], hi - offs[row])
 
         return docs.mapInArrow(emit, _RUN_DDL)
 
-    many = stored(runs(repeated, False), "runs")
-    first = stored(firsts(many, "key", "bytes_hash"), "firsts")
-    per_key = first.groupBy("key").agg(F.count("*").alias("n"))
-    # every window of a unique run is new, so only keys with several distinct runs go on
-    sorting = context.broadcast(bit_filter(per_key.filter(f"n > 1 and n <= {limit}"), FILTER_BITS))
-    crowded = bit_filter(per_key.filter(f"n > {limit}"), FILTER_BITS)
-    any_crowded = bool(crowded.any())
-    crowded = context.broadcast(crowded)
-
+    together_by_key = runs_of(repeated, busy).repartition("key").sortWithinPartitions("key", "bytes_hash", "ord", "lo")
+    kinds = "key long, ord long, tid long, lo long, hi long, later boolean"
+    apart = stored(together_by_key.mapInArrow(_judge_keys, kinds), "judged_runs")
+    ends = (F.col("hi") + span).alias("b")
+    out = [rows.filter("later").select("ord", "tid", F.col("lo").alias("a"), ends) for rows in (judged, apart)]
+    sorting = places(apart.filter("not later"))
+    if any_busy:
+        many = stored(runs_of(busy), "busy_runs")
+        first = stored(firsts(many), "busy_firsts")
+        distinct = first.groupBy("key").agg(F.count("*").alias("distinct"))
+        crowded = bit_filter(distinct.filter(F.col("distinct") > together), FILTER_BITS)
+        any_crowded, crowded = bool(crowded.any()), send(crowded)
+        copies = many.join(first.select("key", "bytes_hash", "first"), ["key", "bytes_hash"])
+        out.append(copies.filter(rank > F.col("first")).select("ord", "tid", F.col("lo").alias("a"), ends))
+        few = distinct.filter(F.col("distinct").between(2, together)).select("key")
+        sorting = sorting.unionByName(places(copies.filter(rank == F.col("first")).join(few, "key", "left_semi")))
+        if any_crowded:
+            windows = stored(runs_of(crowded, single=True), "windows")
+            copies = windows.join(firsts(windows).filter("n > 1"), ["key", "bytes_hash"])
+            out.append(copies.filter(rank > F.col("first")).select("ord", "tid", F.col("lo").alias("a"), ends))
+    sorting = send(bit_filter(sorting, FILTER_BITS))
+
+    # the earliest of different runs of a key, with their bytes
     def run_bytes(batches):
-        keep, skip = sorting.value, crowded.value
-        for part, offs, ord_, _ in _batches(batches):
+        for part, offs, ord_, tid in _batches(batches):
             key, lo, hi, row = live(part, offs, ord_)
-            ok = passes(keep, key) & ~passes(skip, key)
+            ok = passes(repeated.value, key) & passes(sorting.value, _place_hash(key, ord_[row], lo - offs[row]))
             key, lo, hi, row = key[ok], lo[ok], hi[ok], row[ok]
             raw = part.tobytes()
             pieces = [raw[a:b] for a, b in zip(lo.tolist(), (hi + span).tolist(), strict=True)]
-            cols = [pa.array(key.view(np.int64)), pa.array(pieces, pa.binary()), pa.array(ord_[row]), pa.array(lo - offs[row])]
-            yield pa.record_batch(cols, names=["key", "bytes", "ord", "lo"])
+            cols = [key.view(np.int64), ord_[row], tid[row], lo - offs[row]]
+            yield pa.record_batch([*map(pa.array, cols), pa.array(pieces, pa.binary())], names=["key", "ord", "tid", "lo", "bytes"])
 
     def sort(batches):
-        return _sort_keys(batches, span)
+        for held in _whole_keys(batches, 1 << 21):
+            yield _sorted(held, span)
 
-    cuts = (
-        firsts(docs.mapInArrow(run_bytes, "key long, bytes binary, ord long, lo long"), "key", "bytes")
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(sort, "key long, bytes_hash long, cuts array<struct<a:long,b:long>>")
-    )
-    none = F.lit(None).cast("array<struct<a:long,b:long>>")
-
-    def spans(rows: DataFrame, judged: DataFrame) -> DataFrame:
-        whole = F.array(F.struct(F.col("lo").alias("a"), (F.col("hi") + span).alias("b")))
-        inner = F.transform("cuts", lambda c: F.struct((c["a"] + F.col("lo")).alias("a"), (c["b"] + F.col("lo")).alias("b")))
-        picked = F.when(rank > F.col("first"), whole).otherwise(inner)
-        return rows.join(judged, ["key", "bytes_hash"]).select("ord", "tid", F.explode(picked).alias("s")).select("ord", "tid", "s.a", "s.b")
-
-    later = judged.filter("later").select("ord", "tid", F.col("lo").alias("a"), (F.col("hi") + span).alias("b"))
-    out = later.unionByName(spans(many, first.join(cuts, ["key", "bytes_hash"], "left")))
-    if any_crowded:  # the first of their runs are judged window by window
-        windows = stored(runs(crowded, True), "windows")
-        alone = firsts(windows, "key", "bytes_hash").withColumn("cuts", none)
-        out = out.unionByName(spans(windows, alone))
-    return out
-
-
-def _sort_keys(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
-    """Suffix-sort the runs of whole keys, about 2 MB at a time; rows come sorted by key."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        keys = batch.column("key").to_numpy()
-        edges = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
-        _, offs = utf8(batch.column("bytes"))
-        begin = 0
-        for edge in edges[:-1]:
-            # a new key begins: what is held may be sorted, if it is enough
-            if size + offs[edge] - offs[begin] >= 1 << 21:
-                same = edge == 0 and held and held[-1].column("key")[-1].as_py() == keys[0]
-                if not same:
-                    held.append(batch.slice(begin, edge - begin))
-                    yield _sorted(held, span)
-                    held, size, begin = [], 0, edge
-        held.append(batch.slice(begin))
-        size += int(offs[-1] - offs[begin])
-    if held:
-        yield _sorted(held, span)
+    pieces = docs.mapInArrow(run_bytes, "key long, ord long, tid long, lo long, bytes binary")
+    out.append(pieces.repartition("key").sortWithinPartitions("key").mapInArrow(sort, _SPAN_DDL))
+    return reduce(DataFrame.unionByName, out)
 
 
-def _sorted(held: list[pa.RecordBatch], span: int) -> pa.RecordBatch:
-    table = pa.Table.from_batches(held).combine_chunks()
-    key = table["key"].to_numpy()
+def _whole_keys(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Regroup rows that come sorted by ``key``: tables of whole keys, of about ``size`` bytes."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(pa.Table.from_batches([batch]))
+        if sum(t.nbytes for t in held) < size:
+            continue
+        table = pa.concat_tables(held)
+        keys = table["key"].to_numpy()
+        last = int(np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))[-1])
+        if last:
+            yield table.slice(0, last)
+            table = table.slice(last)
+        held = [table.combine_chunks()]
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _judge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Later ones of equal runs, and the earliest of each run whose key has different runs."""
+    for table in _whole_keys(batches, 1 << 22):
+        key, same, ord_, lo = (table[c].to_numpy() for c in ("key", "bytes_hash", "ord", "lo"))
+        new_key = np.append(True, key[1:] != key[:-1])
+        new = new_key | np.append(True, same[1:] != same[:-1])
+        head = np.flatnonzero(new)
+        of = np.cumsum(new) - 1
+        later = (ord_ != ord_[head][of]) | (lo != lo[head][of])
+        kinds = np.bincount(np.cumsum(new_key) - 1, weights=new)
+        keep = later | (kinds[np.cumsum(new_key) - 1] > 1)
+        part = table.select(["key", "ord", "tid", "lo", "hi"]).append_column("later", pa.array(later)).filter(pa.array(keep))
+        yield from part.to_batches()
+
+
+def _sorted(table: pa.Table, span: int) -> pa.RecordBatch:
+    """Spans of the runs in ``table`` that an earlier one, or an earlier start of the same, repeats."""
+    table = table.combine_chunks()
+    ord_, tid, lo = (table[c].to_numpy() for c in ("ord", "tid", "lo"))
     data, offs = utf8(table["bytes"])
-    sizes = np.diff(offs)
-    starts = ragged(offs[:-1], sizes - span + 1)
-    run = np.repeat(np.arange(len(sizes)), sizes - span + 1)
-    first = np.array([int(v) for v in table["first"].to_pylist()], object)
-    # ranks of (document, start): equal places rank equal
-    ord_ = np.array([v >> 32 for v in first], np.int64)
-    begin = np.array([v & 0xFFFFFFFF for v in first], np.int64)[run] + starts - offs[run]
+    windows = np.diff(offs) - span + 1
+    starts = ragged(offs[:-1], windows)
+    run = np.repeat(np.arange(len(windows)), windows)
+    begin = lo[run] + starts - offs[run]
     by = np.lexsort((begin, ord_[run]))
     new = np.append(True, (np.diff(begin[by]) != 0) | (np.diff(ord_[run][by]) != 0))
     place = np.empty(len(by), np.int64)
-    place[by] = np.cumsum(new)
+    place[by] = np.cumsum(new)  # equal places rank equal
     gone = repeated_starts(data, starts, span, place)
-    at, of = starts[gone], run[gone]
+    at, of = begin[gone], run[gone]
     # touching windows of a run join to one span
-    head = np.append(True, (np.diff(at) > span) | (np.diff(of) != 0)) if len(at) else np.zeros(0, bool)
-    h = np.flatnonzero(head)
-    a = at[h] - offs[of[h]]
-    b = (at[np.append(h[1:], len(at)) - 1] + span - offs[of[h]]) if len(at) else a
-    which, n = np.unique(of[h], return_counts=True)
-    lists = pa.ListArray.from_arrays(
-        pa.array(np.append(0, np.cumsum(n)), pa.int32()),
-        pa.StructArray.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]),
-    )
-    raw, hashed = data.tobytes(), xxhash.xxh3_64_intdigest
-    hashes = np.array([hashed(raw[offs[i] : offs[i + 1]]) for i in which], np.uint64).view(np.int64)
-    return pa.record_batch([pa.array(key[which]), pa.array(hashes), lists], names=["key", "bytes_hash", "cuts"])
+    head = np.flatnonzero(np.append(True, (np.diff(at) > span) | (np.diff(of) != 0))) if len(at) else at
+    last = np.append(head[1:], len(at)) - 1 if len(at) else at
+    cols = [ord_[of[head]], tid[of[head]], at[head], at[last] + span]
+    return pa.record_batch([*map(pa.array, cols)], names=["ord", "tid", "a", "b"])
 
 
-def drop_repeats(docs: DataFrame, span: int = 100, gram: int = 32, limit: int = SORTED_TOGETHER) -> DataFrame:
+def drop_repeats(docs: DataFrame, span: int = 100, gram: int = 32, together: int = TOGETHER) -> DataFrame:
     """Remove bytes that a string of ``span`` bytes covers which also starts earlier.
 
     Earlier: in a row of smaller ``doc_id`` (null before all), or at a lower start under the
@@ -313,25 +338,36 @@ def drop_repeats(docs: DataFrame, span: int = 100, gram: int = 32, limit: int =
     if gram & (gram - 1) or gram > span:
         raise ValueError("gram: a power of two, at most span")
     text = whole_text()
-    rows = docs.select("doc_id", ordered_id().alias("ord"), F.xxhash64(text).alias("tid"), text.alias("text"))
-    keyed = rows.select("ord", "tid", F.col("text").cast("binary").alias("text"))
-    gone = removed_spans(keyed, span, gram, limit)
+    rows = docs.select("doc_id", ordered_id().alias("ord"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("text"))
+    gone = removed_spans(rows.drop("doc_id"), span, gram, together)
     by_doc = gone.groupBy("ord", "tid").agg(F.collect_list(F.struct("a", "b")).alias("gone"))
-    joined = rows.join(by_doc, ["ord", "tid"], "left").select("doc_id", F.col("text").cast("binary").alias("text"), "gone")
-    return joined.mapInArrow(_cut, "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long")).select("doc_id", "ord", "tid", "text")
+    joined = rows.mapInArrow(_packed, "doc_id long, ord long, tid long, text binary").join(by_doc, ["ord", "tid"], "left")
+    cut = joined.select("doc_id", "text", "gone")
+    return cut.mapInArrow(_cut, "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole texts, compressed for the shuffle."""
+    pack = zstandard.ZstdCompressor(3).compress
+    for batch in batches:
+        texts = pa.array([pack(t) for t in batch.column("text").to_pylist()], pa.binary())
+        yield pa.record_batch([*batch.columns[:3], texts], names=["doc_id", "ord", "tid", "text"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        data, offs = utf8(batch.column("text"))
         lists = batch.column("gone")
         kept, spans, n_spans = [], [], []
         inner = lists.flatten()
         a_all, b_all = (inner.field(i).to_numpy() for i in (0, 1))
         sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
         at = np.append(0, np.cumsum(sizes))
-        for i in range(len(batch)):
-            text = data[offs[i] : offs[i + 1]]
+        lengths = []
+        for i, packed in enumerate(batch.column("text")):
+            text = np.frombuffer(unpack(packed.as_py()), np.uint8)
+            lengths.append(len(text))
             if sizes[i]:
                 a, b = a_all[at[i] : at[i + 1]], b_all[at[i] : at[i + 1]]
                 by = np.argsort(a, kind="stable")
@@ -353,7 +389,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = pa.StructArray.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["start", "end"])
         lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_spans)), pa.int32()), pairs)
         yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(np.diff(offs)), pa.array(kept, pa.binary()), lists],
+            [batch.column("doc_id"), pa.array(lengths, pa.int64()), pa.array(kept, pa.binary()), lists],
             names=["doc_id", "n_bytes", "kept", "spans"],
         )
 
