@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import decontaminate, hosts, lines, quality, sharding, simhash, substrings
+from tillflow.llm import bpe, decontaminate, hosts, lines, quality, records, sharding, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,3 +67,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(lines.SQL)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.drop_repeated_lines(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
