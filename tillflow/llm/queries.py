@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bpe, decontaminate, hosts, lines, quality, records, sharding, simhash, substrings
+from tillflow.llm import bpe, decontaminate, hosts, lines, quality, records, sharding, simhash, substrings, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +64,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query(topk.SQL)
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
 @query(lines.SQL)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.drop_repeated_lines(table(spark, sf_dir, "documents")))
