@@ -9,8 +9,9 @@ The earliest ones of a key are suffix-sorted by two-stage sorting, and adjacent
 prefixes show the windows they share.
 
 Keys of more than ``together`` runs never meet in one task: their earliest runs are found by
-aggregation and a join, and those with more than ``together`` distinct runs are cut into
-single windows, which need no sorting.
+aggregation and a join. Those with more than ``together`` distinct runs are cut into short
+segments, of which equal ones keep the earliest, and then into single windows, which need no
+sorting.
 """
 
 from __future__ import annotations
@@ -116,6 +117,19 @@ def stretches(raw: bytes, runs: tuple, span: int) -> tuple[np.ndarray, np.ndarra
     return head, words[::2], words[1::2]
 
 
+def segments(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cut runs where the bytes say so, about every eighth window: run, first and last start."""
+    none = np.zeros(0, np.int64)
+    if not len(lo):
+        return none, none, none
+    n = hi - lo + 1
+    starts = ragged(lo, n)
+    begins = gram_hashes(data, 8)[starts] & np.uint64(7) == 0
+    begins[np.cumsum(n) - n] = True
+    head = np.flatnonzero(begins)
+    return np.repeat(np.arange(len(lo)), n)[head], starts[head], starts[np.append(head[1:], len(starts)) - 1]
+
+
 def _place_hash(key: np.ndarray, ord_: np.ndarray, lo: np.ndarray) -> np.ndarray:
     x = key + ord_.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + lo.astype(np.uint64) * np.uint64(0x9E3779B185EBCA87)
     x ^= x >> np.uint64(31)
@@ -209,7 +223,7 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
     busy = bit_filter(counts.filter(F.col("n") > together), FILTER_BITS)
     any_busy, busy = bool(busy.any()), send(busy)
 
-    def runs_of(wanted, besides=None, single=False) -> DataFrame:
+    def runs_of(wanted, besides=None) -> DataFrame:
         def emit(batches):
             for part, offs, ord_, tid in _batches(batches):
                 key, lo, hi, row = live(part, offs, ord_)
@@ -217,10 +231,6 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
                 if besides is not None:
                     ok &= ~passes(besides.value, key)
                 key, lo, hi, row = key[ok], lo[ok], hi[ok], row[ok]
-                if single:
-                    n = hi - lo + 1
-                    lo = ragged(lo, n)
-                    hi, key, row = lo, np.repeat(key, n), np.repeat(row, n)
                 yield _rows(key, _hash_runs(part, lo, hi, span), ord_[row], tid[row], lo - offs[row], hi - offs[row])
 
         return docs.mapInArrow(emit, _RUN_DDL)
@@ -242,7 +252,31 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
         few = distinct.filter(F.col("distinct").between(2, together)).select("key")
         sorting = sorting.unionByName(places(copies.filter(rank == F.col("first")).join(few, "key", "left_semi")))
         if any_crowded:
-            windows = stored(runs_of(crowded, single=True), "windows")
+            def cut_short(batches):
+                for part, offs, ord_, tid in _batches(batches):
+                    key, lo, hi, row = live(part, offs, ord_)
+                    ok = passes(crowded.value, key)
+                    of, lo, hi = segments(part, lo[ok], hi[ok])
+                    key, row, raw = key[ok][of], row[ok][of], part.tobytes()
+                    pieces = [raw[a:b] for a, b in zip(lo.tolist(), (hi + span).tolist(), strict=True)]
+                    rows = _rows(key, _hash_runs(part, lo, hi, span), ord_[row], tid[row], lo - offs[row], hi - offs[row])
+                    yield pa.record_batch([*rows.columns, pa.array(pieces, pa.binary())], names=[*_RUN.names, "bytes"])
+
+            short = stored(docs.mapInArrow(cut_short, f"{_RUN_DDL}, bytes binary"), "segments")
+            copies = short.join(firsts(short).filter("n > 1"), ["key", "bytes_hash"], "left")
+            short = stored(copies.select("key", "ord", "tid", "lo", "hi", "bytes", later), "judged_segments")
+            out.append(short.filter("later").select("ord", "tid", F.col("lo").alias("a"), ends))
+
+            def single(batches):
+                for batch in batches:
+                    data, offs = utf8(batch.column("bytes"))
+                    n = np.diff(offs) - span + 1
+                    at = ragged(offs[:-1], n)
+                    lo = np.repeat(batch.column("lo").to_numpy() - offs[:-1], n) + at
+                    key, ord_, tid = (np.repeat(batch.column(c).to_numpy(), n) for c in ("key", "ord", "tid"))
+                    yield _rows(key, _hash_runs(data, at, at, span), ord_, tid, lo, lo)
+
+            windows = stored(short.filter("not later").mapInArrow(single, _RUN_DDL), "windows")
             copies = windows.join(firsts(windows).filter("n > 1"), ["key", "bytes_hash"])
             out.append(copies.filter(rank > F.col("first")).select("ord", "tid", F.col("lo").alias("a"), ends))
     sorting = send(bit_filter(sorting, FILTER_BITS))
