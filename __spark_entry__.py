@@ -9,8 +9,11 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
+from itertools import pairwise
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -107,13 +110,25 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+STEPS, FILES = 3, 2
+
+
+def in_steps(events: DataFrame) -> list[DataFrame]:
+    """``events`` in three parts, by ``event_id`` in ascending order."""
+    marks = events.agg(F.percentile_approx("event_id", [1 / 3, 2 / 3], 10_000)).first()[0]
+    low, high = marks or (0, 0)
+    part = F.when(F.col("event_id") <= low, 0).when(F.col("event_id") <= high, 1).otherwise(2)
+    return [events.filter(part == i) for i in range(STEPS)]
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """``events`` as a stream. A stream reads folders: of the part files, or of the one file."""
-    path = f"{sf}/events.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    if os.path.isfile(path):
-        return reader.option("pathGlobFilter", "events.parquet").parquet(sf)
-    return reader.parquet(path)
+    """``events`` as a stream of three micro-batches: appended in three steps, read a step at a time."""
+    events, folder = table(spark, sf, "events"), scratch_dir(spark, "events")
+    for part in in_steps(events):
+        part.repartition(FILES).write.mode("append").parquet(folder)
+    return (
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(folder)
+    )
 
 
 def _k() -> Column:
@@ -237,7 +252,24 @@ def new_table(spark: SparkSession, schema) -> str:
 def message_topic(spark: SparkSession, sf: str, name: str = "sales_in") -> Topic:
     """A folder topic that holds all of ``sale_messages``."""
     topic = Topic.files(name, scratch_dir(spark, name))
-    topic_sinks.write_topic(sale_messages(table(spark, sf, "events")).select("value"), topic)
+    for part in in_steps(table(spark, sf, "events")):
+        topic_sinks.write_topic(sale_messages(part).select("value"), topic)
+    return topic
+
+
+def ordered_topic(spark: SparkSession, sf: str) -> Topic:
+    """A folder topic of one partition, whose offset is ``event_id``, written in three steps."""
+    topic = Topic.files("sales_in", scratch_dir(spark, "sales_in"))
+    for part in in_steps(table(spark, sf, "events")):
+        rows = sale_messages(part).select(
+            F.lit(None).cast("binary").alias("key"),
+            F.col("value").cast("binary").alias("value"),
+            F.lit(topic.name).alias("topic"),
+            "partition",
+            "offset",
+            F.current_timestamp().alias("timestamp"),
+        )
+        rows.repartition(FILES).write.mode("append").parquet(topic.location)
     return topic
 
 
@@ -687,47 +719,30 @@ def path_has_data(spark, sf):
 
 
 def _inbox(spark: SparkSession, sf: str) -> str:
-    """A folder of CSV drops: all sales, then one small file with a sale per category."""
+    """A folder of CSV drops: a part of the sales, then all of them in the one file of a drop."""
     events = table(spark, sf, "events")
     inbox = scratch_dir(spark, "inbox")
-    raw = sales(events)
-    file_sinks.write_csv(raw, f"{inbox}/sales")
-    kept = [F.max(F.col("event_id")).cast("string"), F.lit("2024-12-31"), F.lit("Cumul")]
-    counted = F.count(F.lit(1)).cast("string")
-    total = F.sum(F.col("value").cast(MONEY)).cast("string")
-    fields = [*kept, F.col("event_type"), counted, total, *[F.lit("-")] * 3, F.lit("0")]
-    fields += [F.lit("CB"), total]
-    digest = events.groupBy("event_type").agg(
-        *[f.alias(n) for f, n in zip(fields, SALE_FIELDS, strict=True) if n != "Categorie"]
-    )
-    # One row per category: they fit in the one file that this drop must be.
-    digest = digest.withColumnRenamed("event_type", "Categorie").select(*SALE_FIELDS)
-    file_sinks.write_csv(digest.repartition(1), f"{inbox}/digest")
+    file_sinks.write_csv(sales(in_steps(events)[0]), f"{inbox}/early")
+    file_sinks.write_csv(sales(events).repartition(1), f"{inbox}/sales")
     return inbox
 
 
-DIGEST = """
-SELECT max(event_id)::VARCHAR AS "IDVente", event_type AS "Categorie", {} AS "Quantité",
-  {} AS "Total" FROM events GROUP BY event_type
-"""
-
-
-@query(DIGEST.format("count(*)::VARCHAR", "sum(value::DECIMAL(18,2))::DECIMAL(28,2)::VARCHAR"))
+@query(f"SELECT {', '.join(f'\"{n}\"' for n in SALE_FIELDS)} FROM ({SALES})")
 def latest_file(spark, sf):
     newest = file_sources.latest_file(spark, _inbox(spark, sf)).first()["path"]
-    return file_sources.read_csv_raw(spark, newest).select(
-        "IDVente", "Categorie", "Quantité", "Total"
-    )
+    return file_sources.read_csv_raw(spark, newest)
 
 
-@query(DIGEST.format("count(*)::INTEGER", "sum(value::DECIMAL(18,2))::DOUBLE"))
+@query(f"""
+SELECT * EXCLUDE ("Quantité", "PrixUnitaire", "Remise", "Total"), "Quantité"::INTEGER AS "Quantite",
+  "PrixUnitaire"::DOUBLE AS "PrixUnitaire", "Remise"::DOUBLE AS "Remise", "Total"::DOUBLE AS "Total"
+FROM (SELECT {', '.join(f'"{n}"' for n in SALE_FIELDS)} FROM ({SALES}))
+""")
 def ingest_latest_file(spark, sf):
     topic = Topic.files("sales_in", scratch_dir(spark, "sales_in"))
     batch.ingest_latest_file(spark, _inbox(spark, sf), topic, SALE_CSV_PRICED)
     parsed = parsing.parse_sale_strict(read_topic(spark, topic))
-    return parsing.split_parsed(parsed)[0].select(
-        "IDVente", "Categorie", F.col("Quantite").alias("Quantité"), "Total"
-    )
+    return parsing.split_parsed(parsed)[0]
 
 
 # --- tables ------------------------------------------------------------------
@@ -820,15 +835,17 @@ def catalog_listing(spark, sf):
 
 
 @query("""
-SELECT event_id::VARCHAR AS key, props AS value, 'sales_in' AS topic FROM events
+SELECT event_id::VARCHAR AS key, props AS value, 'sales_in' AS topic, 0 AS partition,
+  row_number() OVER (ORDER BY event_id) - 1 AS "offset" FROM events
 """)
 def envelope_view(spark, sf):
     topic = Topic.files("sales_in", scratch_dir(spark, "sales_in"))
     rows = table(spark, sf, "events").selectExpr(
-        "CAST(event_id AS STRING) AS key", "props AS value"
+        "CAST(event_id AS STRING) AS key", "props AS value", "event_id"
     )
-    topic_sinks.write_topic(rows, topic)
-    return projections.envelope_view(read_topic(spark, topic)).drop("partition", "offset")
+    # one task in order, so that places are known
+    topic_sinks.write_topic(rows.repartition(1).sortWithinPartitions("event_id"), topic)
+    return projections.envelope_view(read_topic(spark, topic))
 
 
 @query(LENIENT)
@@ -851,42 +868,103 @@ def land_topic(spark, sf):
 def relay_topic(spark, sf):
     source = message_topic(spark, sf)
     sink = Topic.files("sales_out", scratch_dir(spark, "sales_out"))
-    finish(streams.relay_topic(spark, source, sink, scratch_dir(spark, "ckpt"), trigger=NOW))
+    checkpoint = scratch_dir(spark, "ckpt")
+    finish(
+        streams.relay_topic(spark, source, sink, checkpoint, trigger=NOW, max_per_trigger=1)
+    )
     return parsing.parse_json(read_topic(spark, sink))
 
 
-@query(LENIENT)
-def resume_from_checkpoint(spark, sf):
+@query(f"{LENIENT} UNION ALL {LENIENT}")
+def relay_two_writers(spark, sf):
+    """Two relays into one topic, each with a checkpoint of its own."""
     source = message_topic(spark, sf)
     sink = Topic.files("sales_out", scratch_dir(spark, "sales_out"))
-    checkpoint = scratch_dir(spark, "ckpt")
-    finish(streams.relay_topic(spark, source, sink, checkpoint, trigger=NOW))
-    finish(streams.relay_topic(spark, source, sink, checkpoint, trigger=NOW))
+    for _ in range(2):
+        checkpoint = scratch_dir(spark, "ckpt")
+        finish(
+            streams.relay_topic(spark, source, sink, checkpoint, trigger=NOW, max_per_trigger=1)
+        )
     return parsing.parse_json(read_topic(spark, sink))
 
 
-@query(f"{LENIENT} UNION ALL {LENIENT}")
-def tolerate_offset_reset(spark, sf):
+@query(f"SELECT *, TRUE AS resumed FROM ({LENIENT})")
+def resume_from_checkpoint(spark, sf):
+    """A restart takes the messages that came since, and none of those before."""
     source = Topic.files("sales_in", scratch_dir(spark, "sales_in"))
     sink = Topic.files("sales_out", scratch_dir(spark, "sales_out"))
     checkpoint = scratch_dir(spark, "ckpt")
-    texts = sale_messages(table(spark, sf, "events")).select("value")
-    # The second writing replaces the topic's messages and starts at the old offset.
-    for _ in range(2):
-        topic_sinks.topic_batches(source)(texts, 0)
+    counts = []
+    for part in in_steps(table(spark, sf, "events")):
+        topic_sinks.write_topic(sale_messages(part).select("value"), source)
         finish(streams.relay_topic(spark, source, sink, checkpoint, trigger=NOW))
-    return parsing.parse_json(read_topic(spark, sink))
+        counts.append(read_topic(spark, sink).count())
+    resumed = counts[0] < counts[1] < counts[2]
+    return parsing.parse_json(read_topic(spark, sink)).withColumn("resumed", F.lit(resumed))
+
+
+@query(f"SELECT *, TRUE AS strict_stops FROM ({LENIENT})")
+def tolerate_offset_reset(spark, sf):
+    """Messages vanish after a batch has listed them: the strict reader stops, the other goes on."""
+    source = message_topic(spark, sf)
+    doomed = f"{source.location}/doomed"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(doomed)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def relay(strict: bool) -> Topic:
+        sink = Topic.files("sales_out", scratch_dir(spark, "sales_out"))
+        send = topic_sinks.topic_batches(sink)
+        read_topic(spark, source).write.mode("overwrite").parquet(doomed)
+
+        def lose_some(rows: DataFrame, batch_id: int) -> None:
+            store.delete(folder, True)
+            send(rows, batch_id)
+
+        rows = streams.relay(stream_topic(spark, source, fail_on_data_loss=strict))
+        finish(write_each_batch(rows, lose_some, scratch_dir(spark, "ckpt"), NOW))
+        return sink
+
+    try:
+        relay(strict=True)
+        stops = False
+    except StreamingQueryException:
+        stops = True
+    sent = parsing.parse_json(read_topic(spark, relay(strict=False)))
+    return sent.withColumn("strict_stops", F.lit(stops))
+
+
+@query("SELECT event_id, event_type, value, TRUE AS spaced FROM events")
+def checkpoint_interval(spark, sf):
+    """Micro-batches of a query with an interval start that far apart; then it is stopped.
+
+    The first starts at once, the others at whole multiples of the interval.
+    """
+    rows = event_stream(spark, sf).select("event_id", "event_type", "value")
+    out = scratch_dir(spark, "batches")
+    running = write_each_batch(
+        rows, parquet_batches(out), scratch_dir(spark, "ckpt"), {"processingTime": "2 seconds"}
+    )
+    try:
+        running.processAllAvailable()
+        starts = [
+            datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")).timestamp()
+            for p in running.recentProgress
+            if p["numInputRows"]
+        ]
+    finally:
+        running.stop()
+    spaced = len(starts) >= STEPS and all(b - a > 1.5 for a, b in pairwise(starts[1:]))
+    return spark.read.parquet(out).drop("batch_id").withColumn("spaced", F.lit(spaced))
 
 
 FANNED = f"""
-SELECT 'parquet' AS sink, "IDVente", "Total" FROM ({LENIENT})
-UNION ALL SELECT 'topic', "IDVente", "Total" FROM ({LENIENT})
+SELECT 'parquet' AS sink, * FROM ({LENIENT}) UNION ALL SELECT 'topic', * FROM ({LENIENT})
 """
 
 
 def _fan_out(spark, sf, shared):
     kept = filters.filter_key_present(
-        parsing.parse_json(stream_topic(spark, message_topic(spark, sf)))
+        parsing.parse_json(stream_topic(spark, message_topic(spark, sf), max_per_trigger=1))
     )
     out = scratch_dir(spark, "sales")
     topic = Topic.files("sales_out", scratch_dir(spark, "sales_out"))
@@ -898,8 +976,8 @@ def _fan_out(spark, sf, shared):
     finish(*fan_out(kept, sinks, scratch_dir(spark, "ckpt"), shared, NOW))
     landed = spark.read.parquet(out)
     sent = parsing.parse_json(read_topic(spark, topic))
-    return landed.select(F.lit("parquet").alias("sink"), "IDVente", "Total").unionByName(
-        sent.select(F.lit("topic").alias("sink"), "IDVente", "Total")
+    return landed.drop("batch_id").withColumn("sink", F.lit("parquet")).unionByName(
+        sent.withColumn("sink", F.lit("topic"))
     )
 
 
@@ -1027,27 +1105,57 @@ def stream_to_table(spark, sf):
     return catalog.scan_table(spark, name)
 
 
-@query(f"{SALE_TABLE_SQL} FROM ({LENIENT})")
+@query(f"""
+WITH kept AS ({SALE_TABLE_SQL}, "Categorie" FROM ({LENIENT}))
+SELECT * EXCLUDE ("Categorie") REPLACE (CASE "Categorie" WHEN 'view' THEN NULL ELSE quantite END AS quantite,
+  CASE "Categorie" WHEN 'purchase' THEN NULL ELSE total END AS total),
+  (SELECT count(*) FROM kept WHERE "Categorie" = 'view') AS bad_quantite,
+  (SELECT count(*) FROM kept WHERE "Categorie" = 'purchase') AS bad_total
+FROM kept
+""")
 def stream_topic_to_table(spark, sf):
-    name = new_table(spark, SALE_TABLE)
+    """The table's rows, and how many values were no numbers and became NULL."""
+    source = Topic.files("sales_in", scratch_dir(spark, "sales_in"))
+    value = F.col("value")
+    kind = F.get_json_object("value", "$.Categorie")
+    spoilt = (
+        F.when(kind == "view", F.regexp_replace(value, '("Quantité":)"?\\d+"?', '$1"4 x"'))
+        .when(kind == "purchase", F.regexp_replace(value, '("Total":)"[^"]*"', '$1"much"'))
+        .otherwise(value)
+    )
+    for part in in_steps(table(spark, sf, "events")):
+        topic_sinks.write_topic(sale_messages(part).select(spoilt.alias("value")), source)
+    name, lost = new_table(spark, SALE_TABLE), scratch_dir(spark, "lost")
+    one = {"trigger": NOW, "max_per_trigger": 1}
     finish(
-        streams.stream_topic_to_table(
-            spark, message_topic(spark, sf), name, scratch_dir(spark, "ckpt"), trigger=NOW
-        )
+        streams.stream_topic_to_table(spark, source, name, scratch_dir(spark, "ckpt"), **one),
+        streams.count_table_rejects(
+            spark, source, parquet_batches(lost), scratch_dir(spark, "ckpt"), **one
+        ),
     )
-    return catalog.scan_table(spark, name)
+    bad = spark.read.parquet(lost).agg(
+        F.sum("quantite").alias("bad_quantite"), F.sum("total").alias("bad_total")
+    )
+    return catalog.scan_table(spark, name).crossJoin(F.broadcast(bad))  # one row of counts
 
 
-@query(LENIENT)
+@query(f"""
+SELECT * EXCLUDE ("Quantité", "PrixUnitaire", "Remise", "Total"), "Quantité"::INTEGER AS "Quantite",
+  "PrixUnitaire"::DOUBLE AS "PrixUnitaire", "Remise"::DOUBLE AS "Remise", "Total"::DOUBLE AS "Total"
+FROM ({LENIENT})
+""")
 def source_topic_table(spark, sf):
     view = scratch_dir(spark, "sales").rpartition("/")[2].replace("-", "_")
-    topic_view(spark, message_topic(spark, sf), view)
+    topic_view(spark, message_topic(spark, sf), view, max_per_trigger=1)
     out = scratch_dir(spark, "view")
     kept = spark.sql(f"SELECT * FROM {view} WHERE IDVente IS NOT NULL")
     finish(write_each_batch(kept, parquet_batches(out), scratch_dir(spark, "ckpt"), NOW))
     return spark.read.parquet(out).drop("batch_id")
 
 
+BRANCHES = ["category", "city", "alerts", "events", "sales", "rejects"]
+
+
 def _live(spark, messages_in, names, per_record=False):
     out = scratch_dir(spark, "live")
     sinks = {n: parquet_batches(f"{out}/branch={n}") for n in names}
@@ -1062,12 +1170,17 @@ def _live(spark, messages_in, names, per_record=False):
             sum_type=MONEY,
         )
     )
-    texts = [
-        spark.read.parquet(f"{out}/branch={n}").toDF("message", "batch_id").select(
-            F.lit(n).alias("branch"), "message"
-        )
-        for n in names
-    ]
+    # turnover per micro-batch repeats a key with every batch that has it: the last line counts
+    repeats = {} if per_record else {"category": r"^(.*?): \d+ ventes", "city": r"^(.*): [-0-9.]+€$"}
+
+    def lines(n: str) -> DataFrame:
+        rows = spark.read.parquet(f"{out}/branch={n}").toDF("message", "batch_id")
+        if n in repeats:
+            by = F.regexp_extract("message", repeats[n], 1)
+            rows = rows.groupBy(by).agg(F.max_by("message", "batch_id").alias("message"))
+        return rows.select(F.lit(n).alias("branch"), "message")
+
+    texts = [lines(n) for n in names]
     return reduce(DataFrame.unionByName, texts)
 
 
@@ -1091,8 +1204,8 @@ SELECT "Ville" AS c, sum("Total"::DECIMAL(18,2))::DOUBLE AS total FROM ({STRICT}
     rejects=REJECTS,
 ))
 def live_sales_metrics(spark, sf):
-    names = ["category", "city", "alerts", "events", "sales", "rejects"]
-    return _live(spark, stream_topic(spark, message_topic(spark, sf)), names)
+    messages_in = stream_topic(spark, message_topic(spark, sf), max_per_trigger=1)
+    return _live(spark, messages_in, BRANCHES)
 
 
 def _so_far(key: str) -> str:
@@ -1107,8 +1220,45 @@ WINDOW w AS (PARTITION BY "{key}" ORDER BY "IDVente"::BIGINT ROWS UNBOUNDED PREC
     category=_category_sql(_so_far("Categorie")),
     city=_city_sql(_so_far("Ville")),
     alerts=ALERTS.format(STRICT),
+    events=EVENT_JSON,
+    sales=LINES.format(STRICT),
+    rejects=REJECTS,
 ))
 def live_sales_metrics_per_record(spark, sf):
-    return _live(
-        spark, sale_messages(event_stream(spark, sf)), ["category", "city", "alerts"], True
+    messages_in = stream_topic(spark, ordered_topic(spark, sf), max_per_trigger=FILES)
+    return _live(spark, messages_in, BRANCHES, True)
+
+
+@query(f"""
+SELECT c AS "Categorie", n, total FROM (
+  SELECT "Categorie" AS c, count(*) AS n, sum("Total"::DECIMAL(18,2))::DOUBLE AS total
+  FROM ({STRICT}) WHERE "Categorie" = 'click' GROUP BY 1)
+UNION ALL SELECT reason, count(*), NULL FROM (
+  SELECT CASE event_type WHEN 'view' THEN 'out of range: Total' WHEN 'purchase'
+    THEN 'not a number: Quantité' WHEN 'signup' THEN 'missing field Pays'
+    ELSE 'malformed JSON' END AS reason FROM events WHERE event_type <> 'click') GROUP BY 1
+""")
+def poison_records(spark, sf):
+    """Totals too large to add up and numbers with a line end are rejects; the rest adds up."""
+    kind = F.get_json_object("value", "$.Categorie")
+    spoilt = (
+        F.when(kind == "view", F.regexp_replace("value", '("Total":)[^,}]*', "$11e300"))
+        .when(kind == "purchase", F.regexp_replace("value", '("Quantité":"\\d+)"', '$1\\\\n"'))
+        .otherwise(F.col("value"))
     )
+    texts = sale_messages(table(spark, sf, "events")).select(spoilt.alias("value"))
+    good, bad = parsing.split_parsed(parsing.parse_sale_strict(texts, total_type=MONEY))
+    totals = in_money(aggregates.group_stats(good, sum_type=MONEY)).drop("mean")
+    none = F.lit(None).cast("double").alias("total")
+    return totals.unionByName(
+        bad.groupBy(F.col("reason").alias("Categorie")).agg(F.count("*").alias("n")).select("*", none)
+    )
+
+
+@query(RUNNING.format(key="user_id", value="CASE event_type WHEN 'view' THEN value END::DECIMAL(18,2)"))
+def running_with_nulls(spark, sf):
+    """Running totals of a measure that is often absent, in blocks of a few rows."""
+    value = F.when(F.col("event_type") == "view", F.col("value")).alias("value")
+    events = table(spark, sf, "events").select("event_id", "user_id", value)
+    rows = running_stats(events, "user_id", "value", "event_id", sum_type=MONEY, block=64)
+    return in_money(rows).drop("value")

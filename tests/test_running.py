@@ -72,6 +72,35 @@ def test_carry(spark, block):
     assert run(spark, rows, carry, block=block) == brute_force(rows, carry)
 
 
+@pytest.mark.parametrize("block", [2, 1 << 20])
+def test_a_sum_of_no_values_is_null(spark, block):
+    rows = spark.createDataFrame(
+        [("a", i, 0, None) for i in range(6)], "key string, at bigint, part int, value decimal(18,2)"
+    )
+    got = running_stats(rows, "key", "value", "at", sum_type="decimal(18,2)", block=block)
+    assert [r.total for r in got.collect()] == [None] * 6
+
+
+@pytest.mark.parametrize("block", [3, 1 << 20])
+def test_order_of_two_columns(spark, block):
+    rows = [(k, at, part, v) for part in range(9) for k, at, _, v in sales(12, seed=part)]
+    df = spark.createDataFrame(rows, "key string, at bigint, part int, value decimal(18,2)")
+    carry = spark.createDataFrame([("hot", Decimal("3.00"), 2)], "key string, total decimal(28,2), n bigint")
+    got = running_stats(df, "key", "value", ("part", "at"), sum_type="decimal(18,2)", block=block, carry=carry)
+    want = brute_force([(k, part, at, v) for k, at, part, v in rows], [("hot", Decimal("3.00"), 2)])
+    got = got.select("key", "part", "at", "n", "total").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == want
+
+
+def test_partitions_that_share_offsets_stay_apart(spark):
+    rows = spark.range(5000).selectExpr(
+        "'hot' AS key", "CAST(id DIV 10 AS INT) AS part", "id % 10 AS at", "1.0D AS value"
+    )
+    got = running_stats(rows, "key", "value", ("part", "at"), block=100)
+    sizes = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert got.count() == 5000 and sizes < 2500
+
+
 def test_last_row_is_the_group_total(spark):
     rows = spark.createDataFrame(
         sales(300), "key string, at bigint, part int, value decimal(18,2)"

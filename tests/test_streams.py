@@ -124,14 +124,60 @@ def test_lost_totals_stop_the_stream(spark, tmp_path):
     for step in range(2):
         drop_file(spark, folder, some_sales(10, start=step * 10))
     go()
-    # Put the totals of batch 0 where those of batch 1 belong.
-    shutil.rmtree(f"{root}/totals/1")
-    shutil.copytree(f"{root}/totals/0", f"{root}/totals/1")
+    shutil.rmtree(f"{root}/totals/changed/after=1")
     drop_file(spark, folder, some_sales(10, start=20))
-    with pytest.raises(StreamingQueryException, match="totals of batch 1"):
+    with pytest.raises(StreamingQueryException, match="after=1"):
         go()
 
 
+def test_full_lists_of_totals(spark, tmp_path, monkeypatch):
+    from tillflow.streaming import running
+
+    monkeypatch.setattr(running, "FULL_EVERY", 2)
+    folder, out, root = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    everything = []
+    for step in range(5):
+        rows = some_sales(30, start=step * 30)
+        everything += rows
+        drop_file(spark, folder, rows)
+    running_stats_stream(
+        source(spark, folder), "key", "value", "at", out, root, sum_type=MONEY, trigger=NOW
+    ).awaitTermination()
+    want = running_stats(
+        spark.createDataFrame(everything, SCHEMA), "key", "value", "at", sum_type=MONEY
+    )
+    cols = ["key", "at", "n", F.col("total").cast("double"), "mean"]
+    assert rows_of(spark.read.parquet(out).select(*cols)) == rows_of(want.select(*cols))
+
+
+def test_a_new_checkpoint_overwrites_nothing(spark, tmp_path):
+    folder, topic = str(tmp_path / "in"), Topic.files("t", str(tmp_path / "t"))
+    drop_file(spark, folder, some_sales(10))
+    for step in range(2):
+        rows = source(spark, folder).selectExpr("CAST(at AS STRING) AS value")
+        write_each_batch(rows, topic_batches(topic), str(tmp_path / f"t{step}"), NOW).awaitTermination()
+    assert read_topic(spark, topic).count() == 20
+    assert read_topic(spark, topic).select("partition", "offset").distinct().count() == 20
+    sink = parquet_batches(str(tmp_path / "out"))
+    write_each_batch(source(spark, folder), sink, str(tmp_path / "a"), NOW).awaitTermination()
+    with pytest.raises(StreamingQueryException, match="another stream"):
+        write_each_batch(source(spark, folder), sink, str(tmp_path / "b"), NOW).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+
+
+def test_a_number_too_large_for_the_totals_is_a_reject(spark, tmp_path):
+    src = messages_topic(spark, tmp_path, [[text(Total="1e300"), text(Total="5.0"), text(**{"Quantité": "4\n"})]])
+    names = ["category", "rejects"]
+    sinks = {n: parquet_batches(str(tmp_path / n)) for n in names}
+    for q in live_sales_metrics(
+        stream_topic(spark, src), sinks, str(tmp_path / "ckpt"), trigger=NOW, sum_type=MONEY
+    ):
+        q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 2
+    (line,) = spark.read.parquet(str(tmp_path / "category")).collect()
+    assert "1 ventes" in line.message
+
+
 def test_update_mode_stats_equal_batch(spark, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     everything = []

@@ -66,4 +66,15 @@ def test_retried_batch_replaces_itself(spark, topic):
     got = read_topic(spark, topic)
     assert got.count() == 20
     assert got.select("partition", "offset").distinct().count() == 20
-    assert got.agg(F.max("offset")).first()[0] == (1 << 40) + 4
+    assert got.agg(F.max("offset")).first()[0] == (1 << 33) + 4
+
+
+def test_late_batches_keep_their_own_offsets(spark, topic):
+    rows = spark.range(0, 10, 1, 2).selectExpr("CAST(id AS STRING) AS value")
+    send = topic_batches(topic)
+    for batch in (0, 1 << 23, 1 << 24, (1 << 30) - 1):
+        send(rows, batch)
+    places = read_topic(spark, topic).select("partition", "offset")
+    assert places.distinct().count() == 40 and places.filter("offset < 0").count() == 0
+    with pytest.raises(ValueError, match="64 bits"):
+        send(rows, 1 << 30)

@@ -13,7 +13,7 @@ from tillflow.operators.projections import expand_struct
 from tillflow.schemas import SALE_EVENT, SALE_RAW
 
 _BROKEN = "_corrupt_record"
-_WHOLE_NUMBER = r"^[+-]?\d+$"
+_WHOLE_NUMBER = r"^[+-]?\d+\z"  # "$" would let a final newline pass
 _JSON_BLANKS = " \t\r\n"
 
 
@@ -37,12 +37,16 @@ def _parsed_once(text: Column, schema: T.StructType, options: dict | None = None
 
 
 def parse_sale_strict(
-    df: DataFrame, col: str = "value", keep: Sequence[str] = ()
+    df: DataFrame,
+    col: str = "value",
+    keep: Sequence[str] = (),
+    total_type: str = "double",
 ) -> DataFrame:
     """Typed sale columns, plus ``raw``, ``reason`` (first fault, NULL if none) and ``ok``.
 
     Every field must be present and a plain value, and the four numbers must convert.
-    Columns named in ``keep`` pass through unchanged (an offset, say).
+    Columns named in ``keep`` pass through unchanged (an offset, say). A ``Total`` that
+    ``total_type`` cannot hold is a fault: it could not be added up.
     """
     schema = T.StructType([*SALE_RAW, T.StructField(_BROKEN, T.StringType())])
     options = {"columnNameOfCorruptRecord": _BROKEN}
@@ -65,6 +69,8 @@ def parse_sale_strict(
             value = F.when(text.rlike(_WHOLE_NUMBER), value)
         fields.append(value.alias(target.name))
         faults.append(F.when(value.isNull(), f"not a number: {source.name}"))
+        if source.name == "Total" and total_type != "double":
+            faults.append(F.when(value.try_cast(total_type).isNull(), "out of range: Total"))
 
     typed = parsed.select(*keep, *fields, "raw", F.coalesce(*faults).alias("reason"))
     return typed.withColumn("ok", F.col("reason").isNull())

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.casts import SALE_CLEANING, guarded_cast, lenient_cast
-from tillflow.schemas import SALE_FIELDS, SALE_RENAMES, SALE_TABLE
+from tillflow.schemas import SALE_EVENT, SALE_FIELDS, SALE_RAW, SALE_RENAMES, SALE_TABLE
 
 # Projection of a parsed sale onto the catalog table: output -> (input, type or None).
 SALE_TABLE_PROJECTION = {
@@ -24,6 +24,24 @@ SALE_TABLE_PROJECTION = {
     "dateVente": ("DateVente", "date"),
 }
 
+# The same for the twelve text columns of a lenient parse.
+TEXT_TABLE_PROJECTION = {
+    out: (
+        "Quantité" if name == "Quantite" else name,
+        None if SALE_TABLE[out].dataType.simpleString() == "string"
+        else SALE_TABLE[out].dataType.simpleString(),
+    )
+    for out, (name, _) in SALE_TABLE_PROJECTION.items()
+}
+# The twelve columns of a sale, typed.
+TEXT_EVENT_PROJECTION = {
+    event.name: (
+        raw.name,
+        None if event.dataType == raw.dataType else event.dataType.simpleString(),
+    )
+    for raw, event in zip(SALE_RAW, SALE_EVENT, strict=True)
+}
+
 
 def project_columns(df: DataFrame, cols: Sequence[str] = tuple(SALE_TABLE.names)) -> DataFrame:
     return df.select(*cols)

@@ -4,15 +4,20 @@ A window over a whole key puts that key into one task, which fails once a key ho
 a good part of the rows. So keys with more than ``block`` rows are split:
 
 1. count the rows per key, on the map side first; the split keys are fewer than
-   rows / ``block``, which bounds the set that is broadcast (250,000 keys of a
-   trillion rows);
+   rows / ``block`` (250,000 keys of a trillion rows), and Spark decides by their
+   measured size how to join them;
 2. cut the order column of split keys into blocks and total each (key, block);
 3. add up the totals of all earlier blocks, over those few rows;
 4. window each (key, block), starting from the sum of step 3.
 
 Every other key is one block. Step 3 cuts its own order, the block numbers, once
-more in the same way. With unique 64-bit orders no window of rows holds more than
-``block`` rows then, nor one of totals more than 2**22, however keys are spread.
+more in the same way. With orders that are unique no window of rows holds more than
+``block`` rows then, nor one of totals more than 2**22, however keys are spread. An
+order of several columns, as topic partition and offset, is cut by the last one within
+each value of the others.
+
+Decimal totals are the same for any ``block``. Doubles differ in the last digits, as
+they depend on the order of addition.
 """
 
 from __future__ import annotations
@@ -24,20 +29,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Helper columns.
-_SUM, _N, _ROW, _BLOCK, _SPLIT, _KEY, _ABOVE = (
-    f"__running_{c}" for c in ("sum", "n", "row", "block", "split", "key", "above")
+_SUM, _N, _ROW, _BLOCK, _SPLIT, _KEY, _ABOVE, _PART = (
+    f"__running_{c}" for c in ("sum", "n", "row", "block", "split", "key", "above", "part")
 )
 BLOCK = 1 << 22
-# With blocks this large the split keys of a trillion rows are under a million; with
-# smaller ones Spark decides by size how to join them.
-_BOUNDED = 1 << 20
 
 
 def running_stats(
     df: DataFrame,
     key: str,
     measure: str,
-    order: str = "offset",
+    order: str | Sequence[str] = "offset",
     *,
     ties: Sequence[str] = (),
     sum_type: str = "double",
@@ -47,39 +49,44 @@ def running_stats(
     """``df`` plus ``n``, ``total`` and ``mean`` so far, in ``order`` within each key.
 
     Columns of ``df`` with these names, in any case, give way to the new ones.
-    ``order`` is an integer such as a topic offset; ``ties`` (the topic partition)
-    settle equal values. ``carry`` has ``key, total, n`` to start from. Select the
+    ``order`` is an integer such as an event number, or several columns of which the
+    last is an integer, such as topic partition and offset; ``ties`` settle equal
+    values. A value that ``sum_type`` cannot hold counts as NULL. ``carry`` has ``key, total, n`` to start from. Select the
     columns you need first: all of ``df`` is shuffled once by key and block. ``df`` is
     read two or three times, so write it out before if it is costly to compute.
     """
-    if not isinstance(df.schema[order].dataType, T.IntegralType):
-        raise TypeError(f"order column {order} must be an integer")
+    *lead, last = [order] if isinstance(order, str) else order
+    if not isinstance(df.schema[last].dataType, T.IntegralType):
+        raise TypeError(f"order column {last} must be an integer")
+    parts = [f"{_PART}{i}" for i in range(len(lead))]
     kept = [c for c in df.columns if c.lower() not in ("n", "total", "mean")]
-    rows = df.withColumns({_SUM: F.col(measure).cast(sum_type), _N: F.lit(1).cast("bigint")})
+    rows = df.withColumns({_SUM: F.col(measure).try_cast(sum_type), _N: F.lit(1).cast("bigint")})
     split = (
         rows.groupBy(F.col(key).alias(_KEY))
         .agg(F.count(F.lit(1)).alias(_N))
         .filter(F.col(_N) > block)
         .select(_KEY, F.lit(True).alias(_SPLIT))
     )
-    if block >= _BOUNDED:
-        split = F.broadcast(split)
 
-    def numbered(part: DataFrame, number: Column) -> DataFrame:
+    def numbered(part: DataFrame, number: Column, of: Sequence[Column]) -> DataFrame:
         marked = part.join(split, F.col(key).eqNullSafe(F.col(_KEY)), "left")
-        return marked.withColumn(_BLOCK, F.when(F.col(_SPLIT), number).otherwise(0)).drop(_KEY)
+        placed = {p: F.when(F.col(_SPLIT), c) for p, c in zip(parts, of, strict=True)}
+        return marked.withColumns(
+            {_BLOCK: F.when(F.col(_SPLIT), number).otherwise(0), **placed}
+        ).drop(_KEY)
 
-    rows = numbered(rows, _cut(order, block))
-    totals = rows.filter(_SPLIT).groupBy(key, _BLOCK).agg(_total(_SUM), _total(_N))
+    rows = numbered(rows, _cut(last, block), [F.col(c) for c in lead])
+    totals = rows.filter(_SPLIT).groupBy(key, *parts, _BLOCK).agg(_total(_SUM), _total(_N))
     if carry is None:
-        starts = _before(totals, key, None)
+        starts = _before(totals, key, parts, None)
     else:
         carry = carry.select(key, F.col("total").alias(_SUM), F.col("n").alias(_N))
-        carry = numbered(carry, F.lit(0))
-        starts = _before(totals, key, carry.filter(_SPLIT).drop(_BLOCK, _SPLIT)).unionByName(
+        carry = numbered(carry, F.lit(0), [F.lit(None).cast(df.schema[c].dataType) for c in lead])
+        split_carry = carry.filter(_SPLIT).drop(_BLOCK, _SPLIT, *parts)
+        starts = _before(totals, key, parts, split_carry).unionByName(
             carry.filter(F.col(_SPLIT).isNull()).drop(_SPLIT)
         )
-    added = _add_up(rows.drop(_SPLIT), [key, _BLOCK], [order, *ties], starts, 0)
+    added = _add_up(rows.drop(_SPLIT), [key, *parts, _BLOCK], [*lead, last, *ties], starts, 0)
     return added.select(
         *kept,
         F.col(_N).alias("n"),
@@ -88,12 +95,14 @@ def running_stats(
     )
 
 
-def _before(totals: DataFrame, key: str, carry: DataFrame | None) -> DataFrame:
+def _before(
+    totals: DataFrame, key: str, parts: list[str], carry: DataFrame | None
+) -> DataFrame:
     """Per (key, block): sum and count of the carry and of all earlier blocks."""
     totals = totals.withColumn(_ABOVE, _cut(_BLOCK, BLOCK))
-    above = totals.groupBy(key, _ABOVE).agg(_total(_SUM), _total(_N))
-    starts = _add_up(above, [key], [_ABOVE], carry, -1)
-    return _add_up(totals, [key, _ABOVE], [_BLOCK], starts, -1).drop(_ABOVE)
+    above = totals.groupBy(key, *parts, _ABOVE).agg(_total(_SUM), _total(_N))
+    starts = _add_up(above, [key], [*parts, _ABOVE], carry, -1)
+    return _add_up(totals, [key, *parts, _ABOVE], [_BLOCK], starts, -1).drop(_ABOVE)
 
 
 def _add_up(
@@ -114,7 +123,7 @@ def _add_up(
     )
     total, n = F.sum(_SUM).over(w), F.sum(_N).over(w)
     if last < 0:
-        total, n = F.coalesce(total, F.lit(0)), F.coalesce(n, F.lit(0))
+        n = F.coalesce(n, F.lit(0))  # a sum of no values stays NULL
     return rows.withColumns({_SUM: total, _N: n}).filter(_ROW).drop(_ROW)
 
 

@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tillflow.operators.aggregates import group_stats_each
 from tillflow.operators.filters import filter_key_present, filter_nonempty
 from tillflow.operators.messages import (
     big_sale_alert,
@@ -25,13 +23,13 @@ from tillflow.operators.parsing import (
     render_json,
     split_parsed,
 )
-from tillflow.operators.projections import SALE_TABLE_PROJECTION, project_cast
+from tillflow.operators.projections import TEXT_TABLE_PROJECTION, cast_rejects, project_cast
 from tillflow.schemas import SALE_RAW
 from tillflow.sinks.tables import stream_to_table
 from tillflow.sinks.topics import stream_to_topic
 from tillflow.sources.topics import Topic, stream_topic
 from tillflow.streaming.batches import BatchSink, fan_out, write_each_batch
-from tillflow.streaming.running import running_batches
+from tillflow.streaming.running import running_batches, total_batches
 
 
 def relay(messages: DataFrame, schema: T.StructType = SALE_RAW) -> DataFrame:
@@ -78,20 +76,29 @@ def stream_topic_to_table(
     The numbers of the feed may be quoted or not, so they are parsed as text and cast.
     """
     sales = parse_json(stream_topic(spark, source, **reading))
-    spec = {
-        out: ("Quantité" if name == "Quantite" else name, to)
-        for out, (name, to) in SALE_TABLE_PROJECTION.items()
-    }
-    spec |= {
-        "prixUnitaire": ("PrixUnitaire", "double"),
-        "quantite": ("Quantité", "int"),
-        "total": ("Total", "double"),
-        "remise": ("Remise", "double"),
-    }
-    rows = project_cast(filter_key_present(sales), spec)
+    rows = project_cast(filter_key_present(sales), TEXT_TABLE_PROJECTION)
     return stream_to_table(rows, table, checkpoint, trigger, dedupe_key=dedupe_key)
 
 
+def count_table_rejects(
+    spark: SparkSession,
+    source: Topic,
+    sink: BatchSink,
+    checkpoint: str,
+    *,
+    trigger: dict | None = None,
+    **reading,
+) -> StreamingQuery:
+    """For every micro-batch: how many values `stream_topic_to_table` turns into NULL, by column."""
+    sales = filter_key_present(parse_json(stream_topic(spark, source, **reading)))
+    return write_each_batch(
+        sales,
+        lambda batch, batch_id: sink(cast_rejects(batch, TEXT_TABLE_PROJECTION), batch_id),
+        checkpoint,
+        trigger,
+    )
+
+
 def live_sales_metrics(
     messages: DataFrame,
     sinks: Mapping[str, BatchSink],
@@ -105,13 +112,14 @@ def live_sales_metrics(
     """Category and city turnover, alerts, clean messages and rejects of a live topic.
 
     ``sinks`` may name ``category``, ``city``, ``alerts``, ``events``, ``sales`` and
-    ``rejects``. Parsing is strict. The plain branches share one query. Turnover
-    reports changed keys once per micro-batch, from one more query for both keys; with
-    ``per_record`` it reports after every sale, inside the shared query, so the
-    topic is read once (needs ``partition`` and ``offset`` columns).
+    ``rejects``. Parsing is strict. All branches share one query, so the topic is read
+    and parsed once. Turnover reports changed keys once per micro-batch; with
+    ``per_record`` it reports after every sale (needs ``partition`` and ``offset``
+    columns). A ``Total`` that
+    ``sum_type`` cannot hold is a reject.
     """
     place = ("partition", "offset") if per_record else ()
-    parsed = parse_sale_strict(filter_nonempty(messages), keep=place)
+    parsed = parse_sale_strict(filter_nonempty(messages), keep=place, total_type=sum_type)
 
     def sales(batch: DataFrame) -> DataFrame:
         return split_parsed(batch)[0]
@@ -119,9 +127,6 @@ def live_sales_metrics(
     def branch(name: str, make: Callable[[DataFrame], DataFrame]) -> BatchSink:
         return lambda batch, batch_id: sinks[name](make(batch), batch_id)
 
-    def report(key: str, text: Callable[..., DataFrame]) -> Callable[[DataFrame], DataFrame]:
-        return lambda stats: text(stats.filter(F.col("by") == key), "key")
-
     plain = {
         "alerts": lambda batch: big_sale_alert(sales(batch), threshold),
         "events": lambda batch: render_event_json(sales(batch)),
@@ -131,28 +136,27 @@ def live_sales_metrics(
     keyed = {"category": ("Categorie", category_message), "city": ("Ville", city_message)}
     keyed = {name: spec for name, spec in keyed.items() if name in sinks}
     shared = {name: branch(name, make) for name, make in plain.items() if name in sinks}
-    queries = []
-    if keyed and per_record:
-        for name, (key, text) in keyed.items():
-            totals = f"{checkpoint_root}/totals_{name}"
-            shared[name] = _per_record(key, text, sinks[name], totals, sum_type)
-    elif keyed:
-        stats = group_stats_each(sales(parsed), [k for k, _ in keyed.values()], sum_type=sum_type)
-        reports = {name: branch(name, report(*spec)) for name, spec in keyed.items()}
-        queries += fan_out(stats, reports, f"{checkpoint_root}/turnover", True, trigger, "update")
-    if shared:
-        queries += fan_out(parsed, shared, checkpoint_root, True, trigger)
-    return queries
+    make = _per_record if per_record else _per_batch
+    for name, (key, text) in keyed.items():
+        totals = f"{checkpoint_root}/totals_{name}"
+        shared[name] = make(key, text, sinks[name], totals, sum_type)
+    return fan_out(parsed, shared, checkpoint_root, True, trigger)
+
+
+def _per_batch(key, text, sink, totals, sum_type) -> BatchSink:
+    advance = total_batches(
+        key, "Total", totals, lambda stats, batch_id: sink(text(stats, key), batch_id), sum_type
+    )
+    return lambda batch, batch_id: advance(split_parsed(batch)[0].select(key, "Total"), batch_id)
 
 
 def _per_record(key, text, sink, totals, sum_type) -> BatchSink:
     advance = running_batches(
         key,
         "Total",
-        "offset",
+        ("partition", "offset"),
         totals,
         lambda rows, batch_id: sink(text(rows), batch_id),
-        ties=("partition",),
         sum_type=sum_type,
     )
     return lambda batch, batch_id: advance(

@@ -70,11 +70,16 @@ def session_config(
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may go without that setting; it gets a temporary folder.
+    Only a session known to be local may go without that setting; it gets a temporary
+    folder. What is written there is deleted when the session's JVM ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "unknown")
+        if master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tillflow-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path

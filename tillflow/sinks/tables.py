@@ -13,6 +13,8 @@ from tillflow.streaming.batches import start, write_each_batch
 
 
 # Formats whose tables are plain folders of files.
+# Keys of a batch that are sent to every task that reads the table.
+_FEW_KEYS = 1 << 18
 _FILE_TABLES = {"parquet", "orc", "csv", "json", "avro", "text"}
 
 
@@ -33,11 +35,14 @@ def append_table(
 
 
 def _new_keys(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    # Both sides shrink to one row per key on the map side before the join, and
-    # rows without a key stay out of it, so no key can weigh down one join task.
+    # ``df`` shrinks to one row per key on the map side before the join, and rows
+    # without a key stay out of it, so no key can weigh down one join task.
     row = F.struct(*df.columns)
     single = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(row).alias("row"))
-    known = table.select(key).filter(F.col(key).isNotNull()).distinct()
+    asked = df.filter(F.col(key).isNotNull()).select(key).distinct()
+    if asked.limit(_FEW_KEYS + 1).count() <= _FEW_KEYS:
+        asked = F.broadcast(asked)  # the table's keys are then looked up where they are read
+    known = table.select(key).join(asked, key, "left_semi").distinct()
     fresh = single.join(known, key, "left_anti").select("row.*")
     return fresh.unionByName(df.filter(F.col(key).isNull()))
 

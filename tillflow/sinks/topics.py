@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.sources.topics import Topic, read_topic
-from tillflow.streaming.batches import start
+from tillflow.streaming.batches import start, writer_id
 
 # monotonically_increasing_id() is the task number times 2**33 plus the row number.
 _ROW_BITS = 33
-# A stream numbers batch b from b * 2**40, with no look at what is there.
-_BATCH_BITS = 40
+# A stream numbers batch b from b * 2**33, with no look at what is there: 2**30 batches fit.
+_BATCH_BITS = 33
+# A writer's partitions begin at a multiple of 2**16 that follows from its name.
+_TASK_BITS = 16
 
 
 def kafka_write_options(topic: Topic) -> dict[str, str]:
@@ -44,29 +48,37 @@ def stream_to_topic(
 
 
 def topic_batches(topic: Topic):
-    """A ``foreachBatch`` sink that appends each micro-batch to the topic."""
+    """A ``foreachBatch`` sink that appends each micro-batch to the topic.
+
+    In a folder topic every stream writes into a folder of its own, named by the id in
+    its checkpoint, and overwrites nothing but its own batch.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if topic.format == "kafka":
             write_topic(batch, topic)
             return
-        base = F.shiftleft(F.lit(batch_id).cast("bigint"), _BATCH_BITS)
-        _envelopes(batch, topic, base).write.mode("overwrite").parquet(
-            f"{topic.location}/batch_{batch_id}"
+        if batch_id >> (63 - _BATCH_BITS):
+            raise ValueError(f"batch {batch_id}: offsets would pass 64 bits")
+        writer = writer_id(batch)
+        base = F.lit(batch_id << _BATCH_BITS).cast("bigint")
+        first = (zlib.crc32(writer.encode()) & 0x7FFF) << _TASK_BITS
+        _envelopes(batch, topic, base, first).write.mode("overwrite").parquet(
+            f"{topic.location}/writer={writer}/batch={batch_id}"
         )
 
     return write
 
 
-def _envelopes(df: DataFrame, topic: Topic, base: Column) -> DataFrame:
-    """Topic partition = Spark task, offset = row within it: no shuffle to number rows."""
+def _envelopes(df: DataFrame, topic: Topic, base: Column, first: int = 0) -> DataFrame:
+    """Topic partition = ``first`` + Spark task, offset = row within it: no shuffle to number rows."""
     row = F.monotonically_increasing_id()
     key = F.col("key") if "key" in df.columns else F.lit(None)
     return df.select(
         key.cast("string").cast("binary").alias("key"),
         F.col("value").cast("string").cast("binary").alias("value"),
         F.lit(topic.name).alias("topic"),
-        F.shiftright(row, _ROW_BITS).cast("int").alias("partition"),
+        (F.shiftright(row, _ROW_BITS).cast("int") + first).alias("partition"),
         (base + row.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).cast("bigint").alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )

@@ -10,13 +10,23 @@ from pyspark.sql import types as T
 from tillflow.schemas import SALE_TABLE, TEST_TABLE
 
 
+def quoted(name: str) -> str:
+    """A dotted name with every part in back quotes, unless it has some already."""
+    return name if "`" in name else ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _located(location: str | None) -> str:
+    if not location:
+        return ""
+    return " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{place}")
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quoted(namespace)}{_located(location)}")
 
 
 def list_namespaces(spark: SparkSession, catalog: str | None = None) -> DataFrame:
-    return spark.sql("SHOW NAMESPACES" + (f" IN {catalog}" if catalog else ""))
+    return spark.sql("SHOW NAMESPACES" + (f" IN {quoted(catalog)}" if catalog else ""))
 
 
 def create_table(
@@ -29,17 +39,15 @@ def create_table(
     partition_by: Iterable[str] = (),
 ) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    ddl = f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {provider}"
+    ddl = f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({columns}) USING {provider}"
     if partition_by:
         ddl += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})"
-    if location:
-        ddl += f" LOCATION '{location}'"
-    spark.sql(ddl)
+    spark.sql(ddl + _located(location))
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
     """Tables of the namespace; Spark would add the session's temporary views."""
-    return spark.sql(f"SHOW TABLES IN {namespace}").filter("NOT isTemporary")
+    return spark.sql(f"SHOW TABLES IN {quoted(namespace)}").filter("NOT isTemporary")
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:

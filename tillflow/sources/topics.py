@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tillflow.operators.parsing import parse_json
+from tillflow.operators.projections import TEXT_EVENT_PROJECTION, project_cast
 from tillflow.schemas import ENVELOPE
 
 
@@ -119,7 +120,11 @@ def _folder(reader, fail_on_data_loss: bool):
 
 
 def topic_view(spark: SparkSession, topic: Topic, view: str, **options) -> DataFrame:
-    """Declare a JSON topic as a streaming SQL view of the twelve text columns."""
-    sales = parse_json(stream_topic(spark, topic, **options))
+    """Declare a JSON topic as a streaming SQL view of the twelve typed columns.
+
+    The feed quotes numbers or not, so they are parsed as text and cast; a bad one is NULL.
+    """
+    text = parse_json(stream_topic(spark, topic, **options))
+    sales = project_cast(text, TEXT_EVENT_PROJECTION)
     sales.createOrReplaceTempView(view)
     return sales

@@ -1,17 +1,19 @@
 """Running totals per record over a stream.
 
 Each micro-batch is a table, so it is added up by the same block-wise operator as a
-batch and no key gathers in one task. The totals so far are a small table beside the
-checkpoint, one row per key. Batch n reads what batch n - 1 left in one of two
-folders and overwrites the other, so a retry starts from the same totals. The keys
-are never dropped: the table grows with the number of different keys.
+batch and no key gathers in one task. The totals so far lie beside the checkpoint as a
+log: every batch writes the new totals of its own keys, and every ``FULL_EVERY``
+batches the latest of all keys are written together. A batch reads the last full list
+and the batches since, semi-joined to its own keys, so what it adds up and writes is
+of its own size. A batch writes only folders of its own number, so a retry starts from
+the same totals. The keys are never dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,10 +21,15 @@ from tillflow.operators.running import running_stats
 from tillflow.streaming.batches import BatchSink, parquet_batches, write_each_batch
 
 
+# Batches between two full lists of totals.
+FULL_EVERY = 32
+_KEY = "__running_batch_key"
+
+
 def running_batches(
     key: str,
     measure: str,
-    order: str,
+    order: str | Sequence[str],
     totals: str,
     sink: BatchSink,
     *,
@@ -36,16 +43,7 @@ def running_batches(
     """
 
     def advance(batch: DataFrame, batch_id: int) -> None:
-        before = _totals_after(batch, totals, batch_id - 1)
-        added = batch.groupBy(key).agg(
-            F.sum(F.col(measure).cast(sum_type)).alias("total"), F.count(F.lit(1)).alias("n")
-        )
-        if before is not None:
-            added = (
-                added.unionByName(before)
-                .groupBy(key)
-                .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-            )
+        before, added = _advanced(batch, key, measure, totals, sum_type, batch_id)
         sink(
             running_stats(
                 batch,
@@ -59,23 +57,68 @@ def running_batches(
             ),
             batch_id,
         )
-        added.withColumn("after", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            f"{totals}/{batch_id % 2}"
+        _keep(added, key, totals, batch_id)
+
+    return advance
+
+
+def total_batches(
+    key: str, measure: str, totals: str, sink: BatchSink, sum_type: str = "double"
+) -> BatchSink:
+    """A micro-batch sink that passes on ``key, n, total, mean`` of the batch's keys so far."""
+
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        _, added = _advanced(batch, key, measure, totals, sum_type, batch_id)
+        sink(
+            added.select(key, "n", "total", (F.col("total").cast("double") / F.col("n")).alias("mean")),
+            batch_id,
         )
+        _keep(added, key, totals, batch_id)
 
     return advance
 
 
-def _totals_after(batch: DataFrame, totals: str, batch_id: int) -> DataFrame | None:
+def _advanced(
+    batch: DataFrame, key: str, measure: str, totals: str, sum_type: str, batch_id: int
+) -> tuple[DataFrame | None, DataFrame]:
+    """Totals of the batch's keys before it (None at the start) and after it."""
+    added = batch.groupBy(key).agg(
+        F.sum(F.col(measure).try_cast(sum_type)).alias("total"), F.count(F.lit(1)).alias("n")
+    )
+    before = _totals_after(batch.sparkSession, totals, batch_id - 1)
+    if before is None:
+        return None, added
+    keys = batch.select(F.col(key).alias(_KEY)).distinct()
+    before = _latest(before.join(keys, F.col(key).eqNullSafe(F.col(_KEY)), "left_semi"), key)
+    kind = added.schema["total"].dataType  # a sum of sums would be wider with every batch
+    both = added.unionByName(before).groupBy(key)
+    return before, both.agg(F.sum("total").cast(kind).alias("total"), F.sum("n").alias("n"))
+
+
+def _keep(added: DataFrame, key: str, totals: str, batch_id: int) -> None:
+    added.write.mode("overwrite").parquet(f"{totals}/changed/after={batch_id}")
+    if batch_id % FULL_EVERY == FULL_EVERY - 1:
+        every = _totals_after(added.sparkSession, totals, batch_id)
+        _latest(every, key).write.mode("overwrite").parquet(f"{totals}/full/after={batch_id}")
+
+
+def _totals_after(spark: SparkSession, totals: str, batch_id: int) -> DataFrame | None:
+    """The last full list before ``batch_id`` and what changed up to it; with ``after``."""
     if batch_id < 0:
         return None
-    kept = batch.sparkSession.read.parquet(f"{totals}/{batch_id % 2}")
-    right = F.col("after") == batch_id
-    stale = F.raise_error(F.lit(f"totals of batch {batch_id} are not under {totals}"))
-    return kept.select(*[
-        F.when(right, F.col(c)).otherwise(stale.cast(kept.schema[c].dataType)).alias(c)
-        for c in kept.columns if c != "after"
-    ])
+    full = batch_id // FULL_EVERY * FULL_EVERY - 1
+
+    def read(kind: str, ids: range) -> DataFrame:
+        paths = [f"{totals}/{kind}/after={i}" for i in ids]
+        return spark.read.option("basePath", f"{totals}/{kind}").parquet(*paths)
+
+    changed = read("changed", range(full + 1, batch_id + 1))
+    return changed if full < 0 else changed.unionByName(read("full", range(full, full + 1)))
+
+
+def _latest(totals: DataFrame, key: str) -> DataFrame:
+    newest = F.max_by(F.struct("total", "n"), "after").alias("t")
+    return totals.groupBy(key).agg(newest).select(key, "t.total", "t.n")
 
 
 def running_stats_stream(
