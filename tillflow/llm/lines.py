@@ -69,7 +69,9 @@ def drop_repeated_lines(docs: DataFrame, least_lines: int = LEAST_LINES) -> Data
     rank = (F.col("_ord").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)") + F.col("idx")).cast("decimal(38,0)")
     chunks = (
         _chunked(docs.select(ordered_id().alias("_ord"), F.xxhash64(text).alias("_tid"), "text"), text)
-        .select("_ord", "_tid", F.explode("_chunks").alias("c"))
+        # Spark tests a plain explode for empty arrays below the scan's projections, and so
+        # builds all chunks a second time, nested in one another
+        .select("_ord", "_tid", F.explode_outer("_chunks").alias("c"))
         .filter(F.col("c.filled") >= least_lines)
         .select("_ord", "_tid", "c.idx", "c.n", "c.text")
         .withColumn("h", F.xxhash64("text"))
