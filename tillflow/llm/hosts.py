@@ -34,7 +34,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     """Distinct pairs ``src, dst`` of different hosts with a link from a page of one to the other."""
     linked = F.regexp_extract_all("html", F.lit(_LINK), 1)
     return (
-        pages.select(url_host(F.col("url")).alias("src"), F.explode(F.array_distinct(linked)).alias("dst"))
+        pages.select(url_host(F.col("url")).alias("src"), F.explode_outer(F.array_distinct(linked)).alias("dst"))
         .select("src", F.translate("dst", _CAPS, _SMALL).alias("dst"))
         .filter("src <> dst and src <> ''")
         .distinct()
