@@ -80,6 +80,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tillflow-")
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    jvm = getattr(spark, "_jvm", None)  # a remote client has none, and leaves the folder
+    if jvm is not None:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return path
