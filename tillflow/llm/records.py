@@ -192,7 +192,5 @@ def read_records(spark: SparkSession, folder: str, files: DataFrame, seed: int |
 def digest(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
     spark = docs.sparkSession
     folder = scratch_dir(spark, "records")
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     files = write_records(docs, folder, tokenizer, end_id)
     return read_records(spark, folder, files).select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
