@@ -30,8 +30,10 @@ from tillflow.session import scratch_dir
 FILE_BYTES = 32 << 20
 #: Records that are read together.
 READ_TOGETHER = 512
+_MARKS = ".,;:!?"
+
 #: Distinct words a Python worker keeps; then the older half goes.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_000_000
 
 ENTRY_BYTES = 16
 _HEAD, _PAYLOAD = struct.Struct("<QI"), struct.Struct("<BBq")
@@ -63,32 +65,78 @@ def unframed(data: memoryview, at: int) -> tuple[int | None, np.ndarray, int]:
     return None if null else doc_id, np.frombuffer(payload, f"<u{width}", offset=_PAYLOAD.size), end
 
 
+def _plain(text: str) -> bool:
+    """Letters alone, before and after lowering, which may part a letter from its mark."""
+    return text.isalpha() and text.lower().isalpha()
+
+
 class WordEncoder:
-    """Encodes with a tokenizer whose tokens never cross white space, word by word, keeping what it saw."""
+    """Encodes with a tokenizer whose tokens never cross white space, word by word, keeping what it saw.
+
+    Letters without marks are one piece for the tokenizer, and its pieces end with ``end``.
+    So many new words are encoded as one text and told apart by that ending.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: str = "</w>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = token.endswith(end)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.young) > KEPT_WORDS // 2:
             self.old, self.young = self.young, {}
-        words = [t.split() for t in texts]
-        missing = [w for w in {w for ws in words for w in ws} if w not in self.young]
-        known = {w: self.old[w] for w in missing if w in self.old}
-        new = [w for w in missing if w not in known]
-        if new:
-            got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            known |= {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, got, strict=True)}
-        self.young |= known
-        ids = self.young
-        return [np.frombuffer(b"".join([ids[w] for w in ws]), "<u4") for ws in words]
+        words = [text.split() for text in texts]
+        new: set[bytes] = set()
+        for ws in words:
+            new |= set(ws).difference(self.young)
+        self._learn(new)
+        return [np.frombuffer(b"".join(map(self.young.__getitem__, ws)), "<u4") for ws in words]
+
+    def _learn(self, new: set[bytes]) -> None:
+        letters, rest, ended = {}, {}, []
+        for w in new:
+            if w in self.old:
+                self.young[w] = self.old[w]
+                continue
+            text = w.decode("utf-8", "replace")
+            if _plain(text):
+                letters[w] = text
+                continue
+            stem = text.rstrip(_MARKS)
+            if len(stem) == len(text) or not _plain(stem):
+                rest[w] = text
+                continue
+            # the tokenizer always parts letters from marks
+            first, last = stem.encode(), text[len(stem) :].encode()
+            ended.append((w, first, last))
+            if first not in self.young:
+                letters[first] = stem
+            if last not in self.young:
+                rest[last] = last.decode()
+        letters = list(letters.items())
+        for at in range(0, len(letters), 2000):
+            some = letters[at : at + 2000]
+            ids = np.array(self._ids([" ".join(t for _, t in some)])[0], "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
+            if len(ends) != len(some):
+                rest.update(some)
+                continue
+            raw, cut = ids.tobytes(), (np.append(0, ends) * 4).tolist()
+            self.young.update((w, raw[a:b]) for (w, _), a, b in zip(some, cut, cut[1:], strict=False))
+        if rest:
+            self.young.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(rest, self._ids(list(rest.values())), strict=True))
+        self.young.update((w, self.young[first] + self.young[last]) for w, first, last in ended)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @lru_cache(1)
