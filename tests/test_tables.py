@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from tillflow.plans.batch import catalog_smoke, load_sales_table
 from tillflow.schemas import SALE_FIELDS, SALE_RAW, SALE_TABLE, TEST_ROWS, TEST_TABLE
 from tillflow.sinks.files import write_csv
-from tillflow.sinks.tables import append_table, insert_values, stream_to_table
+from tillflow.sinks.tables import _new_keys, append_table, insert_values, stream_to_table
 from tillflow.sources.files import read_csv_raw
 from tillflow.sources.tables import (
     create_namespace,
@@ -145,3 +145,17 @@ def test_load_sales_table(spark, tmp_path):
     assert copy.columns == list(SALE_FIELDS)
     assert sorted(map(tuple, copy.collect())) == sorted(map(tuple, (good, bad)))
     spark.sql(f"DROP NAMESPACE {ns} CASCADE")
+
+
+def test_dedupe_looks_up_a_small_batch_where_the_table_is_read(spark, table):
+    name = table
+    append_table(spark.range(100).selectExpr("id", "'a' AS data"), name)
+    unseen = _new_keys(spark.range(90, 110).selectExpr("id", "'b' AS data"), spark.table(name), "id")
+    plan = unseen._jdf.queryExecution().executedPlan().toString()
+    lookup = plan.index("LeftSemi")
+    assert "BroadcastHashJoin" in plan[lookup - 120 : lookup + 120]
+    # below the lookup the table is scanned and not shuffled
+    scan = plan.index("FileScan parquet", lookup)
+    assert "Exchange hashpartitioning" not in plan[lookup:scan]
+    append_table(spark.range(90, 110).selectExpr("id", "'b' AS data"), name, dedupe_key="id")
+    assert spark.table(name).count() == 110
