@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tillflow.llm.common import portions, ragged, utf8, whole_text
 
 #: Distinct fragments a Python worker keeps; then the older half goes.
-KEPT_FRAGMENTS = 400_000
+KEPT_FRAGMENTS = 160_000
 
 _LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 0
 
@@ -261,7 +261,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         use = encoder(path)
         for batch in batches:
             data, offsets = utf8(batch.column("_text"))
-            for i, j, part, offs in portions(data, offsets):
+            for i, j, part, offs in portions(data, offsets, 1 << 18):
                 ids = use.encode(part, offs)
                 at = np.append(0, np.cumsum([len(x) for x in ids]))
                 flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
@@ -282,8 +282,10 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
             lists = batch.column("ids")
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             at = np.append(0, np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
-            texts = [decode(vocabulary, flat[a:b]) for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
-            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
+            for i in range(0, len(batch), 200):  # a few texts at a time bound the worker's memory
+                part, ends = batch.slice(i, 200), at[i : i + 201].tolist()
+                texts = [decode(vocabulary, flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+                yield pa.record_batch([*part.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(emit, f"{kinds}, decoded string")

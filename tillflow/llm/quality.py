@@ -191,9 +191,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("_text"))
-            found = [model.score(features(part, offs)) for _, _, part, offs in portions(data, offsets)]
-            score = np.concatenate(found) if found else np.zeros(0)
-            yield pa.record_batch([*(batch.column(n) for n in names), pa.array(score)], names=[*names, "_score"])
+            for i, j, part, offs in portions(data, offsets):
+                score = pa.array(model.score(features(part, offs)))
+                yield pa.record_batch([*(batch.column(n).slice(i, j - i) for n in names), score], names=[*names, "_score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.withColumn("_text", whole_text()).mapInArrow(emit, f"{kinds}, _score double")
