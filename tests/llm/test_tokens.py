@@ -72,3 +72,12 @@ def test_damage_is_noticed():
     data[25] ^= 1
     with pytest.raises(ValueError, match="checksum"):
         records.unframed(memoryview(data), 0)
+
+
+def test_letters_that_nfc_takes_apart_before_marks():
+    t = Tokenizer.from_file(WORDS)
+    letters = [c for c in map(chr, range(0x80, 0x30000)) if c.isalpha() and not 0x3400 <= ord(c) < 0xD800]
+    words = ["হয়,", "क़.", "שׁ!", *(f"a{c}{m}" for c in letters[:20000] for m in (",", ".")), "plain,", "plain"]
+    found = records.WordEncoder(WORDS).encode([w.encode() for w in words])
+    wrong = [w for w, ids in zip(words, found, strict=True) if ids.tolist() != t.encode(w, add_special_tokens=False).ids]
+    assert wrong == []

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -66,8 +67,13 @@ def unframed(data: memoryview, at: int) -> tuple[int | None, np.ndarray, int]:
 
 
 def _plain(text: str) -> bool:
-    """Letters alone, before and after lowering, which may part a letter from its mark."""
-    return text.isalpha() and text.lower().isalpha()
+    """Letters alone, before and after NFC and lowering, which may part a letter from its mark."""
+    return text.isalpha() and (text.isascii() or _whole(text))
+
+
+def _whole(text: str) -> bool:
+    composed = unicodedata.normalize("NFC", text)
+    return composed.isalpha() and composed.lower().isalpha() and text.lower().isalpha()
 
 
 class WordEncoder:
@@ -114,7 +120,7 @@ class WordEncoder:
             if len(stem) == len(text) or not _plain(stem):
                 rest[w] = text
                 continue
-            # the tokenizer always parts letters from marks
+            # the tokenizer parts marks from letters that its NFC step leaves letters alone
             first, last = stem.encode(), text[len(stem) :].encode()
             ended.append((w, first, last))
             if first not in self.young:
