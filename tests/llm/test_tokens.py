@@ -81,3 +81,9 @@ def test_letters_that_nfc_takes_apart_before_marks():
     found = records.WordEncoder(WORDS).encode([w.encode() for w in words])
     wrong = [w for w, ids in zip(words, found, strict=True) if ids.tolist() != t.encode(w, add_special_tokens=False).ids]
     assert wrong == []
+
+
+def test_ids_that_do_not_fit_are_refused():
+    assert records.unframed(memoryview(records.framed(1, np.array([65535], "<u4"), 2)), 0)[1].tolist() == [65535]
+    with pytest.raises(ValueError, match="65536 does not fit"):
+        records.framed(1, np.array([3, 65536], "<u4"), 2)

@@ -50,6 +50,8 @@ def index_entry(offset: int, tokens: int) -> bytes:
 
 
 def framed(doc_id: int | None, ids: np.ndarray, width: int) -> bytes:
+    if len(ids) and int(ids.max()) >> 8 * width:
+        raise ValueError(f"id {ids.max()} does not fit in {width} bytes")
     payload = _PAYLOAD.pack(width, doc_id is None, doc_id or 0) + ids.astype(f"<u{width}").tobytes()
     length = struct.pack("<Q", len(payload))
     return length + struct.pack("<I", masked(length)) + payload + struct.pack("<I", masked(payload))
@@ -160,7 +162,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, wid
     Files follow each other in order: null ids first, equal ids by a hash of the text. Null
     texts are empty. A task writes its file under a name of its own attempt and renames it
     when it is whole, so a repeated task leaves the same file. ``folder``: a URI or path that
-    all executors share; ``width``: bytes of an id. An empty table writes no file.
+    all executors share; ``width``: bytes of an id; one that does not
+    fit is an error. An empty table writes no file.
 
     Returns the list of files: ``part, n_records, n_tokens``.
     """
