@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bpe, decontaminate, hosts, lines, quality, records, sharding, simhash, substrings, topk
+from tillflow.llm import bpe, conversations, decontaminate, hosts, lines, quality, records, sharding, simhash, substrings, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,3 +82,9 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(conversations.SQL)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.digest(rows, conversations.damaged(rows))
