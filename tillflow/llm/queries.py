@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bpe, conversations, decontaminate, hosts, lines, quality, records, sharding, simhash, substrings, topk
+from tillflow.llm import (
+    bpe,
+    conversations,
+    decontaminate,
+    hosts,
+    lines,
+    negatives,
+    quality,
+    records,
+    sharding,
+    simhash,
+    substrings,
+    topk,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,3 +102,14 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return conversations.digest(rows, conversations.damaged(rows))
+
+
+@query(negatives.SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
+@query()
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.digest(docs, *toxicity.train(docs, table(spark, sf_dir, "labels")))
