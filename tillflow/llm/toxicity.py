@@ -24,8 +24,9 @@ from tillflow.llm.words import mixed, word_hashes
 SAMPLE = 20_000
 #: Words looked at when choosing: those that tell most by themselves, at most so many.
 WORDS = 4096
-#: Beginnings of words that count beside the words, in bytes.
-BEGINNINGS = (4, 5, 6)
+#: Beginnings of words that count beside the words, in bytes; and how many words of one
+#: beginning a text must hold, as endings of a telling stem vary and single words may be chance.
+BEGINNINGS, TIMES = (4, 5, 6, 7, 8), (1, 2, 3)
 #: Chosen words at most, and the least gain (half a squared standard score) to choose one more.
 CHOSEN, LEAST_GAIN = 256, 5.0
 _LETTERS = np.zeros(256, bool)
@@ -38,31 +39,55 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def word_features(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of each word, and of the beginnings of longer words, of rows that end in a line end."""
+    """Distinct pairs of row and hash, for rows that end in a line end.
+
+    A hash stands for a word, or for a beginning that so many different longer words share.
+    """
     inside = _LETTERS[text]
     edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
     a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     row = np.searchsorted(starts, a, "right") - 1
-    rows, hashes = [row], [word_hashes(text, a, b)]
+    row, code, at = _distinct(row, word_hashes(text, a, b))
+    a, b = a[at], b[at]
+    rows, codes = [row], [code]
     for k in BEGINNINGS:
         long = b - a > k
-        rows.append(row[long])
-        hashes.append(mixed(word_hashes(text, a[long], a[long] + k) + np.uint64(k)))
-    return np.concatenate(rows), np.concatenate(hashes)
+        of, stem, _ = _sorted(row[long], mixed(word_hashes(text, a[long], a[long] + k) + np.uint64(k)))
+        head = np.flatnonzero(_heads(of, stem))
+        n = np.diff(np.append(head, len(of)))
+        for times in TIMES:
+            some = head[n >= times]
+            rows.append(of[some])
+            codes.append(stem[some] + np.uint64(times))
+    return np.concatenate(rows), np.concatenate(codes)
+
+
+def _sorted(row: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    by = np.lexsort((code, row))
+    return row[by], code[by], by
+
+
+def _heads(row: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return np.append(True, (row[1:] != row[:-1]) | (code[1:] != code[:-1])) if len(row) else np.zeros(0, bool)
+
+
+def _distinct(row: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    row, code, by = _sorted(row, code)
+    new = _heads(row, code)
+    return row[new], code[new], by[new]
 
 
 def _present(channel: Channel, data: np.ndarray, offs: np.ndarray, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of row and hash; with ``only`` (sorted), of row and place in it."""
+    """Pairs of row and hash; with ``only`` (sorted), of row and place in it, by row."""
     row, code = word_features(*channel.restored(data, offs))
-    if only is not None:
-        at = np.minimum(np.searchsorted(only, code), max(len(only) - 1, 0))
-        known = only[at] == code if len(only) else np.zeros(len(code), bool)
-        pair = np.unique(row[known] * max(len(only), 1) + at[known])
-        return pair // max(len(only), 1), pair % max(len(only), 1)
-    by = np.lexsort((code, row))
-    row, code = row[by], code[by]
-    new = np.append(True, (row[1:] != row[:-1]) | (code[1:] != code[:-1])) if len(row) else np.zeros(0, bool)
-    return row[new], code[new]
+    if only is None:
+        return row, code
+    if not len(only):
+        return row[:0], row[:0]
+    at = np.minimum(np.searchsorted(only, code), len(only) - 1)
+    known = only[at] == code
+    by = np.lexsort((at[known], row[known]))
+    return row[known][by], at[known][by]
 
 
 class Model:
