@@ -16,6 +16,7 @@ from itertools import pairwise
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -241,14 +242,24 @@ def in_money(stats: DataFrame) -> DataFrame:
     return stats.withColumn("total", F.col("total").cast("double"))
 
 
-def new_table(spark: SparkSession, schema) -> str:
+def new_table(spark: SparkSession, schema, committed: bool = False) -> str:
     """An empty Parquet table with a name and folder of its own."""
     folder = scratch_dir(spark, "table")
     name = folder.rpartition("/")[2].replace("-", "_")
-    catalog.create_table(spark, name, schema, location=folder)
+    catalog.create_table(spark, name, schema, location=folder, committed=committed)
     return name
 
 
+def forget_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Leave a checkpoint as a driver does that is lost just before its last commit."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in store.listStatus(folder)]
+    last = max(int(n) for n in names if n.isdigit())
+    store.delete(jvm.org.apache.hadoop.fs.Path(folder, str(last)), False)
+
+
 def message_topic(spark: SparkSession, sf: str, name: str = "sales_in") -> Topic:
     """A folder topic that holds all of ``sale_messages``."""
     topic = Topic.files(name, scratch_dir(spark, name))
@@ -1099,12 +1110,32 @@ def stream_city_totals_running(spark, sf):
 
 @query("SELECT event_id AS id, event_type AS data FROM events")
 def stream_to_table(spark, sf):
-    name = new_table(spark, TEST_TABLE)
+    name = new_table(spark, TEST_TABLE, committed=True)
     rows = event_stream(spark, sf).selectExpr("event_type AS data", "event_id AS id")
     finish(table_sinks.stream_to_table(rows, name, scratch_dir(spark, "ckpt"), NOW))
     return catalog.scan_table(spark, name)
 
 
+@query("""
+SELECT event_id AS id, event_type AS data, FALSE AS appended FROM events
+UNION ALL SELECT event_id, event_type, TRUE FROM events
+""")
+def stream_to_table_retried(spark, sf):
+    """A batch is tried again after its rows are in the table, beside appended rows; then batches are folded."""
+    schema = T.StructType([*TEST_TABLE.fields, T.StructField("appended", T.BooleanType())])
+    name, checkpoint = new_table(spark, schema, committed=True), scratch_dir(spark, "ckpt")
+    rows = event_stream(spark, sf).selectExpr(
+        "event_id AS id", "event_type AS data", "FALSE AS appended"
+    )
+    finish(table_sinks.stream_to_table(rows, name, checkpoint, NOW))
+    both = table(spark, sf, "events").selectExpr("event_id", "event_type", "TRUE")
+    table_sinks.append_table(both, name)
+    forget_commit(spark, checkpoint)
+    finish(table_sinks.stream_to_table(rows, name, checkpoint, NOW))
+    table_sinks.fold_batches(spark, name)
+    return catalog.scan_table(spark, name)
+
+
 @query(f"""
 WITH kept AS ({SALE_TABLE_SQL}, "Categorie" FROM ({LENIENT}))
 SELECT * EXCLUDE ("Categorie") REPLACE (CASE "Categorie" WHEN 'view' THEN NULL ELSE quantite END AS quantite,
@@ -1125,13 +1156,12 @@ def stream_topic_to_table(spark, sf):
     )
     for part in in_steps(table(spark, sf, "events")):
         topic_sinks.write_topic(sale_messages(part).select(spoilt.alias("value")), source)
-    name, lost = new_table(spark, SALE_TABLE), scratch_dir(spark, "lost")
-    one = {"trigger": NOW, "max_per_trigger": 1}
+    name, lost = new_table(spark, SALE_TABLE, committed=True), scratch_dir(spark, "lost")
     finish(
-        streams.stream_topic_to_table(spark, source, name, scratch_dir(spark, "ckpt"), **one),
-        streams.count_table_rejects(
-            spark, source, parquet_batches(lost), scratch_dir(spark, "ckpt"), **one
-        ),
+        streams.stream_topic_to_table(
+            spark, source, name, scratch_dir(spark, "ckpt"), rejects=parquet_batches(lost),
+            trigger=NOW, max_per_trigger=1,
+        )
     )
     bad = spark.read.parquet(lost).agg(
         F.sum("quantite").alias("bad_quantite"), F.sum("total").alias("bad_total")

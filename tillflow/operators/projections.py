@@ -81,17 +81,22 @@ def project_cast(
     )
 
 
+def reject_counts(
+    df: DataFrame, spec: Mapping[str, tuple[str, str | None]] = SALE_TABLE_PROJECTION
+) -> list[Column]:
+    """Aggregates: how many present values of each cast column `project_cast` would lose."""
+    return [
+        F.count_if(F.col(i).isNotNull() & _cast(df, i, t).isNull()).alias(o)
+        for o, (i, t) in spec.items()
+        if t is not None
+    ]
+
+
 def cast_rejects(
     df: DataFrame, spec: Mapping[str, tuple[str, str | None]] = SALE_TABLE_PROJECTION
 ) -> DataFrame:
     """One row: how many present values of each cast column `project_cast` would lose."""
-    return df.agg(
-        *[
-            F.count_if(F.col(i).isNotNull() & _cast(df, i, t).isNull()).alias(o)
-            for o, (i, t) in spec.items()
-            if t is not None
-        ]
-    )
+    return df.agg(*reject_counts(df, spec))
 
 
 def _cast(df: DataFrame, name: str, to: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,12 +23,13 @@ from tillflow.operators.parsing import (
     render_json,
     split_parsed,
 )
-from tillflow.operators.projections import TEXT_TABLE_PROJECTION, cast_rejects, project_cast
+from tillflow.operators.projections import TEXT_TABLE_PROJECTION, project_cast, reject_counts
 from tillflow.schemas import SALE_RAW
-from tillflow.sinks.tables import stream_to_table
+from tillflow.sinks.tables import is_file_table, stream_to_table, table_batches
 from tillflow.sinks.topics import stream_to_topic
 from tillflow.sources.topics import Topic, stream_topic
 from tillflow.streaming.batches import BatchSink, fan_out, write_each_batch
+from tillflow.streaming.progress import observed, one_row
 from tillflow.streaming.running import running_batches, total_batches
 
 
@@ -69,34 +70,48 @@ def stream_topic_to_table(
     *,
     trigger: dict | None = None,
     dedupe_key: str | None = None,
+    sole_writer: bool = False,
+    rejects: BatchSink | None = None,
     **reading,
 ) -> StreamingQuery:
     """Insert a topic's sales into the catalog table; ``reading`` goes to `stream_topic`.
 
     The numbers of the feed may be quoted or not, so they are parsed as text and cast.
+    ``rejects`` gets one row a micro-batch: how many values of each column were no numbers
+    and became NULL. They are counted while the rows pass, with no second read of the topic.
+    In a file table the count is handed on before the batch is committed. Elsewhere it comes
+    with the query's progress, after the commit, and a driver lost in between loses it.
     """
-    sales = parse_json(stream_topic(spark, source, **reading))
-    rows = project_cast(filter_key_present(sales), TEXT_TABLE_PROJECTION)
-    return stream_to_table(rows, table, checkpoint, trigger, dedupe_key=dedupe_key)
-
-
-def count_table_rejects(
-    spark: SparkSession,
-    source: Topic,
-    sink: BatchSink,
-    checkpoint: str,
-    *,
-    trigger: dict | None = None,
-    **reading,
-) -> StreamingQuery:
-    """For every micro-batch: how many values `stream_topic_to_table` turns into NULL, by column."""
     sales = filter_key_present(parse_json(stream_topic(spark, source, **reading)))
-    return write_each_batch(
-        sales,
-        lambda batch, batch_id: sink(cast_rejects(batch, TEXT_TABLE_PROJECTION), batch_id),
-        checkpoint,
-        trigger,
-    )
+    if rejects is None:
+        rows = project_cast(sales, TEXT_TABLE_PROJECTION)
+        return stream_to_table(
+            rows, table, checkpoint, trigger, dedupe_key=dedupe_key, sole_writer=sole_writer
+        )
+    if sole_writer or not is_file_table(spark, table):
+        counts = reject_counts(sales, TEXT_TABLE_PROJECTION)
+        rows = project_cast(observed(sales, counts, rejects), TEXT_TABLE_PROJECTION)
+        return stream_to_table(rows, table, checkpoint, trigger, sole_writer=sole_writer)
+    insert = table_batches(table, dedupe_key)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if dedupe_key is not None:  # reads the batch several times
+            batch.persist()
+        try:
+            counts = reject_counts(batch, TEXT_TABLE_PROJECTION)
+            if dedupe_key is not None:
+                found = batch.agg(*counts)
+                insert(project_cast(batch, TEXT_TABLE_PROJECTION), batch_id)
+            else:
+                seen = Observation()
+                insert(project_cast(batch.observe(seen, *counts), TEXT_TABLE_PROJECTION), batch_id)
+                found = one_row(batch.sparkSession, seen.get)
+            rejects(found, batch_id)
+        finally:
+            if dedupe_key is not None:
+                batch.unpersist()
+
+    return write_each_batch(sales, write, checkpoint, trigger)
 
 
 def live_sales_metrics(

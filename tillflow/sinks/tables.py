@@ -1,4 +1,10 @@
-"""Writers to catalog tables."""
+"""Writers to catalog tables.
+
+A table of plain files has no transactions. A committed one (`create_table`, ``committed``)
+keeps each micro-batch of a stream in a partition of its own, which a retry of the batch
+replaces whole; batches append to another partition. So a stream adds each row once and
+batches may add rows beside it.
+"""
 
 from __future__ import annotations
 
@@ -8,14 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillflow.sources.tables import inline_values
-from tillflow.streaming.batches import start, write_each_batch
-
+from tillflow.sources.tables import (
+    BATCH,
+    COMMITS,
+    commits,
+    folded_to,
+    inline_values,
+    is_committed,
+    quoted,
+    scan_table,
+)
+from tillflow.streaming.batches import BatchSink, start, write_each_batch, writer_id
 
 # Formats whose tables are plain folders of files.
+_FILE_TABLES = {"parquet", "orc", "csv", "json", "avro", "text"}
 # Keys of a batch that are sent to every task that reads the table.
 _FEW_KEYS = 1 << 18
-_FILE_TABLES = {"parquet", "orc", "csv", "json", "avro", "text"}
+_DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
 
 
 def append_table(
@@ -27,11 +42,29 @@ def append_table(
     equal keys in ``df`` give one row. Rows without a key are always kept. ``by_name``
     matches columns by name instead.
     """
+    known = scan_table(df.sparkSession, table)
     if by_name:
-        df = df.select(*df.sparkSession.table(table).columns)
+        df = df.select(*known.columns)
     if dedupe_key is not None:
-        df = _new_keys(df, df.sparkSession.table(table), dedupe_key)
-    df.write.insertInto(table)
+        df = _new_keys(df, known, dedupe_key)
+    _signed(df, table, BATCH, 0).write.insertInto(table)
+
+
+def _signed(df: DataFrame, table: str, writer: str, number: int) -> DataFrame:
+    if not is_committed(df.sparkSession.table(table)):
+        return df
+    return df.select("*", F.lit(writer), F.lit(number).cast("bigint"))
+
+
+def _replace(df: DataFrame, table: str) -> None:
+    """Write ``df`` in the place of the partitions that it has rows of."""
+    conf = df.sparkSession.conf
+    before = conf.get(_DYNAMIC)
+    conf.set(_DYNAMIC, "dynamic")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(_DYNAMIC, before)
 
 
 def _new_keys(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
@@ -52,6 +85,30 @@ def insert_values(spark: SparkSession, table: str, rows: Iterable[tuple]) -> Non
     append_table(inline_values(spark, rows, spark.table(table).schema), table)
 
 
+def table_batches(table: str, dedupe_key: str | None = None) -> BatchSink:
+    """A micro-batch sink into a file table, by column name.
+
+    Into a committed table each batch goes once, however often it is tried. Into another one
+    a retry appends again, unless ``dedupe_key`` names a unique column.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, me = batch.sparkSession, writer_id(batch)
+        whole = spark.table(table)
+        if not is_committed(whole):
+            append_table(batch, table, dedupe_key, by_name=True)
+            return
+        rows = batch.select(*whole.columns[:-2])
+        if dedupe_key is not None:
+            by, at = (F.col(c) for c in COMMITS)
+            # what an earlier try of this batch wrote is no reason to leave a row out
+            others = whole.filter(~((by == me) & (at == batch_id)))
+            rows = _new_keys(rows, others.drop(*COMMITS), dedupe_key)
+        _replace(_signed(rows, table, me, batch_id), table)
+
+    return write
+
+
 def stream_to_table(
     df: DataFrame,
     table: str,
@@ -63,22 +120,56 @@ def stream_to_table(
 ) -> StreamingQuery:
     """Insert a stream into a table by column name.
 
-    Iceberg and other transactional tables get each row exactly once. In a table of
-    plain files Spark's own stream sink would hide the rows that others append, so
-    there each micro-batch is appended like a batch: at least once, since a retry
-    appends again unless ``dedupe_key`` names a unique column. ``sole_writer`` takes
+    Iceberg and other transactional tables, and committed file tables, get each row exactly
+    once. In other tables of plain files Spark's own stream sink would hide the rows that
+    others append, so there each micro-batch is appended like a batch: at least once, since a
+    retry appends again unless ``dedupe_key`` names a unique column. ``sole_writer`` takes
     Spark's sink, exactly once, for a file table that nothing else ever writes.
     """
-    if sole_writer or _provider(df.sparkSession, table) not in _FILE_TABLES:
+    if sole_writer or not is_file_table(df.sparkSession, table):
         return start(df.writeStream, checkpoint, trigger, table=table)
+    return write_each_batch(df, table_batches(table, dedupe_key), checkpoint, trigger)
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        append_table(batch, table, dedupe_key, by_name=True)
 
-    return write_each_batch(df, append, checkpoint, trigger)
+def fold_batches(spark: SparkSession, table: str) -> None:
+    """Put the older micro-batches of each stream of a committed table into one partition.
 
-
-def _provider(spark: SparkSession, table: str) -> str:
-    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'")
+    The newest of a stream stays apart, as it may be tried again. Rows are written first and
+    the old partitions dropped then; where that stops half-way, `scan_table` passes over the
+    old ones and the next fold drops them. Streams may run meanwhile, another fold may not.
+    """
+    spark.catalog.refreshTable(quoted(table))
+    whole = spark.table(table)
+    by, at = (F.col(c) for c in COMMITS)
+    for writer, numbers in commits(spark, table).items():
+        last = folded_to(numbers)
+        fresh = sorted(n for n in numbers if n > last)[:-1]
+        if writer == BATCH:
+            continue
+        if fresh:
+            taken = [*fresh, *([-last - 1] if last >= 0 else [])]
+            rows = whole.filter((by == writer) & at.isin(taken)).drop(*COMMITS).hint("rebalance")
+            last = fresh[-1]
+            _replace(_signed(rows, table, writer, -last - 1), table)
+        for n in sorted(n for n in numbers if 0 <= n <= last or -1 >= n > -last - 1):
+            _drop_partition(spark, table, writer, n)
+    spark.catalog.refreshTable(quoted(table))
+
+
+def _drop_partition(spark: SparkSession, table: str, writer: str, number: int) -> None:
+    spec = f"{COMMITS[0]}='{writer}', {COMMITS[1]}={number}"
+    spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({spec})")
+    # the files of a table with a location of its own stay; nothing lists them any more
+    home = _fact(spark, table, "Location")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{home}/{COMMITS[0]}={writer}/{COMMITS[1]}={number}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def is_file_table(spark: SparkSession, table: str) -> bool:
+    return _fact(spark, table, "Provider").lower() in _FILE_TABLES
+
+
+def _fact(spark: SparkSession, table: str, name: str) -> str:
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").filter(F.col("col_name") == name)
     row = facts.first()
-    return row.data_type.lower() if row else ""
+    return row.data_type if row else ""
