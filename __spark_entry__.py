@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
+import time
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -40,13 +41,20 @@ from tillflow.sinks import tables as table_sinks
 from tillflow.sinks import topics as topic_sinks
 from tillflow.sources import files as file_sources
 from tillflow.sources import tables as catalog
-from tillflow.sources.topics import Topic, read_topic, stream_topic, topic_view
+from tillflow.sources.topics import Topic, next_ranges, read_topic, stream_topic, topic_view
 from tillflow.streaming.batches import (
     fan_out,
     latest_per_key,
     parquet_batches,
     write_each_batch,
 )
+from tillflow.streaming.routes import (
+    fan_out_routed,
+    routed_rows,
+    routed_topic,
+    rows_route,
+    topic_route,
+)
 from tillflow.streaming.running import running_stats_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -698,7 +706,10 @@ def sink_parquet_compact(spark, sf):
     return file_sources.read_parquet(spark, path)
 
 
-@query("SELECT count(*) AS rows_written, count(*) AS rows_read, TRUE AS schema_equal FROM events")
+@query("""
+SELECT count(*) AS rows_written, count(*) AS rows_read, TRUE AS schema_equal, TRUE AS content_equal
+FROM events
+""")
 def readback_check(spark, sf):
     return file_sinks.readback_check(
         spark, table(spark, sf, "events"), scratch_dir(spark, "checked")
@@ -729,19 +740,28 @@ def path_has_data(spark, sf):
     )
 
 
+PARTS = 8
+
+
 def _inbox(spark: SparkSession, sf: str) -> str:
-    """A folder of CSV drops: a part of the sales, then all of them in the one file of a drop."""
+    """A folder of CSV drops: a part of the sales, then all of them in eight files, then a drop
+    whose writer is not done."""
     events = table(spark, sf, "events")
     inbox = scratch_dir(spark, "inbox")
-    file_sinks.write_csv(sales(in_steps(events)[0]), f"{inbox}/early")
-    file_sinks.write_csv(sales(events).repartition(1), f"{inbox}/sales")
+    some, *_ = in_steps(events)
+    file_sinks.write_csv(sales(some), f"{inbox}/early")
+    file_sinks.write_csv(sales(events).repartition(PARTS), f"{inbox}/sales")
+    file_sinks.write_csv(sales(some), f"{inbox}/unfinished")
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{inbox}/unfinished/_SUCCESS")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).delete(marker, False)
     return inbox
 
 
-@query(f"SELECT {', '.join(f'\"{n}\"' for n in SALE_FIELDS)} FROM ({SALES})")
+@query(f"SELECT {', '.join(f'\"{n}\"' for n in SALE_FIELDS)}, {PARTS} AS files FROM ({SALES})")
 def latest_file(spark, sf):
-    newest = file_sources.latest_file(spark, _inbox(spark, sf)).first()["path"]
-    return file_sources.read_csv_raw(spark, newest)
+    newest = file_sources.latest_drop(spark, _inbox(spark, sf))
+    rows = file_sources.read_csv_raw(spark, newest.files)
+    return rows.withColumn("files", F.lit(len(newest.files)))
 
 
 @query(f"""
@@ -846,17 +866,38 @@ def catalog_listing(spark, sf):
 
 
 @query("""
-SELECT event_id::VARCHAR AS key, props AS value, 'sales_in' AS topic, 0 AS partition,
-  row_number() OVER (ORDER BY event_id) - 1 AS "offset" FROM events
+SELECT event_id::VARCHAR AS key, props AS value, 'sales_in' AS topic, TRUE AS gapless FROM events
 """)
 def envelope_view(spark, sf):
+    """Messages written by many tasks; offsets count up from 0 without gaps in every partition."""
     topic = Topic.files("sales_in", scratch_dir(spark, "sales_in"))
-    rows = table(spark, sf, "events").selectExpr(
-        "CAST(event_id AS STRING) AS key", "props AS value", "event_id"
+    rows = table(spark, sf, "events").selectExpr("CAST(event_id AS STRING) AS key", "props AS value")
+    topic_sinks.write_topic(rows.repartition(PARTS), topic)
+    view = projections.envelope_view(read_topic(spark, topic))
+    each = view.groupBy("partition").agg(
+        F.min("offset").alias("low"), F.max("offset").alias("high"),
+        F.count("*").alias("n"), F.count_distinct("offset").alias("different"),
     )
-    # one task in order, so that places are known
-    topic_sinks.write_topic(rows.repartition(1).sortWithinPartitions("event_id"), topic)
-    return projections.envelope_view(read_topic(spark, topic))
+    whole = (F.col("low") == 0) & (F.col("high") + 1 == F.col("n")) & (F.col("n") == F.col("different"))
+    parts = each.agg((F.every(whole) & (F.count("*") == PARTS)).alias("gapless"))
+    return view.drop("partition", "offset").crossJoin(F.broadcast(parts))  # one row
+
+
+@query(f"""
+SELECT *, CASE WHEN "IDVente"::BIGINT < (SELECT (max(event_id) + 1) // 3 FROM events) THEN 'first'
+  ELSE 'rest' END AS part FROM ({LENIENT})
+""")
+def topic_batch_ranges(spark, sf):
+    """A topic read up to an offset and then from where that read ended."""
+    topic = ordered_topic(spark, sf)
+    end = table(spark, sf, "events").agg(F.expr("(max(event_id) + 1) div 3")).first()[0] or 0
+    first = read_topic(spark, topic, ranges={0: (None, end)})
+    rest = read_topic(spark, topic, ranges=next_ranges(first) or {0: (None, None)})
+    parts = [
+        filters.filter_key_present(parsing.parse_json(m)).withColumn("part", F.lit(name))
+        for m, name in ((first, "first"), (rest, "rest"))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query(LENIENT)
@@ -973,10 +1014,19 @@ SELECT 'parquet' AS sink, * FROM ({LENIENT}) UNION ALL SELECT 'topic', * FROM ({
 """
 
 
-def _fan_out(spark, sf, shared):
-    kept = filters.filter_key_present(
+def _kept_sales(spark, sf):
+    return filters.filter_key_present(
         parsing.parse_json(stream_topic(spark, message_topic(spark, sf), max_per_trigger=1))
     )
+
+
+def _fanned(landed: DataFrame, sent: DataFrame) -> DataFrame:
+    return landed.withColumn("sink", F.lit("parquet")).unionByName(
+        parsing.parse_json(sent).withColumn("sink", F.lit("topic"))
+    )
+
+
+def _fan_out(spark, sf, shared):
     out = scratch_dir(spark, "sales")
     topic = Topic.files("sales_out", scratch_dir(spark, "sales_out"))
     send = topic_sinks.topic_batches(topic)
@@ -984,12 +1034,8 @@ def _fan_out(spark, sf, shared):
         "parquet": parquet_batches(out),
         "topic": lambda rows, batch_id: send(parsing.render_json(rows), batch_id),
     }
-    finish(*fan_out(kept, sinks, scratch_dir(spark, "ckpt"), shared, NOW))
-    landed = spark.read.parquet(out)
-    sent = parsing.parse_json(read_topic(spark, topic))
-    return landed.drop("batch_id").withColumn("sink", F.lit("parquet")).unionByName(
-        sent.withColumn("sink", F.lit("topic"))
-    )
+    finish(*fan_out(_kept_sales(spark, sf), sinks, scratch_dir(spark, "ckpt"), shared, NOW))
+    return _fanned(spark.read.parquet(out).drop("batch_id"), read_topic(spark, topic))
 
 
 @query(FANNED)
@@ -999,6 +1045,18 @@ def stream_fan_out(spark, sf):
 
 @query(FANNED)
 def stream_fan_out_shared(spark, sf):
+    """One pass: each row is routed to both sinks and written once."""
+    kept, out = _kept_sales(spark, sf), scratch_dir(spark, "sales")
+    text = F.to_json(F.struct(*kept.columns))
+    routes = {"parquet": rows_route(kept), "topic": topic_route("sales_out", text)}
+    finish(fan_out_routed(kept, routes, out, scratch_dir(spark, "ckpt"), NOW))
+    landed = routed_rows(spark, out, "parquet", routes["parquet"])
+    return _fanned(landed, read_topic(spark, routed_topic("sales_out", out, "topic")))
+
+
+@query(FANNED)
+def stream_fan_out_sinks(spark, sf):
+    """One query that keeps each micro-batch for sinks of any kind."""
     return _fan_out(spark, sf, True)
 
 
@@ -1108,6 +1166,35 @@ def stream_city_totals_running(spark, sf):
     return _running_stream(spark, sf, "user_id")
 
 
+IDLE = 2  # seconds
+
+
+@query("""
+SELECT event_id, user_id, count(*) OVER w AS n, (sum(v) OVER w)::DOUBLE AS total,
+  (sum(v) OVER w)::DOUBLE / count(*) OVER w AS mean
+FROM (SELECT *, value::DECIMAL(18,2) AS v, 2 * event_id > (SELECT max(event_id) FROM events) AS late FROM events)
+WINDOW w AS (PARTITION BY user_id, late ORDER BY event_id ROWS UNBOUNDED PRECEDING)
+""")
+def stream_running_idle_keys(spark, sf):
+    """Half of the events, a pause in which every key is forgotten, and the other half."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "value")
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    folder, out, checkpoint = (scratch_dir(spark, n) for n in ("events", "running", "ckpt"))
+    for late in (False, True):
+        half = events.filter((2 * F.col("event_id") > last) == late)
+        half.write.mode("append").parquet(folder)
+        rows = spark.readStream.schema(events.schema).parquet(folder)
+        finish(
+            running_stats_stream(
+                rows, "user_id", "value", "event_id", out, checkpoint,
+                sum_type=MONEY, trigger=NOW, ttl=f"{IDLE} seconds",
+            )
+        )
+        if not late:
+            time.sleep(IDLE)
+    return in_money(spark.read.parquet(out)).drop("value", "batch_id")
+
+
 @query("SELECT event_id AS id, event_type AS data FROM events")
 def stream_to_table(spark, sf):
     name = new_table(spark, TEST_TABLE, committed=True)

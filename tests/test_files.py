@@ -117,6 +117,6 @@ def test_counted_once(spark, tmp_path):
 
 def test_readback(spark, tmp_path):
     df = spark.range(40).withColumn("d", F.lit(1.5))
-    assert tuple(readback_check(spark, df, str(tmp_path / "r")).first()) == (40, 40, True)
+    assert tuple(readback_check(spark, df, str(tmp_path / "r")).first()) == (40, 40, True, True)
     empty = df.filter("id < 0")
-    assert tuple(readback_check(spark, empty, str(tmp_path / "e")).first()) == (0, 0, True)
+    assert tuple(readback_check(spark, empty, str(tmp_path / "e")).first()) == (0, 0, True, True)

@@ -1,11 +1,13 @@
 import random
 import shutil
+import time
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from __spark_entry__ import forget_commit
 from tests.test_parsing import STRICT, text
 from tillflow.operators.aggregates import group_stats
 from tillflow.operators.parsing import parse_sale_strict, render_json, split_parsed
@@ -19,7 +21,8 @@ from tillflow.streaming.batches import (
     parquet_batches,
     write_each_batch,
 )
-from tillflow.streaming.running import running_stats_stream
+from tillflow.streaming import running
+from tillflow.streaming.running import RunningTotals, each_batch_of_rows, running_stats_stream
 
 NOW = {"availableNow": True}
 MONEY = "decimal(18,2)"
@@ -70,42 +73,28 @@ def test_running_stream_equals_batch_over_restarts(spark, tmp_path):
 
 
 def test_running_stream_retries_a_failed_batch(spark, tmp_path):
-    from tillflow.streaming.running import running_batches
-
+    """The sink fails after writing; the state of that batch is not kept and the batch comes again."""
     folder, out, root = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
     rows = [some_sales(40, start=s * 40) for s in range(3)]
-    for r in rows[:2]:
-        drop_file(spark, folder, r)
     keep = parquet_batches(out)
-    broken = {"at": 1}
-
-    def sink(batch, batch_id):
-        keep(batch, batch_id)
-        if broken["at"] == batch_id:
-            raise RuntimeError("lost")
-
-    def advance(after):
-        inner = running_batches("key", "value", "at", f"{root}/totals", sink, sum_type=MONEY)
 
-        def write(batch, batch_id):
-            inner(batch, batch_id)
-            if after == batch_id:  # totals written, batch not committed
-                raise RuntimeError("lost after totals")
+    def once(lost_at=None):
+        def sink(batch, batch_id):
+            keep(batch, batch_id)
+            if batch_id == lost_at:
+                raise RuntimeError("lost")
 
-        return write
+        totals = RunningTotals(source(spark, folder), "key", "value", "at", sum_type=MONEY)
+        each_batch_of_rows(totals, sink, root, NOW).awaitTermination()
 
-    def once(after=None):
-        write_each_batch(
-            source(spark, folder), advance(after), f"{root}/query", NOW
-        ).awaitTermination()
-
-    with pytest.raises(StreamingQueryException):
-        once()
-    broken["at"] = None
+    for r in rows[:2]:
+        drop_file(spark, folder, r)
     with pytest.raises(StreamingQueryException):
-        once(after=1)
+        once(lost_at=1)
     drop_file(spark, folder, rows[2])
     once()
+    forget_commit(spark, root)
+    once()
     want = running_stats(
         spark.createDataFrame(sum(rows, []), SCHEMA), "key", "value", "at", sum_type=MONEY
     )
@@ -113,41 +102,79 @@ def test_running_stream_retries_a_failed_batch(spark, tmp_path):
     assert rows_of(spark.read.parquet(out).select(*cols)) == rows_of(want.select(*cols))
 
 
-def test_lost_totals_stop_the_stream(spark, tmp_path):
-    folder, out, root = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
-
-    def go():
-        running_stats_stream(
-            source(spark, folder), "key", "value", "at", out, root, trigger=NOW
-        ).awaitTermination()
-
-    for step in range(2):
-        drop_file(spark, folder, some_sales(10, start=step * 10))
-    go()
-    shutil.rmtree(f"{root}/totals/changed/after=1")
-    drop_file(spark, folder, some_sales(10, start=20))
-    with pytest.raises(StreamingQueryException, match="after=1"):
-        go()
-
-
-def test_full_lists_of_totals(spark, tmp_path, monkeypatch):
-    from tillflow.streaming import running
-
-    monkeypatch.setattr(running, "FULL_EVERY", 2)
-    folder, out, root = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
-    everything = []
-    for step in range(5):
-        rows = some_sales(30, start=step * 30)
-        everything += rows
-        drop_file(spark, folder, rows)
+@pytest.mark.parametrize("block", [1 << 20, 7, 1])
+def test_running_stream_in_blocks_and_packs(spark, tmp_path, monkeypatch, block):
+    """Keys of several columns, orders of several columns, nulls, files whose blocks overlap."""
+    monkeypatch.setattr(running, "_PACK", 16)
+    schema = "by string, key string, part int, at bigint, value decimal(18,2), total string"
+    rng = random.Random(block)
+    rows = [
+        (rng.choice("ab"), rng.choice(["hot", "hot", None, "", "~"]), rng.choice([0, 1, None]), i,
+         rng.choice([None, Decimal(rng.randrange(9000)) / 100]), "x")
+        for i in range(160)
+    ]
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for step in range(2):  # two batches of two files each, with every second row
+        for half in range(2):
+            part = [r for r in rows if r[3] // 80 == step and r[3] % 2 == half]
+            drop_file(spark, folder, part, schema)
+    rows_in = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(folder)
     running_stats_stream(
-        source(spark, folder), "key", "value", "at", out, root, sum_type=MONEY, trigger=NOW
+        rows_in, ["by", "key"], "value", ["part", "at"], out, str(tmp_path / "ckpt"),
+        sum_type=MONEY, trigger=NOW, block=block,
     ).awaitTermination()
-    want = running_stats(
-        spark.createDataFrame(everything, SCHEMA), "key", "value", "at", sum_type=MONEY
+    got = spark.read.parquet(out)
+    assert got.columns == ["by", "key", "part", "at", "value", "n", "total", "mean", "batch_id"]
+    want, state = [], {}
+    for r in sorted(rows, key=lambda r: (r[3] // 80, r[2] is not None, r[2] or 0, r[3])):
+        total, n = state.get(r[:2], (None, 0))
+        if r[4] is not None:
+            total = r[4] + (total or 0)
+        state[r[:2]] = (total, n + 1)
+        want.append((*r[:4], n + 1, total))
+    got = got.select("by", "key", "part", "at", "n", "total").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_idle_keys_are_forgotten(spark, tmp_path):
+    """Without ``ttl`` every key is kept; with it the state shrinks and a key starts anew."""
+    for ttl, state, last in ((None, [3, 4, 5], 3), ("3 seconds", [3, 1, 2], 1)):
+        folder, out, root = (str(tmp_path / f"{n}{ttl}") for n in ("in", "out", "ckpt"))
+        kept = []
+        for step, keys in enumerate((["a", "b", "c"], ["d"], ["a", "e"])):
+            rows = [(k, 10 * step + i, Decimal(1)) for i, k in enumerate(keys)] * (1 + (step == 0))
+            drop_file(spark, folder, [(k, at + 5 * (i > 2), v) for i, (k, at, v) in enumerate(rows)])
+            query = running_stats_stream(
+                source(spark, folder), "key", "value", "at", out, root,
+                sum_type=MONEY, trigger=NOW, ttl=ttl,
+            )
+            query.awaitTermination()
+            (progress,) = [p for p in query.recentProgress if p["numInputRows"]]
+            kept.append(progress["stateOperators"][0]["numRowsTotal"])
+            if ttl and step == 0:
+                time.sleep(4)
+        got = spark.read.parquet(out).filter("key = 'a' AND at >= 20").first()
+        assert got.n == last, (ttl, kept)
+        assert kept == state
+
+
+def test_the_state_sees_blocks_not_sales(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    drop_file(spark, folder, [("hot", i, Decimal(1)) for i in range(3000)])
+    query = running_stats_stream(
+        source(spark, folder), "key", "value", "at", str(tmp_path / "out"), str(tmp_path / "ckpt"),
+        sum_type=MONEY, trigger=NOW, block=1000,
     )
-    cols = ["key", "at", "n", F.col("total").cast("double"), "mean"]
-    assert rows_of(spark.read.parquet(out).select(*cols)) == rows_of(want.select(*cols))
+    query.awaitTermination()
+    counted = {}
+
+    def look(blocks, batch_id):
+        counted[batch_id] = blocks.count()
+
+    totals = RunningTotals(source(spark, folder), "key", "value", "at", sum_type=MONEY, block=1000)
+    write_each_batch(totals.blocks, look, str(tmp_path / "look"), NOW, "update").awaitTermination()
+    assert counted == {0: 3}
+    assert spark.read.parquet(str(tmp_path / "out")).agg(F.max("n")).first()[0] == 3000
 
 
 def test_a_new_checkpoint_overwrites_nothing(spark, tmp_path):
@@ -312,6 +339,7 @@ def test_live_metrics_per_micro_batch(spark, tmp_path):
         stream_topic(spark, src, max_per_trigger=1), sinks, str(tmp_path / "ckpt"), trigger=NOW
     )
     query.awaitTermination()
+    assert all(p["stateOperators"] for p in query.recentProgress if p["numInputRows"])
     got = {
         n: sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / n))
                   .select("batch_id", "message").collect())

@@ -1,3 +1,4 @@
+import json
 import uuid
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from tillflow.operators.projections import envelope_view
 from tillflow.schemas import ENVELOPE
 from tillflow.sinks.topics import kafka_write_options, topic_batches, write_topic
-from tillflow.sources.topics import Topic, kafka_read_options, read_topic
+from tillflow.sources.topics import Topic, kafka_read_options, next_ranges, read_topic
 
 KAFKA = Topic.kafka("sales_in", "broker:9092")
 
@@ -78,3 +79,45 @@ def test_late_batches_keep_their_own_offsets(spark, topic):
     assert places.distinct().count() == 40 and places.filter("offset < 0").count() == 0
     with pytest.raises(ValueError, match="64 bits"):
         send(rows, 1 << 30)
+
+
+def test_kafka_ranges():
+    options = kafka_read_options(KAFKA, streaming=False, ranges={1: (None, 50), 0: (7, None), 2: (0, 0)})
+    assert "subscribe" not in options
+    assert json.loads(options["assign"]) == {"sales_in": [0, 1, 2]}
+    assert json.loads(options["startingOffsets"]) == {"sales_in": {"0": 7, "1": -2, "2": 0}}
+    assert json.loads(options["endingOffsets"]) == {"sales_in": {"0": -1, "1": 50, "2": 0}}
+    assert "endingOffsets" not in kafka_read_options(KAFKA, streaming=True, ranges={0: (3, None)})
+
+
+@pytest.mark.parametrize("ranges", [{}, {0: (5, 4)}, {0: (-3, None)}, {1: (None, -1)}])
+def test_ranges_that_are_none(ranges):
+    with pytest.raises(ValueError):
+        kafka_read_options(KAFKA, streaming=False, ranges=ranges)
+
+
+def test_ranges_of_a_folder_topic(spark, topic):
+    for step in range(3):
+        rows = spark.range(step * 40, step * 40 + 40, 1, 4).selectExpr("CAST(id AS STRING) AS value")
+        write_topic(rows, topic)
+    everything = {(r.partition, r.offset): bytes(r.value) for r in read_topic(spark, topic).collect()}
+    ranges = {0: (2, 12), 1: (None, 5), 2: (11, None), 3: (2, 12)}
+    part = read_topic(spark, topic, ranges=ranges)
+    inside = lambda p, o: (ranges[p][0] or 0) <= o < (ranges[p][1] or 10**9)
+    assert {(r.partition, r.offset): bytes(r.value) for r in part.collect()} == {
+        k: v for k, v in everything.items() if inside(*k)
+    }
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].splitlines()[0]
+    assert "LessThan(offset" in pushed and "GreaterThanOrEqual(offset" in pushed
+
+
+def test_a_read_goes_on_where_one_ended(spark, topic):
+    write_topic(spark.range(0, 20, 1, 2).selectExpr("CAST(id AS STRING) AS value"), topic)
+    first = read_topic(spark, topic)
+    ends = next_ranges(first)
+    assert ends == {0: (10, None), 1: (10, None)}
+    first = [bytes(r.value) for r in first.collect()]
+    write_topic(spark.range(20, 50, 1, 2).selectExpr("CAST(id AS STRING) AS value"), topic)
+    rest = [bytes(r.value) for r in read_topic(spark, topic, ranges=ends).collect()]
+    assert sorted(first + rest, key=int) == [str(i).encode() for i in range(50)]

@@ -13,7 +13,7 @@ from tillflow.schemas import SALE_CSV, SALE_RAW, TEST_ROWS, TEST_TABLE
 from tillflow.sinks.files import counted, readback_check, write_csv, write_csv_if_absent
 from tillflow.sinks.tables import append_table
 from tillflow.sinks.topics import write_topic
-from tillflow.sources.files import latest_file, read_csv_raw, read_csv_typed
+from tillflow.sources.files import latest_drop, read_csv_raw, read_csv_typed
 from tillflow.sources.tables import create_namespace, create_table, inline_values
 from tillflow.sources.topics import Topic, read_topic
 
@@ -24,13 +24,18 @@ def ingest_latest_file(
     topic: Topic,
     schema: T.StructType = SALE_CSV,
     glob: str = "*.csv",
+    *,
+    manifest: str | None = None,
 ) -> DataFrame:
-    """Send the newest CSV of a folder to a topic as JSON; one row ``path, rows``."""
-    newest = latest_file(spark, src_dir, glob)
-    path = newest.first()["path"]
-    messages = render_json(read_csv_typed(spark, path, schema))
+    """Send the newest complete drop of a folder to a topic as JSON; one row ``path, files, rows``.
+
+    A drop is a file that lies in the folder, or a folder below it whose writer has finished
+    (see `latest_drop`); its files are read side by side.
+    """
+    drop = latest_drop(spark, src_dir, glob, manifest=manifest)
+    messages = render_json(read_csv_typed(spark, drop.files, schema))
     rows = counted(messages, lambda df: write_topic(df, topic))
-    return spark.createDataFrame([(path, rows)], "path string, rows bigint")
+    return spark.createDataFrame([(drop.path, len(drop.files), rows)], "path string, files int, rows bigint")
 
 
 def clean_sales(raw: DataFrame) -> DataFrame:

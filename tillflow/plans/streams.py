@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tillflow.operators.aggregates import group_stats_each
 from tillflow.operators.filters import filter_key_present, filter_nonempty
 from tillflow.operators.messages import (
     big_sale_alert,
@@ -30,7 +32,7 @@ from tillflow.sinks.topics import stream_to_topic
 from tillflow.sources.topics import Topic, stream_topic
 from tillflow.streaming.batches import BatchSink, fan_out, write_each_batch
 from tillflow.streaming.progress import observed, one_row
-from tillflow.streaming.running import running_batches, total_batches
+from tillflow.streaming.running import RunningTotals, each_batch_of_rows
 
 
 def relay(messages: DataFrame, schema: T.StructType = SALE_RAW) -> DataFrame:
@@ -127,53 +129,57 @@ def live_sales_metrics(
     """Category and city turnover, alerts, clean messages and rejects of a live topic.
 
     ``sinks`` may name ``category``, ``city``, ``alerts``, ``events``, ``sales`` and
-    ``rejects``. Parsing is strict. All branches share one query, so the topic is read
-    and parsed once. Turnover reports changed keys once per micro-batch; with
-    ``per_record`` it reports after every sale (needs ``partition`` and ``offset``
-    columns). A ``Total`` that
+    ``rejects``. Parsing is strict. Turnover by category and city is one query on Spark's
+    state, and the other branches share a second one, so the topic is read and parsed twice
+    at most. Turnover reports changed keys once per micro-batch; with ``per_record`` it
+    reports after every sale (needs ``partition`` and ``offset`` columns). A ``Total`` that
     ``sum_type`` cannot hold is a reject.
     """
     place = ("partition", "offset") if per_record else ()
     parsed = parse_sale_strict(filter_nonempty(messages), keep=place, total_type=sum_type)
 
-    def sales(batch: DataFrame) -> DataFrame:
-        return split_parsed(batch)[0]
-
     def branch(name: str, make: Callable[[DataFrame], DataFrame]) -> BatchSink:
         return lambda batch, batch_id: sinks[name](make(batch), batch_id)
 
     plain = {
-        "alerts": lambda batch: big_sale_alert(sales(batch), threshold),
-        "events": lambda batch: render_event_json(sales(batch)),
-        "sales": lambda batch: sale_message(sales(batch)),
+        "alerts": lambda batch: big_sale_alert(split_parsed(batch)[0], threshold),
+        "events": lambda batch: render_event_json(split_parsed(batch)[0]),
+        "sales": lambda batch: sale_message(split_parsed(batch)[0]),
         "rejects": reject_envelope,
     }
+    shared = {name: branch(name, make) for name, make in plain.items() if name in sinks}
     keyed = {"category": ("Categorie", category_message), "city": ("Ville", city_message)}
     keyed = {name: spec for name, spec in keyed.items() if name in sinks}
-    shared = {name: branch(name, make) for name, make in plain.items() if name in sinks}
-    make = _per_record if per_record else _per_batch
-    for name, (key, text) in keyed.items():
-        totals = f"{checkpoint_root}/totals_{name}"
-        shared[name] = make(key, text, sinks[name], totals, sum_type)
-    return fan_out(parsed, shared, checkpoint_root, True, trigger)
-
-
-def _per_batch(key, text, sink, totals, sum_type) -> BatchSink:
-    advance = total_batches(
-        key, "Total", totals, lambda stats, batch_id: sink(text(stats, key), batch_id), sum_type
+    queries = fan_out(parsed, shared, checkpoint_root, True, trigger) if shared else []
+    if keyed:
+        sales = split_parsed(parsed)[0]
+        make = _per_record if per_record else _per_batch
+        queries.append(make(sales, keyed, sinks, f"{checkpoint_root}/turnover", sum_type, trigger))
+    return queries
+
+
+def _report(stats: DataFrame, keyed, sinks: Mapping[str, BatchSink], batch_id: int) -> None:
+    """Rows ``by, key, ...`` as messages, each to the sink of its key."""
+    stats.persist()  # the state is advanced once, however many sinks read it
+    try:
+        for name, (column, text) in keyed.items():
+            mine = stats.filter(F.col("by") == column).withColumnRenamed("key", column)
+            sinks[name](text(mine, column), batch_id)
+    finally:
+        stats.unpersist()
+
+
+def _per_batch(sales, keyed, sinks, checkpoint, sum_type, trigger) -> StreamingQuery:
+    stats = group_stats_each(sales, [c for c, _ in keyed.values()], "Total", sum_type)
+    return write_each_batch(
+        stats, lambda batch, batch_id: _report(batch, keyed, sinks, batch_id), checkpoint, trigger, "update"
     )
-    return lambda batch, batch_id: advance(split_parsed(batch)[0].select(key, "Total"), batch_id)
 
 
-def _per_record(key, text, sink, totals, sum_type) -> BatchSink:
-    advance = running_batches(
-        key,
-        "Total",
-        ("partition", "offset"),
-        totals,
-        lambda rows, batch_id: sink(text(rows), batch_id),
-        sum_type=sum_type,
-    )
-    return lambda batch, batch_id: advance(
-        split_parsed(batch)[0].select(key, "Total", "partition", "offset"), batch_id
+def _per_record(sales, keyed, sinks, checkpoint, sum_type, trigger) -> StreamingQuery:
+    keys = [F.struct(F.lit(c).alias("by"), F.col(c).alias("key")) for c, _ in keyed.values()]
+    each = sales.select(F.inline(F.array(*keys)), "Total", "partition", "offset")
+    totals = RunningTotals(each, ["by", "key"], "Total", ["partition", "offset"], sum_type=sum_type)
+    return each_batch_of_rows(
+        totals, lambda batch, batch_id: _report(batch, keyed, sinks, batch_id), checkpoint, trigger
     )

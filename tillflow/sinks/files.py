@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillflow.functions.formats import EXACT_TIMESTAMPS
-from tillflow.operators.aggregates import row_count
 from tillflow.sources.files import path_has_data
 
 
@@ -60,13 +60,72 @@ def counted(df: DataFrame, write: Callable[[DataFrame], object]) -> int:
     return seen.get["n"]
 
 
+def fingerprint(df: DataFrame) -> list[Column]:
+    """Aggregates ``n, content, more_content`` that tell the rows of ``df``, in any order.
+
+    Sums of two 64-bit hashes of whole rows: a row that changes, goes or comes twice changes
+    them. Equal tables have equal sums; different ones have with a chance of about 2**-126.
+    """
+    cells = [_hashable(F.col(_quoted(f.name)), f.dataType) for f in df.schema]
+
+    def total(*more: Column) -> Column:
+        return F.coalesce(F.sum(F.xxhash64(*more, *cells).cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
+
+    return [
+        F.count(F.lit(1)).alias("n"),
+        total(F.lit(0)).alias("content"),
+        total(F.lit("again")).alias("more_content"),
+    ]
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _hashable(col: Column, kind: T.DataType) -> Column:
+    """``col`` without maps, whose order is not theirs and which no hash takes."""
+    if isinstance(kind, T.MapType):
+        entries = F.map_entries(col)
+        pairs = T.StructType().add("key", kind.keyType).add("value", kind.valueType)
+        return F.array_sort(_hashable(entries, T.ArrayType(pairs)), lambda a, b: _by_key(a, b))
+    if isinstance(kind, T.ArrayType) and _has_map(kind):
+        return F.transform(col, lambda x: _hashable(x, kind.elementType))
+    if isinstance(kind, T.StructType) and _has_map(kind):
+        inner = F.struct(*[_hashable(col.getField(f.name), f.dataType).alias(f.name) for f in kind])
+        return F.when(col.isNotNull(), inner)
+    return col
+
+
+def _by_key(a: Column, b: Column) -> Column:
+    return F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType)
+
+
 def readback_check(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to Parquet, read it back: ``rows_written, rows_read, schema_equal``."""
-    written = counted(df, lambda d: write_parquet(d, path))
+    """Write ``df`` to Parquet and read it back.
+
+    One row ``rows_written, rows_read, schema_equal, content_equal``. The rows are counted and
+    told by `fingerprint` while they are written, so ``df`` is computed once, and again as they
+    are read.
+    """
+    seen = Observation()
+    write_parquet(df.observe(seen, *fingerprint(df)), path)
     back = spark.read.parquet(path)
     same = [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in df.schema]
-    return row_count(back).select(
-        F.lit(written).cast("bigint").alias("rows_written"),
+    written = seen.get
+    told = F.lit(same)
+    for name in ("n", "content", "more_content"):
+        told &= F.col(name) == F.lit(written[name])
+    return back.agg(*fingerprint(back)).select(
+        F.lit(written["n"]).cast("bigint").alias("rows_written"),
         F.col("n").alias("rows_read"),
         F.lit(same).alias("schema_equal"),
+        told.alias("content_equal"),
     )

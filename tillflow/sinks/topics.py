@@ -15,9 +15,9 @@ from tillflow.streaming.batches import start, writer_id
 # monotonically_increasing_id() is the task number times 2**33 plus the row number.
 _ROW_BITS = 33
 # A stream numbers batch b from b * 2**33, with no look at what is there: 2**30 batches fit.
-_BATCH_BITS = 33
+BATCH_BITS = 33
 # A writer's partitions begin at a multiple of 2**16 that follows from its name.
-_TASK_BITS = 16
+TASK_BITS = 16
 
 
 def kafka_write_options(topic: Topic) -> dict[str, str]:
@@ -58,30 +58,42 @@ def topic_batches(topic: Topic):
         if topic.format == "kafka":
             write_topic(batch, topic)
             return
-        if batch_id >> (63 - _BATCH_BITS):
+        if batch_id >> (63 - BATCH_BITS):
             raise ValueError(f"batch {batch_id}: offsets would pass 64 bits")
         writer = writer_id(batch)
-        base = F.lit(batch_id << _BATCH_BITS).cast("bigint")
-        first = (zlib.crc32(writer.encode()) & 0x7FFF) << _TASK_BITS
-        _envelopes(batch, topic, base, first).write.mode("overwrite").parquet(
+        base = F.lit(batch_id << BATCH_BITS).cast("bigint")
+        _envelopes(batch, topic, base, first_partition(writer)).write.mode("overwrite").parquet(
             f"{topic.location}/writer={writer}/batch={batch_id}"
         )
 
     return write
 
 
+def first_partition(writer: str) -> int:
+    """Where the topic partitions of a stream begin."""
+    return (zlib.crc32(writer.encode()) & 0x7FFF) << TASK_BITS
+
+
+def envelope(
+    key: Column, value: Column, topic: str, row: Column, base: Column, first: Column
+) -> dict[str, Column]:
+    """The columns of a topic. Topic partition = ``first`` + Spark task, offset = ``base`` + row
+    within it, both from ``row``, a `monotonically_increasing_id`: no shuffle to number rows."""
+    return {
+        "key": key.cast("string").cast("binary"),
+        "value": value.cast("string").cast("binary"),
+        "topic": F.lit(topic),
+        "partition": F.shiftright(row, _ROW_BITS).cast("int") + first,
+        "offset": (base + row.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).cast("bigint"),
+        "timestamp": F.current_timestamp(),
+    }
+
+
 def _envelopes(df: DataFrame, topic: Topic, base: Column, first: int = 0) -> DataFrame:
-    """Topic partition = ``first`` + Spark task, offset = row within it: no shuffle to number rows."""
-    row = F.monotonically_increasing_id()
     key = F.col("key") if "key" in df.columns else F.lit(None)
-    return df.select(
-        key.cast("string").cast("binary").alias("key"),
-        F.col("value").cast("string").cast("binary").alias("value"),
-        F.lit(topic.name).alias("topic"),
-        (F.shiftright(row, _ROW_BITS).cast("int") + first).alias("partition"),
-        (base + row.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).cast("bigint").alias("offset"),
-        F.current_timestamp().alias("timestamp"),
-    )
+    row = F.monotonically_increasing_id()
+    columns = envelope(key, F.col("value"), topic.name, row, base, F.lit(first))
+    return df.select(*[c.alias(n) for n, c in columns.items()])
 
 
 def _next_offset(df: DataFrame, topic: Topic) -> int:

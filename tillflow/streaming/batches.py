@@ -54,13 +54,13 @@ def parquet_batches(path: str) -> BatchSink:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _claim(batch, path)
+        claim(batch, path)
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
-def _claim(batch: DataFrame, path: str) -> None:
+def claim(batch: DataFrame, path: str) -> None:
     """Leave the writer's name in ``path``, unless another one's is there."""
     jvm = batch.sparkSession.sparkContext._jvm
     mine = f"_writer-{writer_id(batch)}"

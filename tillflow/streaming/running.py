@@ -1,154 +1,236 @@
-"""Running totals per record over a stream.
-
-Each micro-batch is a table, so it is added up by the same block-wise operator as a
-batch and no key gathers in one task. The totals so far lie beside the checkpoint as a
-log: every batch writes the new totals of its own keys, and every ``FULL_EVERY``
-batches the latest of all keys are written together. A batch reads the last full list
-and the batches since, semi-joined to its own keys, so what it adds up and writes is
-of its own size. A batch writes only folders of its own number, so a retry starts from
-the same totals. The keys are never dropped.
+"""Running totals per record over a stream, on Spark's own state.
+
+The totals so far of each key are engine state (RocksDB, in the checkpoint), so restarts and
+retried batches need no care. What reaches the state is not a sale but a block: each task of a
+micro-batch adds up its rows by key and block of the order and sends one total with the rows
+packed behind it. The state hands each block its start; the rows are unpacked and added up
+block by block, spread over all tasks. A key with a third of all rows costs its task a few
+additions, and passes its packed rows on unread.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tillflow.operators.running import running_stats
 from tillflow.streaming.batches import BatchSink, parquet_batches, write_each_batch
 
+# Helper columns; pandas renames those that begin with an underscore.
+_GROUP, _BLOCK, _PART, _SUM, _ROWS, _TOTAL, _N, _NUMBER = (
+    f"running__{c}" for c in ("group", "block", "part", "sum", "rows", "total", "n", "number")
+)
+# Rows that a task packs together, and order numbers of a block.
+_PACK = 1 << 16
+BLOCK = 1 << 20
 
-# Batches between two full lists of totals.
-FULL_EVERY = 32
-_KEY = "__running_batch_key"
 
+class RunningTotals:
+    """The stages of running totals of one stream.
 
-def running_batches(
-    key: str,
-    measure: str,
-    order: str | Sequence[str],
-    totals: str,
-    sink: BatchSink,
-    *,
-    ties: Sequence[str] = (),
-    sum_type: str = "double",
-    block: int = 1 << 20,
-) -> BatchSink:
-    """A micro-batch sink that passes on ``batch`` plus ``n, total, mean`` so far.
-
-    Rows are taken batch by batch, and in ``order`` within a batch.
+    ``blocks`` is a stream with one row a packed block; `rows` turns a micro-batch of it into
+    the records with ``n, total, mean`` so far. Rows count batch by batch, and in ``order``
+    within a batch. ``key`` may be several columns. ``order`` is an integer column, or several
+    columns of which the last is one; ``ties`` settle equal values. A value that ``sum_type``
+    cannot hold counts as NULL. ``ttl`` (as ``"1 day"``) forgets a key that had no row for so
+    long, by the clock; by default keys are kept for ever.
     """
 
-    def advance(batch: DataFrame, batch_id: int) -> None:
-        before, added = _advanced(batch, key, measure, totals, sum_type, batch_id)
-        sink(
-            running_stats(
-                batch,
-                key,
-                measure,
-                order,
-                ties=ties,
-                sum_type=sum_type,
-                carry=before,
-                block=block,
-            ),
-            batch_id,
+    def __init__(
+        self,
+        df: DataFrame,
+        key: str | Sequence[str],
+        measure: str,
+        order: str | Sequence[str],
+        *,
+        ties: Sequence[str] = (),
+        sum_type: str = "double",
+        block: int = BLOCK,
+        ttl: str | None = None,
+    ):
+        keys = [key] if isinstance(key, str) else list(key)
+        *lead, last = [order] if isinstance(order, str) else order
+        if not isinstance(df.schema[last].dataType, T.IntegralType):
+            raise TypeError(f"order column {last} must be an integer")
+        self.kept = [c for c in df.columns if c.lower() not in ("n", "total", "mean")]
+        self.order = [*lead, last, *ties]
+        self.places = [*(f"{_PART}{i}" for i in range(len(lead))), _BLOCK]
+        value = F.col(measure).try_cast(sum_type)
+        # null keys are a group of their own, and lengths keep several texts apart
+        text = [F.coalesce(F.concat(F.length(c.cast("string")), F.lit("="), c), F.lit("~")) for c in map(F.col, keys)]
+        rows = df.withColumns(
+            {
+                _GROUP: F.concat(*text),
+                **{p: F.col(c) for p, c in zip(self.places, lead, strict=False)},
+                _BLOCK: F.expr(f"`{last}` div {block}L"),
+                _SUM: value,
+            }
+        ).select(*self.kept, _GROUP, *self.places, _SUM)
+        fields = {f.name: f for f in rows.schema}
+        kind = df.sparkSession.range(0).select(F.sum(F.lit(None).cast(sum_type)).alias(_TOTAL)).schema[_TOTAL].dataType
+        self.total = kind
+        counts = [T.StructField(_TOTAL, kind), T.StructField(_N, T.LongType())]
+        places = [T.StructField(p, fields[p].dataType) for p in self.places]
+        packed = T.StructType([T.StructField(_GROUP, T.StringType()), *places, *counts, T.StructField(_ROWS, T.BinaryType())])
+        self.record = T.StructType([T.StructField(f.name, f.dataType) for f in rows.select(*self.kept, _SUM).schema])
+        self.packed = packed
+        self.blocks = (
+            rows.mapInArrow(_packer(packed, self.places, self.record, rows.schema), packed)
+            .groupBy(_GROUP)
+            .transformWithStateInPandas(
+                _Starts(self.places, T.StructType(counts), _milliseconds(ttl)),
+                packed,
+                "update",
+                "none" if ttl is None else "processingTime",
+            )
         )
-        _keep(added, key, totals, batch_id)
-
-    return advance
 
-
-def total_batches(
-    key: str, measure: str, totals: str, sink: BatchSink, sum_type: str = "double"
-) -> BatchSink:
-    """A micro-batch sink that passes on ``key, n, total, mean`` of the batch's keys so far."""
-
-    def advance(batch: DataFrame, batch_id: int) -> None:
-        _, added = _advanced(batch, key, measure, totals, sum_type, batch_id)
-        sink(
-            added.select(key, "n", "total", (F.col("total").cast("double") / F.col("n")).alias("mean")),
-            batch_id,
+    def rows(self, blocks: DataFrame) -> DataFrame:
+        """The records of a micro-batch, each with the totals up to it."""
+        whole = T.StructType([*self.record.fields, *[f for f in self.packed if f.name != _ROWS]])
+        rows = blocks.mapInArrow(_unpacker(self.record, whole), whole)
+        w = (
+            Window.partitionBy(_GROUP, *self.places)
+            .orderBy(*self.order)
+            .rowsBetween(Window.unboundedPreceding, 0)
         )
-        _keep(added, key, totals, batch_id)
-
-    return advance
-
-
-def _advanced(
-    batch: DataFrame, key: str, measure: str, totals: str, sum_type: str, batch_id: int
-) -> tuple[DataFrame | None, DataFrame]:
-    """Totals of the batch's keys before it (None at the start) and after it."""
-    added = batch.groupBy(key).agg(
-        F.sum(F.col(measure).try_cast(sum_type)).alias("total"), F.count(F.lit(1)).alias("n")
-    )
-    before = _totals_after(batch.sparkSession, totals, batch_id - 1)
-    if before is None:
-        return None, added
-    keys = batch.select(F.col(key).alias(_KEY)).distinct()
-    before = _latest(before.join(keys, F.col(key).eqNullSafe(F.col(_KEY)), "left_semi"), key)
-    kind = added.schema["total"].dataType  # a sum of sums would be wider with every batch
-    both = added.unionByName(before).groupBy(key)
-    return before, both.agg(F.sum("total").cast(kind).alias("total"), F.sum("n").alias("n"))
-
-
-def _keep(added: DataFrame, key: str, totals: str, batch_id: int) -> None:
-    added.write.mode("overwrite").parquet(f"{totals}/changed/after={batch_id}")
-    if batch_id % FULL_EVERY == FULL_EVERY - 1:
-        every = _totals_after(added.sparkSession, totals, batch_id)
-        _latest(every, key).write.mode("overwrite").parquet(f"{totals}/full/after={batch_id}")
-
-
-def _totals_after(spark: SparkSession, totals: str, batch_id: int) -> DataFrame | None:
-    """The last full list before ``batch_id`` and what changed up to it; with ``after``."""
-    if batch_id < 0:
-        return None
-    full = batch_id // FULL_EVERY * FULL_EVERY - 1
-
-    def read(kind: str, ids: range) -> DataFrame:
-        paths = [f"{totals}/{kind}/after={i}" for i in ids]
-        return spark.read.option("basePath", f"{totals}/{kind}").parquet(*paths)
-
-    changed = read("changed", range(full + 1, batch_id + 1))
-    return changed if full < 0 else changed.unionByName(read("full", range(full, full + 1)))
-
-
-def _latest(totals: DataFrame, key: str) -> DataFrame:
-    newest = F.max_by(F.struct("total", "n"), "after").alias("t")
-    return totals.groupBy(key).agg(newest).select(key, "t.total", "t.n")
+        here = F.sum(_SUM).over(w)
+        # a sum of no values stays NULL
+        total = F.coalesce(F.col(_TOTAL) + here, here, F.col(_TOTAL)).cast(self.total)
+        n = F.col(_N) + F.count(F.lit(1)).over(w)
+        added = rows.select(*self.kept, n.alias("n"), total.alias("total"))
+        return added.withColumn("mean", F.col("total").cast("double") / F.col("n"))
+
+
+def _milliseconds(ttl: str | None) -> int | None:
+    return None if ttl is None else int(pd.Timedelta(ttl).total_seconds() * 1000)
+
+
+def _packer(packed: T.StructType, places: list[str], record: T.StructType, rows: T.StructType):
+    """Rows of a task to one row for each group and block, with their sum, number and Arrow bytes."""
+    kind, inner = to_arrow_schema(packed), to_arrow_schema(record)
+    names = [f.name for f in rows]
+
+    def pack(table: pa.Table) -> pa.RecordBatch:
+        table = table.rename_columns(names)
+        by = [_GROUP, *places]
+        group = table.select(by).to_pandas().groupby(by, sort=False, dropna=False).ngroup().to_numpy()
+        table = table.append_column(_NUMBER, pa.array(group)).sort_by(_NUMBER)
+        sums = table.group_by(_NUMBER).aggregate([(_SUM, "sum"), (_NUMBER, "count")]).sort_by(_NUMBER)
+        counts = sums[f"{_NUMBER}_count"]
+        sizes = counts.to_pylist()
+        starts = [0, *accumulate(sizes)][:-1]
+        rows_in = pa.table([table[f.name].cast(f.type) for f in inner], schema=inner)
+        (whole,) = rows_in.combine_chunks().to_batches()
+        bodies = [whole.slice(a, n).serialize().to_pybytes() for a, n in zip(starts, sizes, strict=True)]
+        heads = table.select(by).take(pa.array(starts, pa.int64()))
+        columns = [*heads.columns, sums[f"{_SUM}_sum"], counts, pa.array(bodies, pa.binary())]
+        out = pa.table([c.cast(f.type) for c, f in zip(columns, kind, strict=True)], schema=kind)
+        return out.combine_chunks().to_batches()[0]
+
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append(batch)
+                n += batch.num_rows
+            if n >= _PACK:
+                yield pack(pa.Table.from_batches(waiting))
+                waiting, n = [], 0
+        if waiting:
+            yield pack(pa.Table.from_batches(waiting))
+
+    return packs
+
+
+def _unpacker(record: T.StructType, whole: T.StructType):
+    inner, outer = to_arrow_schema(record), to_arrow_schema(whole)
+    heads = [f.name for f in whole][len(record) :]
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = batch.column(_ROWS)
+            for i in range(batch.num_rows):
+                rows = pa.ipc.read_record_batch(pa.py_buffer(bodies[i].as_py()), inner)
+                same = [pa.repeat(batch.column(h)[i], rows.num_rows) for h in heads]
+                columns = [*rows.columns, *same]
+                yield pa.record_batch([c.cast(f.type) for c, f in zip(columns, outer, strict=True)], schema=outer)
+
+    return unpack
+
+
+class _Starts(StatefulProcessor):
+    """Gives each block of a key the total and number of the rows before it."""
+
+    def __init__(self, places: list[str], state: T.StructType, ttl: int | None):
+        self.places, self.schema, self.ttl = places, state, ttl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.so_far = handle.getValueState("so_far", self.schema, self.ttl)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        total, n = self.so_far.get() if self.so_far.exists() else (None, 0)
+        blocks = pd.concat(list(rows), ignore_index=True)
+        blocks = blocks.sort_values(self.places, na_position="first", kind="stable", ignore_index=True)
+        head = blocks[self.places]
+        # equal places come from several tasks: one block, one start
+        follows = [False] + [head.iloc[i].equals(head.iloc[i - 1]) for i in range(1, len(head))]
+        totals, counts = [], []
+        sums, sizes = blocks[_TOTAL].tolist(), blocks[_N].tolist()
+        for i, again in enumerate(follows):
+            if not again:
+                start = (total, n)
+            totals.append(start[0])
+            counts.append(start[1])
+            total, n = _plus(total, sums[i]), n + int(sizes[i])
+        self.so_far.update((total, n))
+        blocks[_TOTAL] = pd.Series(totals, index=blocks.index, dtype="object")
+        blocks[_N] = counts
+        yield blocks
+
+    def close(self) -> None:
+        pass
+
+
+def _plus(a, b):
+    if pd.isna(b):
+        return a
+    return b if a is None else a + b
 
 
 def running_stats_stream(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     measure: str,
-    order: str,
+    order: str | Sequence[str],
     out: str,
     checkpoint_root: str,
     *,
     ties: Sequence[str] = (),
     sum_type: str = "double",
     trigger: dict | None = None,
+    ttl: str | None = None,
+    block: int = BLOCK,
 ) -> StreamingQuery:
     """`running_stats` of a stream into ``out``, one ``batch_id=`` folder per micro-batch."""
-    advance = running_batches(
-        key,
-        measure,
-        order,
-        f"{checkpoint_root}/totals",
-        parquet_batches(out),
-        ties=ties,
-        sum_type=sum_type,
-    )
-
-    def once(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            advance(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    return write_each_batch(df, once, f"{checkpoint_root}/query", trigger)
+    totals = RunningTotals(df, key, measure, order, ties=ties, sum_type=sum_type, ttl=ttl, block=block)
+    keep = parquet_batches(out)
+    return each_batch_of_rows(totals, keep, f"{checkpoint_root}/query", trigger)
+
+
+def each_batch_of_rows(
+    totals: RunningTotals, sink: BatchSink, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Hand every micro-batch of records with their totals to ``sink``."""
+
+    def write(blocks: DataFrame, batch_id: int) -> None:
+        sink(totals.rows(blocks), batch_id)
+
+    return write_each_batch(totals.blocks, write, checkpoint, trigger, "update")
