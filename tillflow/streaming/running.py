@@ -30,6 +30,7 @@ _GROUP, _BLOCK, _PART, _SUM, _ROWS, _TOTAL, _N, _NUMBER = (
 # Rows that a task packs together, and order numbers of a block.
 _PACK = 1 << 16
 BLOCK = 1 << 20
+_EMPTY = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 class RunningTotals:
@@ -40,7 +41,7 @@ class RunningTotals:
     within a batch. ``key`` may be several columns. ``order`` is an integer column, or several
     columns of which the last is one; ``ties`` settle equal values. A value that ``sum_type``
     cannot hold counts as NULL. ``ttl`` (as ``"1 day"``) forgets a key that had no row for so
-    long, by the clock; by default keys are kept for ever.
+    long, by the clock, with the next micro-batch; by default keys are kept for ever.
     """
 
     def __init__(
@@ -233,4 +234,11 @@ def each_batch_of_rows(
     def write(blocks: DataFrame, batch_id: int) -> None:
         sink(totals.rows(blocks), batch_id)
 
-    return write_each_batch(totals.blocks, write, checkpoint, trigger, "update")
+    # Spark would run empty batches without end for the clock's sake; state expires with any batch
+    conf = totals.blocks.sparkSession.conf
+    before = conf.get(_EMPTY)
+    conf.set(_EMPTY, "false")
+    try:
+        return write_each_batch(totals.blocks, write, checkpoint, trigger, "update")
+    finally:
+        conf.set(_EMPTY, before)
