@@ -68,3 +68,20 @@ def test_empty_table(spark):
 def test_no_repeats(spark):
     rows = [(1, "short"), (2, "".join(map(str, range(200))))]
     assert run(spark, rows, 100) == brute(rows, 100)
+
+
+def test_equal_rows_share_their_runs(spark):
+    """A text in n equal rows, after an earlier one: the runs that are joined back don't grow with n."""
+    text = "".join(chr(97 + (i * i + i // 7) % 23) for i in range(400))
+    sizes = []
+    for n in (20, 40):
+        rows = [(1, text[:250]), *[(None, text)] * 1, *[(5, "head " + text)] * n]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = substrings.drop_repeats(docs).filter("doc_id = 5").collect()
+        assert len(got) == n and len({(bytes(r.kept), tuple(map(tuple, r.spans))) for r in got}) == 1
+        assert [tuple(s) for s in got[0].spans] == [(5, 405)]
+        listed = docs.select("doc_id", substrings.ordered_id().alias("ord"), substrings.F.xxhash64(substrings.whole_text()).alias("tid"),
+                             substrings.F.col("text").cast("binary").alias("text")).drop("doc_id")
+        gone = substrings.removed_spans(listed, 100, 32, substrings.TOGETHER)
+        sizes.append(gone.distinct().count())
+    assert sizes[0] == sizes[1]

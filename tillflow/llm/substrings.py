@@ -374,7 +374,8 @@ def drop_repeats(docs: DataFrame, span: int = 100, gram: int = 32, together: int
     text = whole_text()
     rows = docs.select("doc_id", ordered_id().alias("ord"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("text"))
     gone = removed_spans(rows.drop("doc_id"), span, gram, together)
-    by_doc = gone.groupBy("ord", "tid").agg(F.collect_list(F.struct("a", "b")).alias("gone"))
+    # equal rows have equal runs: each is kept once, so what is joined back grows with the rows
+    by_doc = gone.groupBy("ord", "tid").agg(F.collect_set(F.struct("a", "b")).alias("gone"))
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long")).select("doc_id", "ord", "tid", "text")
     joined = rows.mapInArrow(_packed, "doc_id long, ord long, tid long, text binary").join(by_doc, ["ord", "tid"], "left")
     cut = joined.select("doc_id", "text", "gone")
