@@ -39,6 +39,7 @@ from tillflow.session import scratch_dir
 from tillflow.sinks import files as file_sinks
 from tillflow.sinks import tables as table_sinks
 from tillflow.sinks import topics as topic_sinks
+from tillflow.sinks.keys import build_key_index
 from tillflow.sources import files as file_sources
 from tillflow.sources import tables as catalog
 from tillflow.sources.topics import Topic, next_ranges, read_topic, stream_topic, topic_view
@@ -800,6 +801,18 @@ def append_table_dedupe(spark, sf):
     return catalog.scan_table(spark, name)
 
 
+@query("SELECT event_id AS id, event_type AS data FROM events")
+def append_table_indexed(spark, sf):
+    """A part of the events, and then all of them by key: the table's keys stay in their buckets."""
+    name = new_table(spark, TEST_TABLE)
+    rows = table(spark, sf, "events").selectExpr("event_id AS id", "event_type AS data")
+    table_sinks.append_table(rows.filter("id % 3 = 0"), name)
+    build_key_index(spark, name, "id", 16)
+    for _ in range(2):
+        table_sinks.append_table(rows, name, dedupe_key="id")
+    return catalog.scan_table(spark, name)
+
+
 LITERALS = ", ".join(f"({i}, '{t}')" for i, t in TEST_ROWS)
 
 

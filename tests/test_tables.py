@@ -7,6 +7,8 @@ from pyspark.errors import AnalysisException
 from tillflow.plans.batch import catalog_smoke, load_sales_table
 from tillflow.schemas import SALE_FIELDS, SALE_RAW, SALE_TABLE, TEST_ROWS, TEST_TABLE
 from tillflow.sinks.files import write_csv
+from tillflow.sinks import tables as sinks
+from tillflow.sinks.keys import build_key_index, not_in_index, up_to_date
 from tillflow.sinks.tables import _new_keys, append_table, insert_values, stream_to_table
 from tillflow.sources.files import read_csv_raw
 from tillflow.sources.tables import (
@@ -64,6 +66,67 @@ def test_dedupe(spark, table):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def without_small_joins(spark, fn):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return fn()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_large_batch_leaves_the_keys_of_the_table_where_they_are(spark, table):
+    """Beyond the broadcast the index is joined bucket by bucket: no exchange above its scan."""
+    append_table(spark.range(500).selectExpr("id", "'old' AS data"), table)
+    build_key_index(spark, table, "id", 16)
+    batch = spark.range(sinks._FEW_KEYS + 10).selectExpr("id", "'new' AS data")
+    plan = without_small_joins(spark, lambda: physical(not_in_index(batch, table, "id")))
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    assert plan.count("Exchange") == 1  # that of the batch
+    assert "SelectedBucketsCount: 16 out of 16" in plan
+    without_small_joins(spark, lambda: append_table(batch, table, dedupe_key="id"))
+    assert scan_table(spark, table).count() == sinks._FEW_KEYS + 10
+    assert scan_table(spark, table).filter("data = 'old'").count() == 500
+    assert up_to_date(spark, table, "id")
+
+
+def test_indexed_dedupe_is_dedupe(spark, table):
+    first = [(1, "a"), (1, "a"), (2, "b"), (None, "n"), (None, "n")]
+    build_key_index(spark, table, "id", 4)
+    append_table(spark.createDataFrame(first, TEST_TABLE), table, dedupe_key="id")
+    again = [(2, "b"), (3, "c"), (None, "n")]
+    append_table(spark.createDataFrame(again, TEST_TABLE), table, dedupe_key="id")
+    got = sorted(map(tuple, scan_table(spark, table).collect()), key=repr)
+    assert got == sorted([(1, "a"), (2, "b"), (3, "c"), *[(None, "n")] * 3], key=repr)
+    assert up_to_date(spark, table, "id")
+
+
+def test_an_index_left_behind_is_built_anew(spark, table):
+    """Rows came past it: by another writer, or in a run that stopped before its keys were added."""
+    build_key_index(spark, table, "id", 4)
+    append_table(spark.createDataFrame([(1, "a"), (2, "b")], TEST_TABLE), table)
+    assert not up_to_date(spark, table, "id")
+    append_table(spark.createDataFrame([(2, "x"), (3, "c")], TEST_TABLE), table, dedupe_key="id")
+    assert content(spark, table) == [(1, "a"), (2, "b"), (3, "c")]
+    assert up_to_date(spark, table, "id")
+
+
+def test_wide_keys_are_not_broadcast(spark, table, monkeypatch):
+    monkeypatch.setattr(sinks, "_FEW_BYTES", 100)
+    old = spark.createDataFrame([(1, "k" * 60)], TEST_TABLE)
+    append_table(old, table)
+    for keys, sent in ((["k" * 60], True), (["k" * 60, "l" * 60], False)):
+        rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], TEST_TABLE)
+        fresh = without_small_joins(spark, lambda rows=rows: sinks._new_keys(rows, scan_table(spark, table), "data"))
+        plan = without_small_joins(spark, lambda fresh=fresh: physical(fresh))
+        assert ("BroadcastExchange" in plan) == sent
+        assert fresh.count() == len(keys) - 1
+
+
 def test_insert_and_inline_values(spark, table):
     insert_values(spark, table, TEST_ROWS)
     assert content(spark, table) == list(TEST_ROWS)

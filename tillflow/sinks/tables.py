@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillflow.sinks.keys import add_keys, has_index, not_in_index
 from tillflow.sources.tables import (
     BATCH,
     COMMITS,
@@ -23,13 +25,14 @@ from tillflow.sources.tables import (
     is_committed,
     quoted,
     scan_table,
+    table_fact,
 )
 from tillflow.streaming.batches import BatchSink, start, write_each_batch, writer_id
 
 # Formats whose tables are plain folders of files.
 _FILE_TABLES = {"parquet", "orc", "csv", "json", "avro", "text"}
-# Keys of a batch that are sent to every task that reads the table.
-_FEW_KEYS = 1 << 18
+# Keys of a batch that are sent to every task that reads the table, and their bytes, at most.
+_FEW_KEYS, _FEW_BYTES = 1 << 18, 1 << 25
 _DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -41,13 +44,29 @@ def append_table(
     With ``dedupe_key`` a row is left out if its key is in the table already, and
     equal keys in ``df`` give one row. Rows without a key are always kept. ``by_name``
     matches columns by name instead.
+
+    A few keys are sent to where the table is read. More are joined with all keys of the
+    table, which shuffle, unless the table has an index of that key (`build_key_index`): then
+    only ``df`` moves, and its new keys go into the index after the table.
     """
-    known = scan_table(df.sparkSession, table)
+    spark = df.sparkSession
+    known = scan_table(spark, table)
     if by_name:
         df = df.select(*known.columns)
-    if dedupe_key is not None:
-        df = _new_keys(df, known, dedupe_key)
-    _signed(df, table, BATCH, 0).write.insertInto(table)
+    if dedupe_key is None:
+        _signed(df, table, BATCH, 0).write.insertInto(table)
+        return
+    if not has_index(spark, table, dedupe_key):
+        _signed(_new_keys(df, known, dedupe_key), table, BATCH, 0).write.insertInto(table)
+        return
+    single, without = _single(df, dedupe_key)
+    fresh = not_in_index(single, table, dedupe_key).unionByName(without)
+    fresh.persist(StorageLevel.DISK_ONLY)  # once in the table, its keys are known
+    try:
+        _signed(fresh, table, BATCH, 0).write.insertInto(table)
+        add_keys(fresh, table, dedupe_key)
+    finally:
+        fresh.unpersist()
 
 
 def _signed(df: DataFrame, table: str, writer: str, number: int) -> DataFrame:
@@ -67,17 +86,26 @@ def _replace(df: DataFrame, table: str) -> None:
         conf.set(_DYNAMIC, before)
 
 
-def _new_keys(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    # ``df`` shrinks to one row per key on the map side before the join, and rows
-    # without a key stay out of it, so no key can weigh down one join task.
+def _single(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """One row for each key, and the rows without one.
+
+    ``df`` shrinks to one row per key on the map side before any join, and rows without a key
+    stay out of it, so no key can weigh down one join task.
+    """
     row = F.struct(*df.columns)
     single = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(row).alias("row"))
+    return single.select("row.*"), df.filter(F.col(key).isNull())
+
+
+def _new_keys(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    single, without = _single(df, key)
     asked = df.filter(F.col(key).isNotNull()).select(key).distinct()
-    if asked.limit(_FEW_KEYS + 1).count() <= _FEW_KEYS:
+    size = F.sum(F.octet_length(F.col(key).cast("string")))
+    n, bytes_ = asked.limit(_FEW_KEYS + 1).agg(F.count(F.lit(1)), size).first()
+    if n <= _FEW_KEYS and (bytes_ or 0) <= _FEW_BYTES:
         asked = F.broadcast(asked)  # the table's keys are then looked up where they are read
     known = table.select(key).join(asked, key, "left_semi").distinct()
-    fresh = single.join(known, key, "left_anti").select("row.*")
-    return fresh.unionByName(df.filter(F.col(key).isNull()))
+    return single.join(known, key, "left_anti").unionByName(without)
 
 
 def insert_values(spark: SparkSession, table: str, rows: Iterable[tuple]) -> None:
@@ -160,16 +188,11 @@ def _drop_partition(spark: SparkSession, table: str, writer: str, number: int) -
     spec = f"{COMMITS[0]}='{writer}', {COMMITS[1]}={number}"
     spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({spec})")
     # the files of a table with a location of its own stay; nothing lists them any more
-    home = _fact(spark, table, "Location")
+    home = table_fact(spark, table, "Location")
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{home}/{COMMITS[0]}={writer}/{COMMITS[1]}={number}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def is_file_table(spark: SparkSession, table: str) -> bool:
-    return _fact(spark, table, "Provider").lower() in _FILE_TABLES
-
+    return table_fact(spark, table, "Provider").lower() in _FILE_TABLES
 
-def _fact(spark: SparkSession, table: str, name: str) -> str:
-    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").filter(F.col("col_name") == name)
-    row = facts.first()
-    return row.data_type if row else ""

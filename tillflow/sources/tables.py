@@ -65,6 +65,13 @@ def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {quoted(namespace)}").filter("NOT isTemporary")
 
 
+def table_fact(spark: SparkSession, name: str, fact: str) -> str:
+    """A line of the table's description, such as its ``Location``; empty if there is none."""
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").filter(F.col("col_name") == fact)
+    row = facts.first()
+    return row.data_type if row else ""
+
+
 def is_committed(table: DataFrame) -> bool:
     return tuple(table.columns[-2:]) == COMMITS
 
