@@ -24,6 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillflow.functions.casts import DECIMAL, ISO_DATE, WHOLE
 from tillflow.operators import aggregates, filters, messages, parsing, projections
+from tillflow.operators.exact import EXACT
 from tillflow.operators.running import running_stats
 from tillflow.plans import batch, streams
 from tillflow.schemas import (
@@ -314,6 +315,19 @@ def category_stats(spark, sf):
     )
 
 
+@query("""
+SELECT l_returnflag, count(*) AS n,
+  round((sum((l_extendedprice * 1099511627776)::HUGEINT)::DOUBLE / 1099511627776), 6) AS total
+FROM lineitem GROUP BY 1
+""")
+def category_stats_exact(spark, sf):
+    """Totals of doubles that no order of addition changes; SQL adds whole multiples of 2**-40."""
+    stats = aggregates.group_stats(
+        table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice", EXACT
+    )
+    return stats.select("l_returnflag", "n", F.round("total", 6).alias("total"))
+
+
 @query("""
 SELECT l_suppkey, round(sum(l_extendedprice), 2) AS total FROM lineitem GROUP BY 1
 """)

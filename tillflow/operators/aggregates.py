@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.operators.exact import EXACT, exact_sum
+
 
 def group_stats(
     df: DataFrame, key: str = "Categorie", measure: str = "Total", sum_type: str = "double"
@@ -19,10 +21,11 @@ def group_stats(
     """Per key: ``n`` rows, ``total`` and ``mean`` = total / n.
 
     Sums of doubles depend on the order of addition in the last digits. Give
-    ``sum_type='decimal(18,2)'`` for money totals that do not. A value that the type
-    cannot hold counts as NULL; `parse_sale_strict` can reject such records before.
+    ``sum_type='decimal(18,2)'`` for money totals that do not, or ``'exact'`` for doubles of
+    any size (`exact_sum`). A value that the type cannot hold counts as NULL;
+    `parse_sale_strict` can reject such records before.
     """
-    total = F.sum(F.col(measure).try_cast(sum_type))
+    total = _total(measure, sum_type)
     n = F.count(F.lit(1))
     return df.groupBy(key).agg(
         n.alias("n"), total.alias("total"), (total.cast("double") / n).alias("mean")
@@ -33,7 +36,13 @@ def group_totals(
     df: DataFrame, key: str = "Ville", measure: str = "Total", sum_type: str = "double"
 ) -> DataFrame:
     """Per key: ``total``."""
-    return df.groupBy(key).agg(F.sum(F.col(measure).try_cast(sum_type)).alias("total"))
+    return df.groupBy(key).agg(_total(measure, sum_type).alias("total"))
+
+
+def _total(measure: str, sum_type: str) -> Column:
+    if sum_type == EXACT:
+        return exact_sum(F.col(measure).try_cast("double"))
+    return F.sum(F.col(measure).try_cast(sum_type))
 
 
 def group_stats_each(
@@ -43,7 +52,7 @@ def group_stats_each(
 
     ``by`` names the key column and ``key`` is its value as text.
     """
-    total = F.sum(F.col(measure).try_cast(sum_type))
+    total = _total(measure, sum_type)
     n = F.count(F.lit(1))
     # grouping_id has a bit per key, the last key lowest, set where the key is left out.
     ids = {k: (1 << len(keys)) - 1 - (1 << i) for i, k in enumerate(reversed(keys))}
