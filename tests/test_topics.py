@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tillflow.operators.projections import envelope_view
 from tillflow.schemas import ENVELOPE
+from tillflow.sinks import topics as sink_topics
 from tillflow.sinks.topics import kafka_write_options, topic_batches, write_topic
 from tillflow.sources.topics import Topic, kafka_read_options, next_ranges, read_topic
 
@@ -121,3 +122,18 @@ def test_a_read_goes_on_where_one_ended(spark, topic):
     write_topic(spark.range(20, 50, 1, 2).selectExpr("CAST(id AS STRING) AS value"), topic)
     rest = [bytes(r.value) for r in read_topic(spark, topic, ranges=ends).collect()]
     assert sorted(first + rest, key=int) == [str(i).encode() for i in range(50)]
+
+
+def test_streams_of_like_names_take_different_ranges(spark, topic, monkeypatch):
+    """Names whose hashes meet: no (partition, offset) is given twice, and a stream keeps its range."""
+    monkeypatch.setattr(sink_topics, "first_partition", lambda _: 5 << sink_topics.TASK_BITS)
+    taken = []
+    for turn in range(2):
+        for name in ("one", "two", "three"):
+            monkeypatch.setattr(sink_topics, "writer_id", lambda _, name=name: name)
+            rows = spark.range(0, 20, 1, 2).selectExpr("CAST(id AS STRING) AS value")
+            topic_batches(topic)(rows, turn)
+            taken.append(sink_topics._own_range(spark, topic, name) >> sink_topics.TASK_BITS)
+    assert taken == [5, 6, 7] * 2
+    messages = read_topic(spark, topic)
+    assert messages.count() == messages.select("partition", "offset").distinct().count() == 120

@@ -122,6 +122,7 @@ def table_batches(table: str, dedupe_key: str | None = None) -> BatchSink:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, me = batch.sparkSession, writer_id(batch)
+        spark.catalog.refreshTable(quoted(table))  # others append meanwhile
         whole = spark.table(table)
         if not is_committed(whole):
             append_table(batch, table, dedupe_key, by_name=True)

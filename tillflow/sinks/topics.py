@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,6 +18,8 @@ _ROW_BITS = 33
 BATCH_BITS = 33
 # A writer's partitions begin at a multiple of 2**16 that follows from its name.
 TASK_BITS = 16
+# Ranges for streams; range 0 is that of appended batches.
+_RANGES = 0x7FFF
 
 
 def kafka_write_options(topic: Topic) -> dict[str, str]:
@@ -51,8 +53,10 @@ def topic_batches(topic: Topic):
     """A ``foreachBatch`` sink that appends each micro-batch to the topic.
 
     In a folder topic every stream writes into a folder of its own, named by the id in
-    its checkpoint, and overwrites nothing but its own batch.
+    its checkpoint, and overwrites nothing but its own batch. It takes a range of topic
+    partitions that no other stream has.
     """
+    ranges: dict[str, int] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if topic.format == "kafka":
@@ -62,7 +66,9 @@ def topic_batches(topic: Topic):
             raise ValueError(f"batch {batch_id}: offsets would pass 64 bits")
         writer = writer_id(batch)
         base = F.lit(batch_id << BATCH_BITS).cast("bigint")
-        _envelopes(batch, topic, base, first_partition(writer)).write.mode("overwrite").parquet(
+        if writer not in ranges:
+            ranges[writer] = _own_range(batch.sparkSession, topic, writer)
+        _envelopes(batch, topic, base, ranges[writer]).write.mode("overwrite").parquet(
             f"{topic.location}/writer={writer}/batch={batch_id}"
         )
 
@@ -70,8 +76,33 @@ def topic_batches(topic: Topic):
 
 
 def first_partition(writer: str) -> int:
-    """Where the topic partitions of a stream begin."""
-    return (zlib.crc32(writer.encode()) & 0x7FFF) << TASK_BITS
+    """Where the topic partitions of a stream begin, if it is the only one."""
+    return (zlib.crc32(writer.encode()) % _RANGES + 1) << TASK_BITS
+
+
+def _own_range(spark: SparkSession, topic: Topic, writer: str) -> int:
+    """Where the topic partitions of a stream begin among others.
+
+    Files beside the messages say who has which range. The first to create the file of a
+    range has it; a stream that is not listed yet tries the range of its name and then the
+    next ones. A range whose owner was lost before it was listed stays unused.
+    """
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{topic.location}/_writers")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    names = [f.getPath().getName() for f in store.listStatus(folder)]
+    for name in names:
+        number, _, owner = name.partition("=")
+        if owner == writer:
+            return int(number) << TASK_BITS
+    first = first_partition(writer) >> TASK_BITS
+    for step in range(_RANGES):
+        number = (first - 1 + step) % _RANGES + 1
+        if store.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, str(number))):
+            store.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, f"{number}={writer}"))
+            return number << TASK_BITS
+    raise ValueError(f"{topic.location} has no range of partitions left for another stream")
 
 
 def envelope(
