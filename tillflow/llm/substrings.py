@@ -150,6 +150,15 @@ def _hash_runs(part: np.ndarray, lo: np.ndarray, hi: np.ndarray, span: int) -> n
     return np.fromiter((h(raw[a:b]) for a, b in zip(lo.tolist(), (hi + span).tolist(), strict=True)), np.uint64, len(lo))
 
 
+def _touching(ord_: np.ndarray, tid: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of the spans that touch their neighbour, in the order in which they come."""
+    if not len(a):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    apart = (ord_[1:] != ord_[:-1]) | (tid[1:] != tid[:-1]) | (a[1:] > b[:-1]) | (a[1:] < a[:-1]) | (b[1:] < b[:-1])
+    head = np.flatnonzero(np.append(True, apart))
+    return head, np.append(head[1:], len(a)) - 1
+
+
 def _u64(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy().view(np.uint64)
 
@@ -182,6 +191,36 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
 
         return rows.select("key", "ord", "lo").mapInArrow(emit, "key long")
 
+    def but_first(rows: DataFrame, first: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+        """Spans of all ``rows`` but the earliest of equal ones, and those earliest ones.
+
+        ``first`` is ``firsts(rows)``. A row whose place is that of no earliest one repeats
+        something: such rows need no join, and touching ones of a text leave as one span.
+        The others, the earliest and what the filter lets through by chance, are joined.
+        """
+        at = first.withColumn("lo", F.expr("cast(pmod(first, 4294967296BD) as bigint)"))
+        leading = send(bit_filter(places(at.withColumn("ord", F.expr("(first - lo) div 4294967296BD"))), FILTER_BITS))
+
+        def emit(batches):
+            for batch in batches:
+                ord_, tid, lo, hi = (batch.column(c).to_numpy() for c in ("ord", "tid", "lo", "hi"))
+                may_lead = passes(leading.value, _place_hash(_u64(batch, "key"), ord_, lo))
+                open_ = batch.filter(pa.array(may_lead))
+                head, last = _touching(ord_[~may_lead], tid[~may_lead], lo[~may_lead], hi[~may_lead] + span)
+                lo, hi, ord_, tid = lo[~may_lead][head], hi[~may_lead][last], ord_[~may_lead][head], tid[~may_lead][head]
+                gone = _rows(np.zeros_like(lo), np.zeros_like(lo), ord_, tid, lo, hi)
+                for part, flag in ((open_, True), (gone, False)):
+                    flags = pa.array(np.full(len(part), flag))
+                    yield pa.record_batch([*part.columns, flags], names=[*_RUN.names, "open"])
+
+        judged = stored(rows.mapInArrow(emit, f"{_RUN_DDL}, open boolean"), label)
+        open_ = judged.filter("open").drop("open").join(first.drop("n"), ["key", "bytes_hash"])
+        later = judged.filter("not open").drop("open", "key", "bytes_hash").unionByName(
+            open_.filter(rank > F.col("first")).select("ord", "tid", "lo", "hi")
+        )
+        spans = later.select("ord", "tid", F.col("lo").alias("a"), (F.col("hi") + span).alias("b"))
+        return spans, open_.filter(rank == F.col("first")).drop("first")
+
     # stretches: all but the first of equal ones go
     def cut(batches):
         for part, offs, ord_, tid in _batches(batches):
@@ -247,10 +286,10 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
         distinct = first.groupBy("key").agg(F.count("*").alias("distinct"))
         crowded = bit_filter(distinct.filter(F.col("distinct") > together), FILTER_BITS)
         any_crowded, crowded = bool(crowded.any()), send(crowded)
-        copies = many.join(first.select("key", "bytes_hash", "first"), ["key", "bytes_hash"])
-        out.append(copies.filter(rank > F.col("first")).select("ord", "tid", F.col("lo").alias("a"), ends))
+        spans, leaders = but_first(many, first, "judged_busy_runs")
+        out.append(spans)
         few = distinct.filter(F.col("distinct").between(2, together)).select("key")
-        sorting = sorting.unionByName(places(copies.filter(rank == F.col("first")).join(few, "key", "left_semi")))
+        sorting = sorting.unionByName(places(leaders.join(few, "key", "left_semi")))
         if any_crowded:
             def cut_short(batches):
                 for part, offs, ord_, tid in _batches(batches):
@@ -276,9 +315,8 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
                     key, ord_, tid = (np.repeat(batch.column(c).to_numpy(), n) for c in ("key", "ord", "tid"))
                     yield _rows(key, _hash_runs(data, at, at, span), ord_, tid, lo, lo)
 
-            windows = stored(short.filter("not later").mapInArrow(single, _RUN_DDL), "windows")
-            copies = windows.join(firsts(windows).filter("n > 1"), ["key", "bytes_hash"])
-            out.append(copies.filter(rank > F.col("first")).select("ord", "tid", F.col("lo").alias("a"), ends))
+            windows = short.filter("not later").mapInArrow(single, _RUN_DDL)
+            out.append(but_first(windows, stored(firsts(windows), "window_firsts"), "judged_windows")[0])
     sorting = send(bit_filter(sorting, FILTER_BITS))
 
     # the earliest of different runs of a key, with their bytes
