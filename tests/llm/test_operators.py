@@ -105,26 +105,25 @@ def test_no_documents(spark):
 
 def deduped(rows):
     md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    filled = lambda ls: sum(bool((x or "").strip(" ")) for x in ls)
     seen, out = {}, {}
     key = lambda r: (r[0] is not None, r[0] or 0)
     for d, t in sorted(rows, key=key):
         ls = (t or "").split("\n")
-        chunks, part = [], []
-        for i, line in enumerate(ls):
-            part.append(line)
-            rolled = md5((md5(ls[i - 1]) if i else "") + md5(line))
-            if rolled[0] < "6" or i == len(ls) - 1:
-                chunks.append(part)
-                part = []
-        kept = []
-        for k, c in enumerate(chunks):
-            place = (d is not None, d or 0, k)
-            if sum(bool(x.strip(" ")) for x in c) >= 2:
-                first = seen.setdefault("\n".join(c), place)
-                if first < place:
-                    continue
-            kept.append("\n".join(c))
-        out[(d, t)] = "\n".join(kept)
+        gone, a = set(), 0
+        for i in range(len(ls)):
+            if i < len(ls) - 1 and md5(md5(ls[i]) + md5(ls[i + 1]))[0] >= "e":
+                continue
+            part, a, start = ls[a : i + 1], i + 1, a
+            around = (ls[start - 1] if start else None, ls[i + 1] if i + 1 < len(ls) else None)
+            place = (d is not None, d or 0, start)
+            if not filled(part):
+                continue
+            first, theirs = seen.setdefault("\n".join(part), (place, around))
+            same = [x is not None and x == y for x, y in zip(around, theirs, strict=True)]
+            if first < place and filled(part) + filled(x for x, s in zip(around, same, strict=True) if s) >= 2:
+                gone |= set(range(start - same[0], i + 1 + same[1]))
+        out[(d, t)] = "\n".join(x for i, x in enumerate(ls) if i not in gone)
     return sorted(((d, out[(d, t)]) for d, t in rows), key=str)
 
 
@@ -135,10 +134,11 @@ def test_line_dedup(spark):
     rows = [(i, "\n".join(r.choices(pool, k=r.randint(1, 15))) + ("\n" + passage if i % 3 == 0 else "")) for i in range(60)]
     rows += [(None, passage), (4, rows[4][1]), (200, None), (201, ""), (202, "\n\n\n"), (203, "y " * 9000)]
     r.shuffle(rows)
-    df = spark.createDataFrame([(i, t, "h", 3) for i, t in rows], "doc_id long, text string, h string, idx int").repartition(3)
+    df = spark.createDataFrame([(i, t, 5, 3) for i, t in rows], "doc_id long, text string, _h int, `a.idx` int").repartition(3)
     out = lines.drop_repeated_lines(df)
-    assert out.columns[:4] == ["doc_id", "text", "h", "idx"]
+    assert out.columns[:4] == ["doc_id", "text", "_h", "a.idx"]
     got = out.collect()
+    assert all((x[2], x[3]) == (5, 3) for x in got)
     assert sorted(((x.doc_id, x.text) for x in got), key=str) == deduped(rows)
     assert sum(x._n_removed for x in got) > 50
     assert all(x._n_lines - x._n_removed == (x.text.count("\n") + 1 if x.text or x._n_removed < x._n_lines else 0) for x in got)
@@ -146,6 +146,29 @@ def test_line_dedup(spark):
 
 def test_line_dedup_of_nothing(spark):
     assert lines.drop_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+    with pytest.raises(ValueError, match="_n_lines"):
+        lines.drop_repeated_lines(spark.createDataFrame([], "doc_id long, text string, _n_lines int"))
+
+
+def test_line_dedup_takes_short_passages(spark):
+    """Passages of two lines among lines of each text's own: nearly all later ones go, lone repeats stay."""
+    own = lambda i, k: " ".join(f"own{i}x{k}y{j}" for j in range(6))
+    shared = lambda i: [f"first line of passage {i}", f"second line of passage {i}"]
+    rows = []
+    for i in range(200):
+        rows += [(i, "\n".join([own(i, 0), *shared(i), own(i, 1)])), (1000 + i, "\n".join([own(1000 + i, 0), *shared(i), own(1000 + i, 1), "a common line"]))]
+    got = lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.text) for x in got) == sorted(deduped(rows))
+    taken = [x._n_removed for x in got if x.doc_id >= 1000]
+    assert set(taken) <= {0, 2} and sum(taken) >= 2 * 0.8 * len(taken)
+    assert all(x._n_removed == 0 for x in got if x.doc_id < 1000)
+    assert all("a common line" in x.text for x in got if x.doc_id >= 1000)
+
+
+def test_line_dedup_of_a_long_text(spark):
+    rows = [(1, "\n".join(f"line {i % 700}" for i in range(20_000))), (2, "z" * 200_000 + "\nend")]
+    got = lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.text) for x in got) == deduped(rows)
 
 
 # --- URL filters --------------------------------------------------------------

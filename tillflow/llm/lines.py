@@ -1,9 +1,11 @@
 """Line dedup by content-defined chunks of lines.
 
-A hash rolls over the hashes of each line and the one before; where it is small a chunk
-ends. Lines added or lost before a passage move no boundary beyond its second line, so
-shared passages fall into equal chunks. Chunks of several lines whose hash occurs more than
-once are compared byte by byte with the first of them, and all but the first go.
+A hash rolls over the hashes of each line and the next; where it is small a chunk ends. An
+end inside a passage follows from the passage alone, so shared passages fall into equal
+chunks whatever stands around them. Chunks are short, often a line, so that passages of two
+lines hold whole ones too. A repeated chunk is compared byte by byte with the first of its
+kind, together with the line before and the line after; what is equal goes if it is several
+lines.
 """
 
 from __future__ import annotations
@@ -13,34 +15,41 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.common import ordered_id, stored, whole_text
 
-#: A chunk ends where the first hex digit of the rolling hash is below this: 6 of 16 lines.
-ENDS_BELOW = "6"
-#: Lines with other than white space that a chunk needs to be removed.
+#: A chunk ends where the first hex digit of the rolling hash is below this: 14 of 16 lines.
+ENDS_BELOW = "e"
+#: Lines with other than white space that must be equal in a row to be removed.
 LEAST_LINES = 2
 #: Words of the filter that is broadcast: at most so many rows of two longs, 64 bits each.
 FILTER_WORDS = 1 << 17
 
 
+def _filled(line: Column) -> Column:
+    return F.coalesce(F.trim(line) != "", F.lit(False))
+
+
 def _chunked(docs: DataFrame, text: Column) -> DataFrame:
-    """``docs`` with the chunks of ``text``, an array of ``idx, n, filled, text``, as ``_chunks``."""
+    """The columns of ``docs`` with the chunks of ``text`` as ``_chunks``: ``idx`` of the first line, ``n`` lines,
+    ``filled`` ones among them, ``text``, and the lines ``before`` and ``after``, null at the ends of the text."""
     names = docs.columns
     lines = docs.withColumn("_lines", F.split(text, "\n"))
     hashed = lines.withColumn("_h", F.transform("_lines", F.md5))
-    pairs = F.arrays_zip(F.concat(F.array(F.lit("")), F.slice("_h", 1, F.size("_h") - 1)).alias("p"), F.col("_h").alias("h"))
-    rolled = hashed.withColumn("_r", F.transform(pairs, lambda x: F.substring(F.md5(F.concat(x["p"], x["h"])), 1, 1)))
-    marks = F.transform("_r", lambda r, i: F.when((r < ENDS_BELOW) | (i == F.size("_r") - 1), i))
-    ended = rolled.withColumn("_ends", F.filter(marks, lambda i: i.isNotNull()))
+    pairs = F.arrays_zip(F.col("_h").alias("h"), F.slice("_h", 2, F.size("_h")).alias("next"))
+    rolled = F.transform(pairs, lambda x: F.substring(F.md5(F.concat(x["h"], x["next"])), 1, 1))  # null at the last line
+    marks = F.transform(rolled, lambda r, i: F.when(r.isNull() | (r < ENDS_BELOW), i))
+    ended = hashed.withColumn("_ends", F.filter(marks, lambda i: i.isNotNull()))
     bounds = F.arrays_zip(
-        F.concat(F.array(F.lit(-1)), F.slice("_ends", 1, F.size("_ends") - 1)).alias("before"), F.col("_ends").alias("end")
+        F.concat(F.array(F.lit(-1)), F.slice("_ends", 1, F.size("_ends") - 1)).alias("last"), F.col("_ends").alias("end")
     )
 
-    def chunk(b: Column, k: Column) -> Column:
-        part = F.slice("_lines", b["before"] + 2, b["end"] - b["before"])
+    def chunk(b: Column) -> Column:
+        part = F.slice("_lines", b["last"] + 2, b["end"] - b["last"])
         return F.struct(
-            k.alias("idx"),
-            (b["end"] - b["before"]).alias("n"),
-            F.size(F.filter(part, lambda x: F.trim(x) != "")).alias("filled"),
+            (b["last"] + 1).alias("idx"),
+            (b["end"] - b["last"]).alias("n"),
+            F.size(F.filter(part, _filled)).alias("filled"),
             F.array_join(part, "\n").alias("text"),
+            F.get("_lines", b["last"]).alias("before"),
+            F.get("_lines", b["end"] + 1).alias("after"),
         )
 
     return ended.select(*names, F.transform(bounds, chunk).alias("_chunks"))
@@ -55,16 +64,21 @@ def _bit(h: str) -> Column:
 
 
 def drop_repeated_lines(docs: DataFrame, least_lines: int = LEAST_LINES) -> DataFrame:
-    """Remove chunks of lines that occur earlier in the table.
+    """Remove passages of ``least_lines`` lines or more, blank ones not counted, that occur earlier in the table.
 
     Earlier: under a smaller ``doc_id`` (null before all) or higher up in the same text. A
-    chunk of fewer than ``least_lines`` lines that are not blank always stays, as does one
-    whose bytes differ from the first chunk of its hash. Rows of equal id and text get equal
-    results. Null texts become empty; texts of one line stay as they are.
-
-    Returns the columns of ``docs`` with the new ``text``, and ``n_lines`` and
-    ``n_removed`` as ``_n_lines`` and ``_n_removed``. Names that begin with ``_`` are taken.
+    passage is a chunk of lines with the line before and the line after it, as far as they
+    equal those of the first chunk of the same bytes. A line goes if one such passage holds
+    it; so the first of equal lines always stays, as does a repeated line whose neighbours
+    differ. Rows of equal id and text get equal results; among texts of one id the one of
+    least hash counts as the first. Null texts become empty; texts of one line stay as they are.
+
+    Returns the columns of ``docs`` with the new ``text``, and the numbers of lines and of removed
+    ones as ``_n_lines`` and ``_n_removed``; a table that has columns of these names is refused.
     """
+    names = docs.columns
+    if {"_n_lines", "_n_removed"} & {n.lower() for n in names}:
+        raise ValueError("_n_lines and _n_removed are columns of the result")
     text = whole_text()
     rank = (F.col("_ord").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)") + F.col("idx")).cast("decimal(38,0)")
     chunks = (
@@ -72,30 +86,39 @@ def drop_repeated_lines(docs: DataFrame, least_lines: int = LEAST_LINES) -> Data
         # Spark tests a plain explode for empty arrays below the scan's projections, and so
         # builds all chunks a second time, nested in one another
         .select("_ord", "_tid", F.explode_outer("_chunks").alias("c"))
-        .filter(F.col("c.filled") >= least_lines)
-        .select("_ord", "_tid", "c.idx", "c.n", "c.text")
+        .filter("c.filled > 0")
+        .select("_ord", "_tid", "c.*")
         .withColumn("h", F.xxhash64("text"))
     )
     repeated = stored(chunks.groupBy("h").agg(F.count("*").alias("m"), F.min(rank).alias("first")).filter("m > 1").drop("m"), "repeated_chunks")
     words = repeated.groupBy(_word("h").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 as int)))").alias("bits"))
     # the filter lets every repeated chunk pass and spares the rest a shuffle
     likely = chunks.withColumn("w", _word("h")).join(F.broadcast(words), "w").filter(_bit("h").bitwiseAND(F.col("bits")) != 0)
-    held = stored(likely.select("_ord", "_tid", "idx", "n", "text", "h").join(repeated, "h"), "held_chunks")
-    original = held.filter(rank == F.col("first")).select("h", F.col("text").alias("original")).dropDuplicates(["h"])
-    gone = held.filter(rank > F.col("first")).join(original, "h").filter(F.col("text") == F.col("original"))
-    by_doc = gone.groupBy("_ord", "_tid").agg(F.collect_set("idx").alias("_gone"))
-    names = docs.columns
-    rows = docs.withColumns({"_ord": ordered_id(), "_tid": F.xxhash64(text)}).join(by_doc, ["_ord", "_tid"], "left")
+    held = stored(likely.drop("w", "bits").join(repeated, "h"), "held_chunks")
+    parts = ("text", "before", "after")
+    original = (
+        held.filter(rank == F.col("first"))
+        .groupBy("h").agg(F.min(F.struct("_tid", *parts)).alias("o"))
+        .select("h", *(F.col(f"o.{c}").alias(f"first_{c}") for c in parts))
+    )
+    same = held.filter(rank > F.col("first")).join(original, "h").filter("text = first_text")
+    for side in ("before", "after"):
+        equal = F.coalesce(F.col(side) == F.col(f"first_{side}"), F.lit(False))
+        same = same.withColumns({f"more_{side}": equal.cast("int"), f"filled_{side}": (equal & _filled(F.col(side))).cast("int")})
+    gone = same.filter(F.col("filled") + F.col("filled_before") + F.col("filled_after") >= least_lines)
+    passage = F.struct((F.col("idx") - F.col("more_before")).alias("a"), (F.col("idx") + F.col("n") - 1 + F.col("more_after")).alias("b"))
+    by_doc = gone.groupBy("_ord", "_tid").agg(F.collect_set(passage).alias("_gone"))
+
+    whole = docs.select(F.struct(*(F.col(f"`{n}`") for n in names)).alias("_row"), ordered_id().alias("_ord"), F.xxhash64(text).alias("_tid"), text.alias("_text"))
     touched = F.col("_gone").isNotNull()
-    cut = _chunked(rows, F.when(touched, text).otherwise(""))  # others need no chunks
-    left = F.filter("_chunks", lambda c: ~F.array_contains("_gone", c["idx"]))
-    lost = F.filter("_chunks", lambda c: F.array_contains("_gone", c["idx"]))
-    kept = F.array_join(F.transform(left, lambda c: c["text"]), "\n")
-    removed = F.aggregate(lost, F.lit(0), lambda s, c: s + c["n"])
+    lost = F.flatten(F.transform("_gone", lambda g: F.sequence(g["a"], g["b"])))
+    cut = whole.join(by_doc, ["_ord", "_tid"], "left").withColumn("_lines", F.split("_text", "\n"))
+    cut = cut.withColumn("_kept", F.when(touched, F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), lost)))
+    kept = F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")
     return cut.select(
-        *(F.when(touched, kept).otherwise(text).alias("text") if n == "text" else n for n in names),
-        F.size(F.split(text, "\n")).alias("_n_lines"),
-        F.when(touched, removed).otherwise(0).alias("_n_removed"),
+        *(F.when(touched, kept).otherwise(F.col("_text")).alias("text") if n == "text" else F.col(f"_row.`{n}`").alias(n) for n in names),
+        F.size("_lines").alias("_n_lines"),
+        F.when(touched, F.size("_lines") - F.size("_kept")).otherwise(0).alias("_n_removed"),
     )
 
 
@@ -114,19 +137,28 @@ WITH hashed AS (
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
 ), ended AS (
   SELECT doc_id, ls, list_filter(range(1, len(ls) + 1),
-    lambda i: i = len(ls) OR md5(coalesce(CASE WHEN i > 1 THEN h[i - 1] END, '') || h[i])[1:1] < '{ENDS_BELOW}') AS ends
+    lambda i: i = len(ls) OR md5(h[i] || h[i + 1])[1:1] < '{ENDS_BELOW}') AS ends
   FROM hashed
 ), chunks AS (
-  SELECT doc_id, k, ls[a + 1:b] AS part FROM (
-    SELECT doc_id, ls, k, CASE WHEN k > 1 THEN ends[k - 1] ELSE 0 END AS a, ends[k] AS b
+  SELECT doc_id, a + 1 AS head, b AS tail, array_to_string(ls[a + 1:b], chr(10)) AS part,
+         len(list_filter(ls[a + 1:b], lambda x: trim(x) <> '')) AS filled, CASE WHEN a > 0 THEN ls[a] END AS before, ls[b + 1] AS after
+  FROM (
+    SELECT doc_id, ls, CASE WHEN k > 1 THEN ends[k - 1] ELSE 0 END AS a, ends[k] AS b
     FROM (SELECT *, unnest(range(1, len(ends) + 1)) AS k FROM ended))
-), judged AS (
-  SELECT doc_id, k, part, len(list_filter(part, lambda x: trim(x) <> '')) >= {LEAST_LINES}
-    AND row_number() OVER (PARTITION BY array_to_string(part, chr(10)), len(list_filter(part, lambda x: trim(x) <> '')) >= {LEAST_LINES}
-                           ORDER BY doc_id NULLS FIRST, k) > 1 AS gone
-  FROM chunks
+), compared AS (
+  SELECT *, row_number() OVER w > 1 AS later,
+         coalesce(before = first_value(before) OVER w, false) AS same_before, coalesce(after = first_value(after) OVER w, false) AS same_after
+  FROM chunks WHERE filled > 0
+  WINDOW w AS (PARTITION BY part ORDER BY doc_id NULLS FIRST, head)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(head - CAST(same_before AS INT), tail + 1 + CAST(same_after AS INT))) AS i
+  FROM compared
+  WHERE later AND filled + CAST(same_before AND trim(before) <> '' AS INT) + CAST(same_after AND trim(after) <> '' AS INT) >= {LEAST_LINES}
+), lines AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM hashed
 )
-SELECT doc_id, CAST(sum(len(part)) AS BIGINT) AS n_lines, CAST(coalesce(sum(len(part)) FILTER (gone), 0) AS BIGINT) AS n_removed,
-       sha256(coalesce(string_agg(array_to_string(part, chr(10)), chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
-FROM judged GROUP BY doc_id
+SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '')) AS kept_sha256
+FROM lines l LEFT JOIN gone g ON l.doc_id IS NOT DISTINCT FROM g.doc_id AND l.i = g.i
+GROUP BY l.doc_id
 """
