@@ -331,7 +331,7 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
             yield pa.record_batch([*map(pa.array, cols), pa.array(pieces, pa.binary())], names=["key", "ord", "tid", "lo", "bytes"])
 
     def sort(batches):
-        for held in _whole_keys(batches, 1 << 21):
+        for held in _whole_keys(batches, 1 << 20):
             yield _sorted(held, span)
 
     pieces = docs.mapInArrow(run_bytes, "key long, ord long, tid long, lo long, bytes binary")
