@@ -120,8 +120,8 @@ def deduped(rows):
             if not filled(part):
                 continue
             first, theirs = seen.setdefault("\n".join(part), (place, around))
-            same = [x is not None and x == y for x, y in zip(around, theirs, strict=True)]
-            if first < place and filled(part) + filled(x for x, s in zip(around, same, strict=True) if s) >= 2:
+            same = [filled([x]) and x == y for x, y in zip(around, theirs, strict=True)]
+            if first < place and filled(part) + sum(same) >= 2:
                 gone |= set(range(start - same[0], i + 1 + same[1]))
         out[(d, t)] = "\n".join(x for i, x in enumerate(ls) if i not in gone)
     return sorted(((d, out[(d, t)]) for d, t in rows), key=str)

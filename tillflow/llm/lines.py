@@ -4,8 +4,8 @@ A hash rolls over the hashes of each line and the next; where it is small a chun
 end inside a passage follows from the passage alone, so shared passages fall into equal
 chunks whatever stands around them. Chunks are short, often a line, so that passages of two
 lines hold whole ones too. A repeated chunk is compared byte by byte with the first of its
-kind, together with the line before and the line after; what is equal goes if it is several
-lines.
+kind; the lines before and after, where they are equal too, count to it, and what is several
+lines goes.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def _filled(line: Column) -> Column:
 
 def _chunked(docs: DataFrame, text: Column) -> DataFrame:
     """The columns of ``docs`` with the chunks of ``text`` as ``_chunks``: ``idx`` of the first line, ``n`` lines,
-    ``filled`` ones among them, ``text``, and the lines ``before`` and ``after``, null at the ends of the text."""
+    ``filled`` ones among them, ``text``, and the MD5 of the lines ``before`` and ``after``, null where there is none but blank."""
     names = docs.columns
     lines = docs.withColumn("_lines", F.split(text, "\n"))
     hashed = lines.withColumn("_h", F.transform("_lines", F.md5))
@@ -41,6 +41,9 @@ def _chunked(docs: DataFrame, text: Column) -> DataFrame:
         F.concat(F.array(F.lit(-1)), F.slice("_ends", 1, F.size("_ends") - 1)).alias("last"), F.col("_ends").alias("end")
     )
 
+    def around(i: Column) -> Column:
+        return F.when(_filled(F.get("_lines", i)), F.unhex(F.get("_h", i)))
+
     def chunk(b: Column) -> Column:
         part = F.slice("_lines", b["last"] + 2, b["end"] - b["last"])
         return F.struct(
@@ -48,8 +51,8 @@ def _chunked(docs: DataFrame, text: Column) -> DataFrame:
             (b["end"] - b["last"]).alias("n"),
             F.size(F.filter(part, _filled)).alias("filled"),
             F.array_join(part, "\n").alias("text"),
-            F.get("_lines", b["last"]).alias("before"),
-            F.get("_lines", b["end"] + 1).alias("after"),
+            around(b["last"]).alias("before"),
+            around(b["end"] + 1).alias("after"),
         )
 
     return ended.select(*names, F.transform(bounds, chunk).alias("_chunks"))
@@ -67,8 +70,9 @@ def drop_repeated_lines(docs: DataFrame, least_lines: int = LEAST_LINES) -> Data
     """Remove passages of ``least_lines`` lines or more, blank ones not counted, that occur earlier in the table.
 
     Earlier: under a smaller ``doc_id`` (null before all) or higher up in the same text. A
-    passage is a chunk of lines with the line before and the line after it, as far as they
-    equal those of the first chunk of the same bytes. A line goes if one such passage holds
+    passage is a chunk of lines whose bytes equal those of an earlier one, with the line before
+    and the line after it, as far as they are not blank and equal those of the first such chunk
+    (by 128 bits of MD5). A line goes if one such passage holds
     it; so the first of equal lines always stays, as does a repeated line whose neighbours
     differ. Rows of equal id and text get equal results; among texts of one id the one of
     least hash counts as the first. Null texts become empty; texts of one line stay as they are.
@@ -104,8 +108,8 @@ def drop_repeated_lines(docs: DataFrame, least_lines: int = LEAST_LINES) -> Data
     same = held.filter(rank > F.col("first")).join(original, "h").filter("text = first_text")
     for side in ("before", "after"):
         equal = F.coalesce(F.col(side) == F.col(f"first_{side}"), F.lit(False))
-        same = same.withColumns({f"more_{side}": equal.cast("int"), f"filled_{side}": (equal & _filled(F.col(side))).cast("int")})
-    gone = same.filter(F.col("filled") + F.col("filled_before") + F.col("filled_after") >= least_lines)
+        same = same.withColumn(f"more_{side}", equal.cast("int"))
+    gone = same.filter(F.col("filled") + F.col("more_before") + F.col("more_after") >= least_lines)
     passage = F.struct((F.col("idx") - F.col("more_before")).alias("a"), (F.col("idx") + F.col("n") - 1 + F.col("more_after")).alias("b"))
     by_doc = gone.groupBy("_ord", "_tid").agg(F.collect_set(passage).alias("_gone"))
 
@@ -141,7 +145,8 @@ WITH hashed AS (
   FROM hashed
 ), chunks AS (
   SELECT doc_id, a + 1 AS head, b AS tail, array_to_string(ls[a + 1:b], chr(10)) AS part,
-         len(list_filter(ls[a + 1:b], lambda x: trim(x) <> '')) AS filled, CASE WHEN a > 0 THEN ls[a] END AS before, ls[b + 1] AS after
+         len(list_filter(ls[a + 1:b], lambda x: trim(x) <> '')) AS filled, CASE WHEN a > 0 AND trim(ls[a]) <> '' THEN ls[a] END AS before,
+         CASE WHEN trim(ls[b + 1]) <> '' THEN ls[b + 1] END AS after
   FROM (
     SELECT doc_id, ls, CASE WHEN k > 1 THEN ends[k - 1] ELSE 0 END AS a, ends[k] AS b
     FROM (SELECT *, unnest(range(1, len(ends) + 1)) AS k FROM ended))
@@ -153,7 +158,7 @@ WITH hashed AS (
 ), gone AS (
   SELECT DISTINCT doc_id, unnest(range(head - CAST(same_before AS INT), tail + 1 + CAST(same_after AS INT))) AS i
   FROM compared
-  WHERE later AND filled + CAST(same_before AND trim(before) <> '' AS INT) + CAST(same_after AND trim(after) <> '' AS INT) >= {LEAST_LINES}
+  WHERE later AND filled + CAST(same_before AS INT) + CAST(same_after AS INT) >= {LEAST_LINES}
 ), lines AS (
   SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM hashed
 )
