@@ -72,6 +72,25 @@ def test_running_stream_equals_batch_over_restarts(spark, tmp_path):
     assert rows_of(got.select(*cols)) == rows_of(want.select(*cols))
 
 
+def test_running_stream_in_a_session_with_sparks_default_state_store(spark, tmp_path):
+    folder, out, root = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    provider = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    everything = []
+    for step in range(2):
+        rows = some_sales(40, start=step * 40)
+        everything += rows
+        drop_file(spark, folder, rows)
+        running_stats_stream(
+            source(plain, folder), "key", "value", "at", out, root, sum_type=MONEY, trigger=NOW
+        ).awaitTermination()
+    assert plain.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+    want = running_stats(spark.createDataFrame(everything, SCHEMA), "key", "value", "at", sum_type=MONEY)
+    cols = ["key", "at", "n", F.col("total").cast("double"), "mean"]
+    assert rows_of(spark.read.parquet(out).select(*cols)) == rows_of(want.select(*cols))
+
+
 def test_running_stream_retries_a_failed_batch(spark, tmp_path):
     """The sink fails after writing; the state of that batch is not kept and the batch comes again."""
     folder, out, root = (str(tmp_path / n) for n in ("in", "out", "ckpt"))

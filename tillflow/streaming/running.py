@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from tillflow.session import engine_config
 from tillflow.streaming.batches import BatchSink, parquet_batches, write_each_batch
 
 # Helper columns; pandas renames those that begin with an underscore.
@@ -31,6 +32,7 @@ _GROUP, _BLOCK, _PART, _SUM, _ROWS, _TOTAL, _N, _NUMBER = (
 _PACK = 1 << 16
 BLOCK = 1 << 20
 _EMPTY = "spark.sql.streaming.noDataMicroBatches.enabled"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 class RunningTotals:
@@ -235,10 +237,19 @@ def each_batch_of_rows(
         sink(totals.rows(blocks), batch_id)
 
     # Spark would run empty batches without end for the clock's sake; state expires with any batch
+    settings = {_EMPTY: "false"}
     conf = totals.blocks.sparkSession.conf
-    before = conf.get(_EMPTY)
-    conf.set(_EMPTY, "false")
+    if conf.get(_STORE).endswith(".HDFSBackedStateStoreProvider"):  # Spark's default cannot hold this state
+        settings |= {k: v for k, v in engine_config().items() if ".stateStore." in k}
+    before = {k: conf.get(k, None) for k in settings}
+    # a query keeps the settings of its start
+    for k, v in settings.items():
+        conf.set(k, v)
     try:
         return write_each_batch(totals.blocks, write, checkpoint, trigger, "update")
     finally:
-        conf.set(_EMPTY, before)
+        for k, v in before.items():
+            if v is None:
+                conf.unset(k)
+            else:
+                conf.set(k, v)
