@@ -290,7 +290,7 @@ def ordered_topic(spark: SparkSession, sf: str) -> Topic:
             "offset",
             F.current_timestamp().alias("timestamp"),
         )
-        rows.repartition(FILES).write.mode("append").parquet(topic.location)
+        rows.repartition(FILES).write.mode("append").options(**topic_sinks.ROW_GROUPS).parquet(topic.location)
     return topic
 
 

@@ -1,9 +1,11 @@
 import json
 import uuid
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from tillflow.operators.projections import envelope_view
 from tillflow.schemas import ENVELOPE
 from tillflow.sinks import topics as sink_topics
@@ -137,3 +139,27 @@ def test_streams_of_like_names_take_different_ranges(spark, topic, monkeypatch):
     assert taken == [5, 6, 7] * 2
     messages = read_topic(spark, topic)
     assert messages.count() == messages.select("partition", "offset").distinct().count() == 120
+
+
+def test_one_file_of_a_topic_is_split_over_tasks(spark, tmp_path):
+    topic = Topic.files("t", str(tmp_path / "t"))
+    several = F.concat(*[F.sha2(F.concat_ws("-", "id", F.lit(i)), 512) for i in range(4)])
+    texts = spark.range(40_000, numPartitions=1).select(several.alias("value"))
+    write_topic(texts, topic)
+    topic_batches(topic)(texts, 0)
+    files = list((tmp_path / "t").rglob("*.parquet"))
+    assert [pq.ParquetFile(f).metadata.num_row_groups > 1 for f in files] == [True, True]
+    assert read_topic(spark, topic).count() == 80_000
+
+
+def test_envelope_view_gives_every_place(spark, tmp_path):
+    rows = [(i, f"p{i}") for i in range(20)] + [(19, "p0"), (None, "none")]
+    spark.createDataFrame(rows, "event_id long, props string").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    got = queries()["envelope_view"](spark, str(tmp_path)).collect()
+    parts = {}
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r)):
+        parts.setdefault((i or 0) % 8, []).append((i, text))
+    want = [(None if i is None else str(i), text, p, at) for p, held in parts.items() for at, (i, text) in enumerate(held)]
+    order = lambda r: (str(r[0]), *r[1:])
+    assert sorted(((x.key, x.value, x.partition, x.offset) for x in got), key=order) == sorted(want, key=order)
+    assert all(x.gapless and x.topic == "sales_in" for x in got)

@@ -20,6 +20,9 @@ BATCH_BITS = 33
 TASK_BITS = 16
 # Ranges for streams; range 0 is that of appended batches.
 _RANGES = 0x7FFF
+#: Options of a folder topic's files. Spark splits a file between row groups only: small ones let a
+#: micro-batch of one file use many tasks.
+ROW_GROUPS = {"parquet.block.size": 2 << 20}
 
 
 def kafka_write_options(topic: Topic) -> dict[str, str]:
@@ -32,9 +35,8 @@ def write_topic(df: DataFrame, topic: Topic) -> None:
         messages = df.select(*[c for c in ("key", "value") if c in df.columns])
         messages.write.format("kafka").options(**kafka_write_options(topic)).save()
         return
-    _envelopes(df, topic, F.lit(_next_offset(df, topic))).write.mode("append").parquet(
-        f"{topic.location}/appended"
-    )
+    messages = _envelopes(df, topic, F.lit(_next_offset(df, topic)))
+    messages.write.mode("append").options(**ROW_GROUPS).parquet(f"{topic.location}/appended")
 
 
 def stream_to_topic(
@@ -68,7 +70,7 @@ def topic_batches(topic: Topic):
         base = F.lit(batch_id << BATCH_BITS).cast("bigint")
         if writer not in ranges:
             ranges[writer] = _own_range(batch.sparkSession, topic, writer)
-        _envelopes(batch, topic, base, ranges[writer]).write.mode("overwrite").parquet(
+        _envelopes(batch, topic, base, ranges[writer]).write.mode("overwrite").options(**ROW_GROUPS).parquet(
             f"{topic.location}/writer={writer}/batch={batch_id}"
         )
 
