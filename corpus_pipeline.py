@@ -1,8 +1,8 @@
 """A training corpus from raw documents: rows, stage after stage, each stage on what the last one kept.
 
 The quality classifier drops documents that it rejects; line dedup takes repeated chunks of
-lines out of the texts; of each group of near duplicates (five-word shingles of Jaccard
-similarity 0.8 or more) the document of smallest id stays;
+lines out of the texts; of each group of near duplicates (SimHash fingerprints within 3 bits,
+or five-word shingles of Jaccard similarity 0.8 or more) the document of smallest id stays;
 documents that hold a passage of the benchmark go; the rest is encoded, decoded and counted.
 """
 
@@ -37,9 +37,10 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each group of near duplicates; null is the smallest.
 
-    Documents of one id stay or go together.
+    Documents of one id stay or go together. SimHash links what differs in few of 64 bits, and
+    min-hashes what is similar at 0.8 and more but further apart than that.
     """
-    groups = jaccard.near_duplicates(docs.select("doc_id", "text"))
+    groups = jaccard.near_duplicates(docs.select("doc_id", "text"), distance=3)
     first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(first, docs["doc_id"].cast("long").eqNullSafe(first["_kept"]), "left_semi").select(*COLUMNS)
 

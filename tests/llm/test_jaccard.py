@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from tillflow.llm import jaccard
+from tillflow.llm import jaccard, simhash
 
 
 def shingles(text):
@@ -77,3 +77,35 @@ def test_pipeline_keeps_one_of_copies_at_four_fifths(spark):
         rows += [(i, " ".join(base)), (100 + i, " ".join(copy))]
     docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(x.doc_id for x in corpus_pipeline.keep_one_of_each_group(spark, docs, "").collect()) == list(range(30))
+
+
+def test_pipeline_groups_by_simhash_and_by_similarity(spark):
+    r = random.Random(6)
+    rows = corpus(3)
+    for i in range(8):  # one phrase over and over: equal fingerprints or nearly, few shingles in common
+        phrase = " ".join(r.choices("abcdefgh", k=5)) + " "
+        for k in range(4):
+            rows.append((5000 + 10 * i + k, phrase * 400 + " ".join(f"t{r.randrange(10**6)}" for _ in range(12))))
+    prints = [simhash.fingerprint((t or "").encode(), 3, 42) for _, t in rows]
+    by_similarity = brute(rows)
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3 or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    order = lambda d: (d is not None, d)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), d), d, key=order)
+    want = sorted(((d, least[find(i)]) for i, (d, _) in enumerate(rows)), key=str)
+    docs = spark.createDataFrame([(i, t, "en", "src0", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = jaccard.near_duplicates(docs.repartition(3), distance=3).collect()
+    assert sorted(map(tuple, got), key=str) == want != by_similarity
+    kept = {d for d, c in want if d == c}
+    assert {x.doc_id for x in corpus_pipeline.keep_one_of_each_group(spark, docs, "").collect()} == kept

@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.llm import simhash
 from tillflow.llm.common import LEAST, ordered_id, ragged, stored, utf8, whole_text
 from tillflow.llm.components import smallest_reachable
 
@@ -201,9 +202,29 @@ def similar_links(docs: DataFrame, sketched: DataFrame, size: int, percent: int,
     return _links(dealt.select("key", "i", "j", "second", "sid", "shingles"), percent)
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, cell: int = CELL, cell_shingles: int = CELL_SHINGLES) -> DataFrame:
+def print_links(docs: DataFrame, sketched: DataFrame, distance: int = 3) -> DataFrame:
+    """Links ``a, b`` between sets (``sid``) of documents whose SimHash fingerprints differ in ``distance`` bits or less.
+
+    The fingerprints are those of `simhash`. Texts of one fingerprint are linked to the least of their sets,
+    and the least sets of close fingerprints to each other.
+    """
+    texts = _texts(docs).select(F.col("tid").alias("doc_id"), "text")
+    prints = simhash.fingerprints(texts).select(F.col("doc_id").alias("tid"), "fp").distinct()
+    held = stored(sketched.select("tid", "sid").distinct().join(prints, "tid").select("fp", "sid").distinct(), "prints")
+    least = held.groupBy("fp").agg(F.min("sid").alias("a"))
+    close = simhash.near_links(least.select("fp"), distance).select(F.col("a").alias("fp"), F.col("b").alias("other"))
+    ends = least.select(F.col("fp").alias("other"), F.col("a").alias("b"))
+    across = close.join(least, "fp").join(ends, "other").select("a", "b")
+    return held.join(least, "fp").select("a", F.col("sid").alias("b")).unionByName(across).filter("a <> b")
+
+
+def near_duplicates(
+    docs: DataFrame, size: int = 5, percent: int = 80, cell: int = CELL, cell_shingles: int = CELL_SHINGLES, distance: int | None = None
+) -> DataFrame:
     """Group documents whose sets of shingles have a Jaccard similarity of ``percent`` or more, directly or through others.
 
+    With ``distance`` documents whose SimHash fingerprints differ in so many bits or less are linked too.
+
     Shingles are ``size`` words in a row, words split at ASCII white space after lowering
     A-Z; fewer words are one shingle. Documents without words are one group. Null texts are empty.
 
@@ -214,7 +235,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, cell: int
     if percent < 80:
         raise ValueError("the bands are made for a similarity of 80 percent or more")
     sketched = stored(sketches(docs, size), "sketches")
-    roots = smallest_reachable(similar_links(docs, sketched, size, percent, cell, cell_shingles))
+    links = similar_links(docs, sketched, size, percent, cell, cell_shingles)
+    if distance is not None:
+        links = links.unionByName(print_links(docs, sketched, distance))
+    roots = smallest_reachable(links)
     groups = sketched.groupBy("sid").agg(F.min("ord").alias("first"))
     placed = groups.join(roots, groups["sid"] == roots["node"], "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("least"))
