@@ -87,3 +87,29 @@ def test_ids_that_do_not_fit_are_refused():
     assert records.unframed(memoryview(records.framed(1, np.array([65535], "<u4"), 2)), 0)[1].tolist() == [65535]
     with pytest.raises(ValueError, match="65536 does not fit"):
         records.framed(1, np.array([3, 65536], "<u4"), 2)
+
+
+def test_a_known_stem_is_not_encoded_again(monkeypatch):
+    monkeypatch.setattr(records, "KEPT_WORDS", 4)
+    encoder = records.WordEncoder(WORDS)
+    encoder.encode([b"alpha beta gamma delta"])
+    sent, ids = [], encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda texts: sent.extend(texts) or ids(texts))
+    found = encoder.encode([b"alpha, beta."])[0].tolist()
+    assert sorted(sent) == [",", "."]
+    assert found == Tokenizer.from_file(WORDS).encode("alpha, beta.", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize(("words", "size"), [(30, 1 << 20), (1 << 20, 200), (1 << 20, 1 << 20)])
+def test_words_that_are_forgotten(monkeypatch, words, size):
+    monkeypatch.setattr(records, "KEPT_WORDS", words)
+    monkeypatch.setattr(records, "KEPT_BYTES", size)
+    r, t = random.Random(words + size), Tokenizer.from_file(WORDS)
+    stems = ["".join(r.choices("abcdeEéĦß", k=r.randint(1, 5))) for _ in range(60)]
+    ends = ["", "", ",", ".", "...", "!?", "'s", "***", "12", ",x"]
+    encoder = records.WordEncoder(WORDS)
+    for _ in range(40):
+        texts = [" ".join(r.choice(stems) + r.choice(ends) for _ in range(r.randint(0, 12))) + r.choice(["", " ", "\n"]) for _ in range(5)]
+        found = encoder.encode([x.encode() for x in texts])
+        assert [x.tolist() for x in found] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+        assert len(encoder.known) <= words + 200

@@ -19,12 +19,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import ordered_id, stored, utf8, whole_text
+from tillflow.llm.common import ordered_id, portions, ragged, stored, utf8, whole_text
 from tillflow.session import scratch_dir
 
 #: Bytes of text that a record file holds, about.
@@ -33,8 +34,11 @@ FILE_BYTES = 32 << 20
 READ_TOGETHER = 512
 _MARKS = ".,;:!?"
 
-#: Distinct words a Python worker keeps; then the older half goes.
+#: Distinct words a Python worker keeps, and their bytes; then those go that came in one block only.
 KEPT_WORDS = 1_000_000
+KEPT_BYTES = 64 << 20
+#: Bytes of text that are encoded together.
+BLOCK_BYTES = 8 << 20
 
 ENTRY_BYTES = 16
 _HEAD, _PAYLOAD = struct.Struct("<QI"), struct.Struct("<BBq")
@@ -82,7 +86,8 @@ class WordEncoder:
     """Encodes with a tokenizer whose tokens never cross white space, word by word, keeping what it saw.
 
     Letters without marks are one piece for the tokenizer, and its pieces end with ``end``.
-    So many new words are encoded as one text and told apart by that ending.
+    So many new words are encoded as one text and told apart by that ending. Known words are
+    an Arrow array; place, number and values of their ids are numpy arrays.
     """
 
     def __init__(self, path: str, end: str = "</w>"):
@@ -95,53 +100,91 @@ class WordEncoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith(end)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.known = pa.array([], pa.binary())
+        self.starts, self.n, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.again = np.zeros(0, bool)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.young) > KEPT_WORDS // 2:
-            self.old, self.young = self.young, {}
-        words = [text.split() for text in texts]
-        new: set[bytes] = set()
-        for ws in words:
-            new |= set(ws).difference(self.young)
-        self._learn(new)
-        return [np.frombuffer(b"".join(map(self.young.__getitem__, ws)), "<u4") for ws in words]
-
-    def _learn(self, new: set[bytes]) -> None:
-        letters, rest, ended = {}, {}, []
-        for w in new:
-            if w in self.old:
-                self.young[w] = self.old[w]
-                continue
-            text = w.decode("utf-8", "replace")
-            if _plain(text):
-                letters[w] = text
-                continue
-            stem = text.rstrip(_MARKS)
-            if len(stem) == len(text) or not _plain(stem):
-                rest[w] = text
-                continue
-            # the tokenizer parts marks from letters that its NFC step leaves letters alone
-            first, last = stem.encode(), text[len(stem) :].encode()
-            ended.append((w, first, last))
-            if first not in self.young:
-                letters[first] = stem
-            if last not in self.young:
-                rest[last] = last.decode()
-        letters = list(letters.items())
-        for at in range(0, len(letters), 2000):
-            some = letters[at : at + 2000]
-            ids = np.array(self._ids([" ".join(t for _, t in some)])[0], "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
-            if len(ends) != len(some):
-                rest.update(some)
-                continue
-            raw, cut = ids.tobytes(), (np.append(0, ends) * 4).tolist()
-            self.young.update((w, raw[a:b]) for (w, _), a, b in zip(some, cut, cut[1:], strict=False))
-        if rest:
-            self.young.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(rest, self._ids(list(rest.values())), strict=True))
-        self.young.update((w, self.young[first] + self.young[last]) for w, first, last in ended)
+        if len(self.known) > KEPT_WORDS or self.known.nbytes > KEPT_BYTES:
+            self._forget()
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        coded = split.values.view(pa.binary()).dictionary_encode()
+        which = self._places(coded.dictionary)[coded.indices.to_numpy()]
+        lengths = self.n[which]
+        ids = self.ids[ragged(self.starts[which], lengths)]
+        ends = np.append(0, np.cumsum(lengths))[split.offsets.to_numpy()].tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+    def _forget(self) -> None:
+        """Keep the words that came again; none if they are too many."""
+        keep = self.again
+        if keep.sum() > KEPT_WORDS // 2 or self.known.nbytes > KEPT_BYTES:
+            keep = np.zeros_like(keep)
+        ids, n = self.ids[ragged(self.starts[keep], self.n[keep])], self.n[keep]
+        self.known = self.known.filter(pa.array(keep))
+        self.starts, self.n, self.ids, self.again = np.cumsum(n) - n, n, ids, np.zeros(len(n), bool)
+
+    def _add(self, words: pa.Array, n: np.ndarray, ids: np.ndarray) -> None:
+        self.known = pa.concat_arrays([self.known, words])
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(n) - n)
+        self.n, self.ids = np.append(self.n, n), np.append(self.ids, ids)
+        self.again = np.append(self.again, np.zeros(len(n), bool))
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Places of ``words``, each of which comes once, among the known ones; new words are learnt."""
+        at = pc.index_in(words, self.known)
+        self.again[at.drop_null().to_numpy()] = True
+        out = at.fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            out[new] = self._learn(words.take(pa.array(new)))
+        return out
+
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        stems = pc.ascii_rtrim(new.view(pa.string()), characters=_MARKS).view(pa.binary())
+        plain = pc.ascii_is_alpha(stems.view(pa.string())).to_numpy(zero_copy_only=False)
+        odd = np.flatnonzero(~plain)
+        plain[odd] = [_plain(t.decode("utf-8", "replace")) for t in stems.take(pa.array(odd)).to_pylist()]
+        # the tokenizer parts marks from letters that its NFC step leaves letters alone
+        first = pc.if_else(pa.array(plain), stems, new)
+        data, offs = utf8(new)
+        cut = np.diff(offs) - pc.binary_length(first).to_numpy()
+        ended = np.flatnonzero(cut)
+        last = data[ragged(offs[1:][ended] - cut[ended], cut[ended])]
+        ends = np.append(0, np.cumsum(cut[ended])).astype(np.int32)
+        last = pa.Array.from_buffers(pa.binary(), len(ended), [None, pa.py_buffer(ends), pa.py_buffer(last)])
+        coded = pa.concat_arrays([first, last]).dictionary_encode()
+        parts, part_of = coded.dictionary, coded.indices.to_numpy()
+        letters = np.zeros(len(parts), bool)
+        letters[part_of[: len(new)][plain]] = True
+        at = pc.index_in(parts, self.known).fill_null(-1).to_numpy().astype(np.int64)
+        for some, kind in ((np.flatnonzero((at < 0) & letters), self._letters), (np.flatnonzero((at < 0) & ~letters), self._each)):
+            words = parts.take(pa.array(some))
+            at[some] = len(self.known) + np.arange(len(some))
+            self._add(words, *kind([w.decode("utf-8", "replace") for w in words.to_pylist()]))
+        out = at[part_of[: len(new)]]
+        both = np.stack([out[ended], at[part_of[len(new) :]]], axis=1)
+        out[ended] = len(self.known) + np.arange(len(ended))
+        n = self.n[both]
+        self._add(new.take(pa.array(ended)), n.sum(axis=1), self.ids[ragged(self.starts[both].ravel(), n.ravel())])
+        return out
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number and values of the ids of plain words."""
+        n, out = [np.zeros(0, np.int64)], [np.zeros(0, "<u4")]
+        for at in range(0, len(words), 500):
+            some = words[at : at + 500]
+            ids = np.array(self._ids([" ".join(some)])[0], "<u4")
+            lengths = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1) if len(ids) else n[0]
+            if len(lengths) != len(some):
+                lengths, ids = self._each(some)
+            n.append(lengths)
+            out.append(ids)
+        return np.concatenate(n), np.concatenate(out)
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.zeros(0, "<u4"), *(np.array(ids, "<u4") for ids in self._ids(words))]
+        return np.array([len(ids) for ids in found[1:]], np.int64), np.concatenate(found)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -191,10 +234,11 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, wid
         out = None
         for batch in batches:
             data, offs = utf8(batch.column("text"))
-            raw, ids = data.tobytes(), batch.column("doc_id").to_pylist()
-            for i in range(0, len(ids), 200):
-                some = range(i, min(i + 200, len(ids)))
-                for j, found in zip(some, use.encode([raw[offs[k] : offs[k + 1]] for k in some]), strict=True):
+            ids = batch.column("doc_id").to_pylist()
+            for i, _, part_data, at in portions(data, offs, BLOCK_BYTES):
+                raw = part_data.tobytes()
+                texts = [raw[a:b] for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
+                for j, found in enumerate(use.encode(texts), i):
                     if out is None:
                         out = [store.open_output_stream(d) for d in drafts]
                     record = framed(ids[j], np.append(found, np.uint32(end_id)), width)
