@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillflow.llm import substrings
@@ -85,3 +87,32 @@ def test_equal_rows_share_their_runs(spark):
         gone = substrings.removed_spans(listed, 100, 32, substrings.TOGETHER)
         sizes.append(gone.distinct().count())
     assert sizes[0] == sizes[1]
+
+
+def test_large_batches_are_worked_on_in_pieces():
+    keys = np.repeat(np.arange(5000), 2)
+    batch = pa.record_batch([pa.array(keys), pa.array([b"x" * 200] * len(keys), pa.binary())], names=["key", "bytes"])
+    tables = list(substrings._whole_keys(iter([batch, batch.slice(0, 0), batch.slice(9999)]), 1 << 16))
+    assert max(t.nbytes for t in tables) < 4 << 16
+    assert pa.concat_tables(tables)["key"].to_pylist() == [*keys.tolist(), 4999]
+    seen = [k for t in tables for k in set(t["key"].to_pylist())]
+    assert len(seen) == len(set(seen))
+    texts = pa.record_batch([pa.array(range(3000))] * 3 + [pa.array([b"some text"] * 3000)], names=["doc_id", "ord", "tid", "text"])
+    packed = list(substrings._packed(iter([texts])))
+    assert max(map(len, packed)) < 1000 and sum(map(len, packed)) == 3000
+
+
+def test_no_stage_runs_two_python_steps(spark, monkeypatch):
+    """Each would keep a worker of its own beside the others."""
+    plans, write = [], substrings.stored
+
+    def noted(df, label):
+        plans.append((label, df._jdf.queryExecution().sparkPlan().toString()))
+        return write(df, label)
+
+    monkeypatch.setattr(substrings, "stored", noted)
+    rows = corpus(42)
+    assert run(spark, rows, 40, gram=8, together=2) == brute(rows, 40)
+    assert "judged_windows" in dict(plans)
+    stages = [(label, stage) for label, plan in plans for stage in plan.split("Exchange")]
+    assert [label for label, stage in stages if stage.count("MapInArrow") > 1] == []

@@ -42,6 +42,11 @@ from tillflow.llm.suffixes import repeated_starts
 FILTER_BITS = 26
 #: Runs of a key that one task may hold.
 TOGETHER = 2048
+#: Bytes of text that are hashed together, and of rows that are judged or suffix-sorted together
+#: unless one key has more: a byte takes about 100 bytes of memory meanwhile.
+PORTION = 1 << 19
+#: Rows with their whole texts that are packed or cut together.
+FEW = 256
 
 _MIX = np.random.default_rng(100).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64((1 << 24) - 1)
@@ -141,7 +146,7 @@ def _batches(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         ids = [batch.column(c).to_numpy() for c in ("ord", "tid")]
-        for i, j, part, offs in portions(data, offsets):
+        for i, j, part, offs in portions(data, offsets, PORTION):
             yield part, offs, ids[0][i:j], ids[1][i:j]
 
 
@@ -315,7 +320,8 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
                     key, ord_, tid = (np.repeat(batch.column(c).to_numpy(), n) for c in ("key", "ord", "tid"))
                     yield _rows(key, _hash_runs(data, at, at, span), ord_, tid, lo, lo)
 
-            windows = short.filter("not later").mapInArrow(single, _RUN_DDL)
+            # stored: two Python steps in one stage would keep four workers in an executor of two cores
+            windows = stored(short.filter("not later").mapInArrow(single, _RUN_DDL), "windows")
             out.append(but_first(windows, stored(firsts(windows), "window_firsts"), "judged_windows")[0])
     sorting = send(bit_filter(sorting, FILTER_BITS))
 
@@ -331,7 +337,7 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
             yield pa.record_batch([*map(pa.array, cols), pa.array(pieces, pa.binary())], names=["key", "ord", "tid", "lo", "bytes"])
 
     def sort(batches):
-        for held in _whole_keys(batches, 1 << 20):
+        for held in _whole_keys(batches, PORTION):
             yield _sorted(held, span)
 
     pieces = docs.mapInArrow(run_bytes, "key long, ord long, tid long, lo long, bytes binary")
@@ -342,10 +348,8 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
 def _whole_keys(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
     """Regroup rows that come sorted by ``key``: tables of whole keys, of about ``size`` bytes."""
     held: list[pa.Table] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        held.append(pa.Table.from_batches([batch]))
+    for piece in _pieces(batches, size):
+        held.append(pa.Table.from_batches([piece]))
         if sum(t.nbytes for t in held) < size:
             continue
         table = pa.concat_tables(held)
@@ -359,9 +363,17 @@ def _whole_keys(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Tab
         yield pa.concat_tables(held)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The batches, cut into pieces of about ``size`` bytes, as many rows in each."""
+    for batch in batches:
+        rows = -(-len(batch) // max(1, batch.nbytes // size)) if len(batch) else 1
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def _judge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Later ones of equal runs, and the earliest of each run whose key has different runs."""
-    for table in _whole_keys(batches, 1 << 22):
+    for table in _whole_keys(batches, PORTION):
         key, same, ord_, lo = (table[c].to_numpy() for c in ("key", "bytes_hash", "ord", "lo"))
         new_key = np.append(True, key[1:] != key[:-1])
         new = new_key | np.append(True, same[1:] != same[:-1])
@@ -423,14 +435,14 @@ def drop_repeats(docs: DataFrame, span: int = 100, gram: int = 32, together: int
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole texts, compressed for the shuffle."""
     pack = zstandard.ZstdCompressor(3).compress
-    for batch in batches:
+    for batch in (whole.slice(at, FEW) for whole in batches for at in range(0, len(whole), FEW)):
         texts = pa.array([pack(t) for t in batch.column("text").to_pylist()], pa.binary())
         yield pa.record_batch([*batch.columns[:3], texts], names=["doc_id", "ord", "tid", "text"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor().decompress
-    for batch in batches:
+    for batch in (whole.slice(at, FEW) for whole in batches for at in range(0, len(whole), FEW)):
         lists = batch.column("gone")
         kept, spans, n_spans = [], [], []
         inner = lists.flatten()
