@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tillflow.llm import substrings
+from tillflow.llm import substrings, suffixes
 from tillflow.llm.substrings import drop_repeats
 
 
@@ -116,3 +116,67 @@ def test_no_stage_runs_two_python_steps(spark, monkeypatch):
     assert "judged_windows" in dict(plans)
     stages = [(label, stage) for label, plan in plans for stage in plan.split("Exchange")]
     assert [label for label, stage in stages if stage.count("MapInArrow") > 1] == []
+
+
+def test_keys_are_counted_in_packed_rows():
+    """Keys leave a task in a row for each value of their first bits, not in a row each."""
+    r = np.random.default_rng(1)
+    parts = [r.integers(0, 2**64, 30_000, dtype=np.uint64) for _ in range(3)]
+    parts += [np.repeat(parts[0][:70], 5), parts[1][:9], np.full(5000, 2**64 - 1, np.uint64), np.zeros(1, np.uint64)]
+    batches = [substrings._counted(parts[:4]), substrings._counted([]), substrings._counted(parts[4:])]
+    assert max(map(len, batches)) <= 2**substrings.KEY_BITS
+    rows = pa.Table.from_batches(batches).sort_by("key").to_batches(max_chunksize=1000)
+    got = [row for b in substrings._repeated_keys(iter(rows)) for row in zip(b["key"].to_pylist(), b["n"].to_pylist(), strict=True)]
+    keys, n = np.unique(np.concatenate(parts), return_counts=True)
+    want = zip(keys[n > 1].view(np.int64).tolist(), n[n > 1].tolist(), strict=True)
+    assert sorted(got) == sorted(want)
+
+
+def test_segments_hash_their_runs_only(monkeypatch):
+    hashed, write = [], substrings.gram_hashes
+    data = np.random.default_rng(2).integers(97, 110, 50_000).astype(np.uint8)
+    lo, hi = np.array([100, 40_000]), np.array([180, 40_900])
+    begins = np.flatnonzero(write(data, 8) & np.uint64(7) == 0)
+    monkeypatch.setattr(substrings, "gram_hashes", lambda part, gram: hashed.append(len(part)) or write(part, gram))
+    of, a, b = substrings.segments(data, lo, hi)
+    assert sum(hashed) < 2000
+    want = [[x, *(p for p in begins.tolist() if x < p <= y)] for x, y in zip(lo.tolist(), hi.tolist(), strict=True)]
+    assert [a[of == i].tolist() for i in range(2)] == want
+    assert [b[of == i].tolist() for i in range(2)] == [[*(p - 1 for p in w[1:]), y] for w, y in zip(want, hi.tolist(), strict=True)]
+
+
+def test_a_key_of_many_pieces_is_copied_few_times(monkeypatch):
+    copied, merge = [], pa.concat_tables
+    monkeypatch.setattr(substrings.pa, "concat_tables", lambda tables: copied.append(sum(t.nbytes for t in tables)) or merge(tables))
+    batch = pa.record_batch([pa.array([7] * 20_000), pa.array([b"x" * 200] * 20_000, pa.binary())], names=["key", "bytes"])
+    tables = list(substrings._whole_keys(iter([batch]), 1 << 14))
+    assert [len(t) for t in tables] == [20_000]
+    assert sum(copied) < 4 * batch.nbytes
+
+
+@pytest.mark.parametrize("block", [70, substrings.BLOCK])
+def test_least_grams_in_blocks(monkeypatch, block):
+    monkeypatch.setattr(substrings, "BLOCK", block)
+    data = np.random.default_rng(3).integers(0, 3, 400).astype(np.uint8)
+    for gram in (1, 2, 4, 8, 16, 32):
+        x, seen = substrings.gram_hashes(data, gram), {}
+        assert all(seen.setdefault(data[i : i + gram].tobytes(), h) == h for i, h in enumerate(x.tolist()))
+        assert len(x) == 401 - gram and len(set(seen.values())) == len(seen)
+        rank = [h >> 24 for h in x.tolist()]
+        for width in (1, 2, 7, 69):
+            want = [min(range(i, i + width), key=lambda j: (rank[j], j)) for i in range(len(x) - width + 1)]
+            assert substrings.least_places(x, width).tolist() == want
+
+
+def test_repeated_starts_against_all_strings():
+    for seed in range(400):
+        r = np.random.default_rng(seed)
+        text = r.integers(0, r.integers(1, 4), r.integers(0, 150)).astype(np.uint8) * np.uint8(r.integers(1, 85))
+        span = int(r.integers(1, 60))
+        starts = np.flatnonzero(r.random(max(len(text) - span + 1, 0)) < 0.7)
+        place = r.integers(0, max(len(starts), 1), len(starts))
+        first, strings = {}, [text[s : s + span].tobytes() for s in starts]
+        for s, p in zip(strings, place, strict=True):
+            first[s] = min(first.get(s, p), p)
+        want = [p > first[s] for s, p in zip(strings, place, strict=True)]
+        assert suffixes.repeated_starts(text, starts, span, place).tolist() == want

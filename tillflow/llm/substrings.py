@@ -42,9 +42,16 @@ from tillflow.llm.suffixes import repeated_starts
 FILTER_BITS = 26
 #: Runs of a key that one task may hold.
 TOGETHER = 2048
-#: Bytes of text that are hashed together, and of rows that are judged or suffix-sorted together
-#: unless one key has more: a byte takes about 100 bytes of memory meanwhile.
+#: Bytes of text that are hashed together, and of rows that are judged together unless one key
+#: has more: a byte takes about 100 bytes of memory meanwhile.
 PORTION = 1 << 19
+#: Bytes of runs, with their keys and places, that are suffix-sorted together unless one key has more.
+SORTED = 1 << 16
+#: Places that are hashed at a time: their numbers stay in the cache of a core.
+BLOCK = 1 << 15
+#: Keys of runs that are counted together before a shuffle, and the first bits of a key by which it goes.
+KEYS = 1 << 20
+KEY_BITS = 12
 #: Rows with their whole texts that are packed or cut together.
 FEW = 256
 
@@ -59,15 +66,47 @@ _SPAN_DDL = "ord long, tid long, a long, b long"
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """A 64-bit hash of the ``gram`` bytes from each place; ``gram`` is a power of two."""
-    x, step, factor = _MIX[data], 1, 0x9E3779B97F4A7C15
-    while step < gram:
-        x = x[:-step] * np.uint64(factor) + x[step:]
-        factor = factor * factor % 2**64
-        step *= 2
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(32)
-    return x
+    out = np.empty(max(len(data) - gram + 1, 0), np.uint64)
+    one, two = (np.empty(min(len(data), BLOCK + gram), np.uint64) for _ in range(2))
+    for base in range(0, len(out), BLOCK):
+        part = data[base : base + BLOCK + gram - 1]
+        if gram < 8:
+            x, step = np.take(_MIX, part, out=one[: len(part)]), 1
+        else:  # eight bytes are mixed as one number
+            x, step = one[: len(part) - 7], 8
+            x[:] = np.ndarray(len(x), "<u8", np.ascontiguousarray(part), strides=(1,))
+            x *= np.uint64(0xD6E8FEB86659FD93)
+            x ^= np.right_shift(x, np.uint64(29), out=two[: len(x)])
+        factor, spare = 0x9E3779B97F4A7C15, two
+        while step < gram:
+            y = np.multiply(x[:-step], np.uint64(factor), out=spare[: len(x) - step])
+            y += x[step:]
+            x, spare = y, one if spare is two else two
+            factor = factor * factor % 2**64
+            step *= 2
+        x ^= np.right_shift(x, np.uint64(29), out=spare[: len(x)])
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        np.bitwise_xor(x, np.right_shift(x, np.uint64(32), out=spare[: len(x)]), out=out[base : base + BLOCK])
+    return out
+
+
+def least_places(x: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least of each ``width`` neighbours in ``x``, the first one of equals."""
+    out = np.empty(len(x) - width + 1, np.int32)
+    one, two, places = (np.arange(min(len(x), BLOCK + width), dtype=np.uint64) for _ in range(3))
+    for base in range(0, len(out), BLOCK):
+        part = x[base : base + BLOCK + width - 1]
+        least, spare = np.bitwise_and(part, ~_PLACE, out=one[: len(part)]), two
+        least |= places[: len(part)]
+        done = 1
+        while done < width:
+            step = min(done, width - done)
+            least = np.minimum(least[:-step], least[step:], out=spare[: len(least) - step])
+            spare = one if spare is two else two
+            done += step
+        least &= _PLACE
+        np.add(least, np.uint64(base), out=out[base : base + BLOCK], casting="unsafe")
+    return out
 
 
 def window_runs(
@@ -78,17 +117,10 @@ def window_runs(
     if len(data) < span:
         return none.astype(np.uint64), none, none, none
     found = []
-    for base in range(0, len(data) - span + 1, _SEGMENT):  # the place of a gram has 24 bits
+    for base in range(0, len(data) - span + 1, _SEGMENT):
         part = data[base : base + _SEGMENT + span - 1]
         x = gram_hashes(part, gram)
-        least = (x & ~_PLACE) | np.arange(len(x), dtype=np.uint64)
-        width, done = span - gram + 1, 1
-        while done * 2 <= width:
-            least = np.minimum(least[:-done], least[done:])
-            done *= 2
-        if width > done:
-            least = np.minimum(least[: done - width], least[width - done :])
-        at = (least & _PLACE).astype(np.int64)
+        at = least_places(x, span - gram + 1)
         begins = np.ones(len(at), bool)
         begins[1:] = at[1:] != at[:-1]
         long = np.flatnonzero(np.diff(offsets) >= span)
@@ -129,7 +161,8 @@ def segments(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarr
         return none, none, none
     n = hi - lo + 1
     starts = ragged(lo, n)
-    begins = gram_hashes(data, 8)[starts] & np.uint64(7) == 0
+    hashes = gram_hashes(data[ragged(lo, n + 7)], 8)  # of the runs only, end to end
+    begins = hashes[ragged(np.cumsum(n + 7) - n - 7, n)] & np.uint64(7) == 0
     begins[np.cumsum(n) - n] = True
     head = np.flatnonzero(begins)
     return np.repeat(np.arange(len(lo)), n)[head], starts[head], starts[np.append(head[1:], len(starts)) - 1]
@@ -257,11 +290,17 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
 
     # runs: those of a unique key go no further
     def count_keys(batches):
+        held, size = [], 0
         for part, offs, ord_, _ in _batches(batches):
-            key, n = np.unique(live(part, offs, ord_)[0], return_counts=True)
-            yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
-
-    counts = docs.mapInArrow(count_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+            held.append(live(part, offs, ord_)[0])
+            size += len(held[-1])
+            if size >= KEYS:
+                yield _counted(held)
+                held, size = [], 0
+        yield _counted(held)
+
+    counts = docs.mapInArrow(count_keys, "key long, keys binary, counts binary")
+    counts = counts.repartition("key").sortWithinPartitions("key").mapInArrow(_repeated_keys, "key long, n long")
     counts = stored(counts, "repeated_keys")
     repeated = send(bit_filter(counts, FILTER_BITS))
     busy = bit_filter(counts.filter(F.col("n") > together), FILTER_BITS)
@@ -337,7 +376,7 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
             yield pa.record_batch([*map(pa.array, cols), pa.array(pieces, pa.binary())], names=["key", "ord", "tid", "lo", "bytes"])
 
     def sort(batches):
-        for held in _whole_keys(batches, PORTION):
+        for held in _whole_keys(batches, SORTED):
             yield _sorted(held, span)
 
     pieces = docs.mapInArrow(run_bytes, "key long, ord long, tid long, lo long, bytes binary")
@@ -348,9 +387,10 @@ def removed_spans(docs: DataFrame, span: int, gram: int, together: int) -> DataF
 def _whole_keys(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
     """Regroup rows that come sorted by ``key``: tables of whole keys, of about ``size`` bytes."""
     held: list[pa.Table] = []
+    due = size
     for piece in _pieces(batches, size):
         held.append(pa.Table.from_batches([piece]))
-        if sum(t.nbytes for t in held) < size:
+        if sum(t.nbytes for t in held) < due:
             continue
         table = pa.concat_tables(held)
         keys = table["key"].to_numpy()
@@ -359,6 +399,7 @@ def _whole_keys(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Tab
             yield table.slice(0, last)
             table = table.slice(last)
         held = [table.combine_chunks()]
+        due = max(size, 2 * table.nbytes)  # a key of many pieces is not copied for each
     if held:
         yield pa.concat_tables(held)
 
@@ -371,6 +412,30 @@ def _pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             yield batch.slice(at, rows)
 
 
+def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
+    """Different keys of ``held`` and how often each comes, in a row for each value of their first bits."""
+    keys, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+    first = (keys >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+    head = np.flatnonzero(np.append(True, first[1:] != first[:-1])[: len(first)])
+    edges, columns = np.append(head, len(keys)), []
+    for numbers in (keys, n.astype(np.uint32)):
+        offsets = pa.py_buffer((edges * numbers.itemsize).astype(np.int32))
+        columns.append(pa.Array.from_buffers(pa.binary(), len(head), [None, offsets, pa.py_buffer(numbers)]))
+    return pa.record_batch([pa.array(first[head]), *columns], names=["key", "keys", "counts"])
+
+
+def _repeated_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys that come more than once in rows of ``_counted``, sorted by ``key``, and how often."""
+    for table in _whole_keys(batches, PORTION):
+        keys, n = (utf8(table[c])[0].view(kind) for c, kind in (("keys", np.uint64), ("counts", np.uint32)))
+        by = np.argsort(keys)
+        keys = keys[by]
+        head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        n = np.add.reduceat(n[by], head, dtype=np.int64) if len(head) else n.astype(np.int64)
+        more = n > 1
+        yield pa.record_batch([pa.array(keys[head][more].view(np.int64)), pa.array(n[more])], names=["key", "n"])
+
+
 def _judge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Later ones of equal runs, and the earliest of each run whose key has different runs."""
     for table in _whole_keys(batches, PORTION):
@@ -395,10 +460,8 @@ def _sorted(table: pa.Table, span: int) -> pa.RecordBatch:
     starts = ragged(offs[:-1], windows)
     run = np.repeat(np.arange(len(windows)), windows)
     begin = lo[run] + starts - offs[run]
-    by = np.lexsort((begin, ord_[run]))
-    new = np.append(True, (np.diff(begin[by]) != 0) | (np.diff(ord_[run][by]) != 0))
-    place = np.empty(len(by), np.int64)
-    place[by] = np.cumsum(new)  # equal places rank equal
+    # equal places rank equal; a start has 31 bits
+    place = (np.unique(ord_, return_inverse=True)[1].astype(np.int64)[run] << 32) + begin
     gone = repeated_starts(data, starts, span, place)
     at, of = begin[gone], run[gone]
     # touching windows of a run join to one span
