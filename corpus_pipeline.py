@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm import bpe, decontaminate, jaccard, lines, quality
-from tillflow.llm.common import stored
+from tillflow.llm.common import small_batches, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -24,6 +24,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score one half or more. A null text is empty and scored like any other."""
+    small_batches(spark)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.scored(docs.select(*COLUMNS), model).filter("_score >= 0.5").drop("_score")
 
@@ -40,6 +41,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Documents of one id stay or go together. SimHash links what differs in few of 64 bits, and
     min-hashes what is similar at 0.8 and more but further apart than that.
     """
+    small_batches(spark)
     groups = jaccard.near_duplicates(docs.select("doc_id", "text"), distance=3)
     first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(first, docs["doc_id"].cast("long").eqNullSafe(first["_kept"]), "left_semi").select(*COLUMNS)
@@ -47,6 +49,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item. Documents of one id go together."""
+    small_batches(spark)
     found = decontaminate.contained_items(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     dirty = found.filter(F.size("spans") > 0).select(F.col("doc_id").alias("_dirty")).distinct()
     return docs.join(dirty, docs["doc_id"].cast("long").eqNullSafe(dirty["_dirty"]), "left_anti").select(*COLUMNS)
@@ -54,8 +57,9 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token ids, their number and hash, and the hash of the text they decode to."""
+    small_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
-    both = bpe.decoded(bpe.encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text"), path).drop("text"), path)
+    both = bpe.round_trip(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text"), path)
     return both.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

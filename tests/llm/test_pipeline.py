@@ -4,12 +4,15 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.test_operators import contained, deduped
 from tests.llm.test_simhash import brute
-from tillflow.llm import quality
+from tillflow.llm import bpe, quality
+from tillflow.llm.common import small_batches
 
 
 def test_run(spark, tmp_path):
@@ -54,3 +57,50 @@ def test_stages_return_documents(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert callable(stage)
     assert corpus_pipeline.drop_lines(spark, docs, "").columns == corpus_pipeline.COLUMNS
+
+
+KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def batch_bound(spark):
+    """The session without a bound of its own on the bytes of a batch, as it is again afterwards."""
+    was = spark.conf.getAll.get(KEY)
+    spark.conf.unset(KEY)
+    yield spark.conf
+    spark.conf.unset(KEY) if was is None else spark.conf.set(KEY, was)
+
+
+def test_encoding_takes_one_python_worker_a_task(spark, batch_bound):
+    docs = spark.createDataFrame([(1, "two words", "en", "src0", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    for out in (corpus_pipeline.encode(spark, docs, ""), bpe.digest(docs, public_tokenizers.path("byte_bpe_50k.json"))):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1
+
+
+def test_round_trip_keeps_other_columns(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.createDataFrame([("a", "two words", 1), (None, None, 2), ("c", "", None)], "a string, text string, n int")
+    got = bpe.round_trip(docs, path)
+    assert got.columns == ["a", "n", "ids", "decoded"]
+    want = bpe.decoded(bpe.encode(docs, path).drop("text"), path)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert [x.decoded for x in bpe.round_trip(docs.select("text"), path).collect()].count("two words") == 1
+
+
+def test_stages_hand_small_batches_to_python(spark, batch_bound):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([len(batch)]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat('words ', 1000) AS text", "'en' AS lang", "'src0' AS source", "6000L AS n_chars")
+    corpus_pipeline.encode(spark, docs, "")  # sets the bound
+    found = docs.coalesce(1).mapInArrow(sizes, "n long, size long").collect()
+    assert sum(x.n for x in found) == 4000 and max(x.size for x in found) < 6_000_000
+
+
+def test_a_bound_of_the_session_holds(spark, batch_bound):
+    batch_bound.set(KEY, "1m")
+    small_batches(spark)
+    assert batch_bound.get(KEY) == "1m"

@@ -253,47 +253,61 @@ def encoder(path: str) -> Encoder:
     return Encoder(Vocabulary(path))
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], names: list[str], path: str) -> Iterator[pa.RecordBatch]:
+    use = encoder(path)
+    for batch in batches:
+        data, offsets = utf8(batch.column("_text"))
+        for i, j, part, offs in portions(data, offsets, 1 << 18):
+            ids = use.encode(part, offs)
+            at = np.append(0, np.cumsum([len(x) for x in ids]))
+            flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))
+            yield pa.record_batch([*(batch.column(n).slice(i, j - i) for n in names), lists], names=[*names, "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], names: list[str], path: str) -> Iterator[pa.RecordBatch]:
+    vocabulary = encoder(path).vocabulary
+    for batch in batches:
+        lists = batch.column("ids")
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        at = np.append(0, np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
+        for i in range(0, len(batch), 200):  # a few texts at a time bound the worker's memory
+            part, ends = batch.slice(i, 200), at[i : i + 201].tolist()
+            texts = [decode(vocabulary, flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+            yield pa.record_batch([*part.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
+
+
+def _kinds(rows: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with ``ids``, the token ids of the whole ``text``. Null texts are empty. ``path``: on every executor."""
     names = docs.columns
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = encoder(path)
-        for batch in batches:
-            data, offsets = utf8(batch.column("_text"))
-            for i, j, part, offs in portions(data, offsets, 1 << 18):
-                ids = use.encode(part, offs)
-                at = np.append(0, np.cumsum([len(x) for x in ids]))
-                flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))
-                yield pa.record_batch([*(batch.column(n).slice(i, j - i) for n in names), lists], names=[*names, "ids"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.withColumn("_text", whole_text()).mapInArrow(emit, f"{kinds}, ids array<int>")
+    return docs.withColumn("_text", whole_text()).mapInArrow(lambda b: _encoded(b, names, path), f"{_kinds(docs)}, ids array<int>")
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
     """``rows`` with ``decoded``, the text of their ``ids``; null ids are none."""
     names = rows.columns
+    return rows.mapInArrow(lambda b: _decoded(b, names, path), f"{_kinds(rows)}, decoded string")
+
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = encoder(path).vocabulary
-        for batch in batches:
-            lists = batch.column("ids")
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            at = np.append(0, np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
-            for i in range(0, len(batch), 200):  # a few texts at a time bound the worker's memory
-                part, ends = batch.slice(i, 200), at[i : i + 201].tolist()
-                texts = [decode(vocabulary, flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
-                yield pa.record_batch([*part.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded`` in place of ``text``: `encode`, then `decoded`, in one Python worker a task.
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(emit, f"{kinds}, decoded string")
+    As two steps they take two workers a task, each with a vocabulary, and pass all ids through the JVM.
+    """
+    rest = docs.drop("text")
+    names = rest.columns
+    texts = docs.select(*names, whole_text().alias("_text"))
+    both = lambda b: _decoded(_encoded(b, names, path), [*names, "ids"], path)
+    return texts.mapInArrow(both, ", ".join(x for x in (_kinds(rest), "ids array<int>", "decoded string") if x))
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """Round trip of every document: the number and hash of its ids, and the hash of what they decode to."""
-    both = decoded(encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path).drop("text"), path)
+    both = round_trip(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

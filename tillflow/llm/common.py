@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.session import scratch_dir
@@ -15,6 +15,10 @@ from tillflow.session import scratch_dir
 #: Stands for a null id where ids are ordered: before every other.
 LEAST = -(2**63)
 
+#: Bytes of rows that go to a Python worker together, about; Spark's own bound is 64 MB or 10,000 rows.
+BATCH = "4m"
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends here.
@@ -31,6 +35,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session's Arrow batches hold about ``BATCH``, unless it has a bound of its own.
+
+    A task holds a batch in its JVM, outside the heap, and again in its Python worker. Steps run
+    when their result is read, so the setting stays.
+    """
+    if _BATCH_KEY not in spark.conf.getAll:
+        spark.conf.set(_BATCH_KEY, BATCH)
+
+
 def ordered_id(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(LEAST))
 
